@@ -94,7 +94,7 @@ class HybridIndex:
         A label that was appended before is skipped, so a retried batch counts once.
         """
         chunks = chunk_documents(documents, self.config.chunking)
-        return self._append(chunks, None, label, on_conflict, cache)
+        return self._append(chunks, documents, None, label, on_conflict, cache)
 
     def add_chunks(
         self, chunks: DataFrame, vectors: DataFrame, label: str | None = None, on_conflict: str = "error"
@@ -107,11 +107,12 @@ class HybridIndex:
         )
         if not unmatched.isEmpty():
             raise ValueError("chunks and vectors do not name the same chunk ids")
-        return self._append(chunks, vectors, label, on_conflict, None)
+        return self._append(chunks, chunks, vectors, label, on_conflict, None)
 
     def _append(
         self,
         chunks: DataFrame,
+        ordered: DataFrame,
         vectors: DataFrame | None,
         label: str | None,
         on_conflict: str,
@@ -125,24 +126,21 @@ class HybridIndex:
         batch = old.batches
         now = old.with_(batches=batch + 1, labels=[*old.labels, label] if label else old.labels)
 
-        dl = F.size(tokenize(F.col("text")))
-        self.store.write(chunks.withColumn("dl", dl), "chunks", batch)
+        first = ordered.agg(F.min("doc_ord")).first()[0]
+        if first is None:
+            return 0
+        # Insertion order goes on where the last batch ended.
+        placed = chunks.withColumn("doc_ord", F.col("doc_ord") + (old.next_ord - first))
+        self.store.write(placed.withColumn("dl", F.size(tokenize(F.col("text")))), "chunks", batch)
         new = self.spark.read.parquet(f"{self.store.path}/chunks/batch={batch}")
-        count, distinct, length, low, high = new.agg(
-            F.count("*"), F.countDistinct("chunk_id"), F.sum("dl"), F.min("doc_ord"), F.max("doc_ord")
+        count, distinct, last = new.agg(
+            F.count("*"), F.countDistinct("chunk_id"), F.max("doc_ord")
         ).first()
         if count == 0:
             return 0
         if distinct < count:
             raise ValueError("chunk ids repeat within the batch")
         now = self._replace_old(new, old, now, batch, on_conflict)
-        # Insertion order goes on where the last batch ended.
-        shift = old.next_ord - low
-        if shift:
-            self.store.write(
-                chunks.withColumn("dl", dl).withColumn("doc_ord", F.col("doc_ord") + shift), "chunks", batch
-            )
-            new = self.spark.read.parquet(f"{self.store.path}/chunks/batch={batch}")
 
         postings = build_postings(new).withColumn("bucket", term_bucket())
         self.store.write(postings, "postings", batch, "bucket")
@@ -159,7 +157,7 @@ class HybridIndex:
         terms = merge_term_frequencies(self.store.read("terms", now))
         average = terms.agg(F.avg(raw_idf(live[0], F.col("df")))).first()[0]
         now = now.with_(
-            n_chunks=live[0], total_length=live[1], next_ord=high + shift + 1, average_idf=average
+            n_chunks=live[0], total_length=live[1], next_ord=last + 1, average_idf=average
         )
         if old.cells is None and self.config.vectors.wants_cells(now.n_chunks):
             now = self._train(now, batch)
