@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,30 +11,42 @@ from gleaner.functions.text import let, term_counts, tokenize
 from gleaner.functions.vectors import l2_normalize
 
 
-def term_bucket(term: Column, dim: int) -> Column:
-    return let(F.md5(term), lambda h: F.conv(F.substring(h, 1, 7), 16, 10).cast("bigint") % dim).cast("int")
-
-
-def term_sign(term: Column) -> Column:
-    return F.when(F.substring(F.md5(term), 8, 1) < "8", 1.0).otherwise(-1.0)
-
-
 def hashed_vector(text: Column, dim: int, normalize: bool = True) -> Column:
-    """array<float> of length `dim`: each word adds its count, signed, to its bucket."""
-    weights = F.transform(
-        term_counts(tokenize(text)),
-        lambda t: F.struct(
-            term_bucket(t["term"], dim).alias("bucket"), (t["tf"] * term_sign(t["term"])).alias("weight")
-        ),
-    )
-    sums = let(
-        weights,
-        lambda ws: F.transform(
-            F.sequence(F.lit(0), F.lit(dim - 1)),
-            lambda b: F.aggregate(
-                F.filter(ws, lambda w: w["bucket"] == b), F.lit(0.0), lambda acc, w: acc + w["weight"]
+    """array<float> of length `dim`: each word adds its count, signed, to its bucket.
+
+    The word's md5 gives the bucket (digits 1 to 7) and the sign (digit 8).
+    Buckets are summed in two levels of about sqrt(dim), so a row costs far
+    fewer steps than words x dim.
+    """
+    width = math.isqrt(dim - 1) + 1
+
+    def weight(t: Column) -> Column:
+        def entry(h: Column) -> Column:
+            bucket = F.conv(F.substring(h, 1, 7), 16, 10).cast("bigint") % dim
+            sign = F.when(F.substring(h, 8, 1) < "8", 1.0).otherwise(-1.0)
+            return F.struct(
+                F.floor(bucket / width).cast("int").alias("row"),
+                (bucket % width).cast("int").alias("col"),
+                (t["tf"] * sign).alias("weight"),
+            )
+
+        return let(F.md5(t["term"]), entry)
+
+    def sums_of_row(entries: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(width - 1)),
+            lambda col: F.aggregate(
+                F.filter(entries, lambda e: e["col"] == col), F.lit(0.0), lambda acc, e: acc + e["weight"]
             ),
+        )
+
+    rows = let(
+        F.transform(term_counts(tokenize(text)), weight),
+        lambda entries: F.transform(
+            F.sequence(F.lit(0), F.lit(width - 1)),
+            lambda row: let(F.filter(entries, lambda e: e["row"] == row), sums_of_row),
         ),
     )
+    sums = F.slice(F.flatten(rows), 1, dim)
     vector = let(sums, l2_normalize) if normalize else sums
     return vector.cast("array<float>")

@@ -126,12 +126,29 @@ def generated_answer(
     return prompts.select("query_id", "question", predict(F.col("prompt")).alias("answer"))
 
 
-def package_results(answers: DataFrame, hits: DataFrame) -> DataFrame:
-    """(query_id, question, answer, retrieved) with the hits of each query as one array."""
+def retrieved_lists(hits: DataFrame) -> DataFrame:
+    """(query_id, retrieved): the hits of each query, at most k, as one array in rank order."""
     entry = F.struct("rank", "chunk_id", "doc_id", "text", "score")
-    lists = hits.groupBy("query_id").agg(F.array_sort(F.collect_list(entry)).alias("retrieved"))
+    return hits.groupBy("query_id").agg(F.array_sort(F.collect_list(entry)).alias("retrieved"))
+
+
+def package_results(queries: DataFrame, hits: DataFrame, answers: DataFrame | None = None) -> DataFrame:
+    """(query_id, question, answer, retrieved), one row per query.
+
+    Without `answers` the text of the best hit is the answer, taken from the
+    same array, so the hits are computed once.
+    """
+    lists = retrieved_lists(hits)
     empty = F.array().cast(lists.schema["retrieved"].dataType)
-    return answers.join(lists, "query_id", "left").withColumn("retrieved", F.coalesce("retrieved", empty))
+    rows = (
+        (queries.select("query_id", "question") if answers is None else answers)
+        .join(lists, "query_id", "left")
+        .withColumn("retrieved", F.coalesce("retrieved", empty))
+    )
+    if answers is None:
+        best = F.get("retrieved", F.lit(0))["text"]
+        rows = rows.withColumn("answer", F.coalesce(best, F.lit(NO_ANSWER)))
+    return rows.select("query_id", "question", "answer", "retrieved")
 
 
 def report(hits: DataFrame) -> DataFrame:

@@ -18,6 +18,13 @@ EPSILON = 0.25
 
 INSERTION_ORDER = ("doc_ord", "chunk_index")
 
+# Stored postings lie in this many folders by word, so a question reads a few of them.
+TERM_BUCKETS = 64
+
+
+def term_bucket() -> Column:
+    return F.pmod(F.xxhash64("term"), F.lit(TERM_BUCKETS)).cast("int").alias("bucket")
+
 
 def build_postings(chunks: DataFrame) -> DataFrame:
     """(term, chunk_id, doc_ord, chunk_index, tf, dl), one row per distinct term of a chunk.
@@ -114,25 +121,32 @@ def term_score(avgdl: float) -> Column:
 def bm25_scores(queries: DataFrame, index: SparseIndex) -> DataFrame:
     """(query_id, chunk_id, doc_ord, chunk_index, score) of every chunk sharing a term with a query."""
     asked = query_terms(queries)
-    keys = ("query_id", "chunk_id", *INSERTION_ORDER)
-    if fits_broadcast(asked, "term"):
-        # Few question words: they go to the postings. Matching postings move once, to their
-        # chunk; sums and the per-task top-k then need no further shuffle of pairs.
-        words = asked.select("term").distinct()
-        known = index.weights.join(F.broadcast(words), "term", "left_semi")
-        weighted = known.join(F.broadcast(asked), "term").select(
-            "query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight")
-        )
-        matched = index.postings.join(F.broadcast(words), "term", "left_semi").repartition("chunk_id")
-        pairs = matched.join(F.broadcast(weighted), "term")
-    else:
-        # Many question words: both sides meet by term. Words found in a large share of the
-        # chunks are cut into slices by chunk, so no task holds all postings of one word.
-        weighted = asked.join(index.weights, "term").select(
+    small = fits_broadcast(asked, "term")
+    # Written once: the question words with their weights steer both joins below.
+    weighted = materialize(
+        index.weights.join(F.broadcast(asked) if small else asked, "term").select(
             "query_id", "term", "df", (F.col("qtf") * F.col("idf")).alias("weight")
+        ),
+        "question_words",
+    )
+    postings = index.postings
+    if "bucket" in postings.columns and small:
+        # At most TERM_BUCKETS numbers; literal ones prune the folders of the posting table.
+        buckets = [row[0] for row in weighted.select(term_bucket()).distinct().collect()]
+        postings = postings.where(F.col("bucket").isin(buckets)).drop("bucket")
+    if small:
+        # The words go to the postings. Matching postings move once, to their chunk; sums and
+        # the per-task top-k then need no further shuffle of (query, chunk) pairs.
+        words = F.broadcast(weighted.select("term"))
+        matched = postings.join(words, "term", "left_semi").repartition("chunk_id")
+        pairs = matched.join(F.broadcast(weighted.drop("df")), "term")
+    else:
+        # Both sides meet by term. Words found in a large share of the chunks are cut into
+        # slices by chunk, so no task holds all postings of one word.
+        pairs = salted_join(
+            postings, weighted, "term", F.col("df"), slice_rows(index.n_chunks), "chunk_id"
         )
-        per_slice = slice_rows(index.n_chunks)
-        pairs = salted_join(index.postings, weighted, "term", F.col("df"), per_slice, "chunk_id")
+    keys = ("query_id", "chunk_id", *INSERTION_ORDER)
     return pairs.groupBy(*keys).agg(F.sum(term_score(index.average_length)).alias("score"))
 
 

@@ -18,7 +18,6 @@ from gleaner.operators.fuse import fused_top_k
 from gleaner.operators.post import (
     build_prompt,
     dedup_hits,
-    extractive_answer,
     generated_answer,
     hydrate,
     package_results,
@@ -30,10 +29,11 @@ from gleaner.operators.sparse import (
     build_postings,
     merge_term_frequencies,
     raw_idf,
+    term_bucket,
     term_frequencies,
 )
-from gleaner.runtime import scratch_path
-from gleaner.sources.store import IndexStore, Manifest, term_bucket
+from gleaner.runtime import materialize, scratch_path
+from gleaner.sources.store import IndexStore, Manifest
 
 
 class HybridIndex:
@@ -142,7 +142,7 @@ class HybridIndex:
             raise ValueError("chunk ids repeat within the batch")
         now = self._replace_old(new, old, now, batch, on_conflict)
 
-        postings = build_postings(new).withColumn("bucket", term_bucket())
+        postings = build_postings(new).select("*", term_bucket())
         self.store.write(postings, "postings", batch, "bucket")
         added = self.spark.read.parquet(f"{self.store.path}/postings/batch={batch}")
         frequencies = term_frequencies(added)
@@ -337,7 +337,8 @@ class HybridIndex:
         """
         found = self.hits(queries, top_k, deduplicate)
         if model is None:
-            answers = extractive_answer(queries, found)
-        else:
-            answers = generated_answer(queries, found, model, self.config.context.max_chars)
-        return package_results(answers, found)
+            return package_results(queries, found)
+        # Read twice below, for the prompts and for the result rows.
+        found = materialize(found, "found")
+        answers = generated_answer(queries, found, model, self.config.context.max_chars)
+        return package_results(queries, found, answers)
