@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from typing import Any, Protocol
 
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,13 +18,13 @@ from gleaner.runtime import read_table, salted_join, slice_rows
 
 
 class Encoder(Protocol):
-    """Anything that turns a text column into an array<float> column."""
+    """Anything that adds an array<float> column for a text column."""
 
     dim: int
     # True when encoding costs more than a shuffle, so each distinct text is encoded once.
     costly: bool
 
-    def vector(self, text: Column) -> Column: ...
+    def encode(self, df: DataFrame, text: str, into: str) -> DataFrame: ...
 
 
 @dataclass(frozen=True)
@@ -33,8 +33,8 @@ class HashingEncoder:
     normalize: bool = True
     costly: bool = False
 
-    def vector(self, text: Column) -> Column:
-        return hashed_vector(text, self.dim, self.normalize)
+    def encode(self, df: DataFrame, text: str, into: str) -> DataFrame:
+        return df.withColumn(into, hashed_vector(F.col(text), self.dim, self.normalize))
 
 
 @dataclass(frozen=True)
@@ -47,12 +47,14 @@ class ModelEncoder:
     normalize: bool = True
     costly: bool = True
 
-    def vector(self, text: Column) -> Column:
+    def encode(self, df: DataFrame, text: str, into: str) -> DataFrame:
         predict = predict_batch_udf(
             self.load, return_type=T.ArrayType(T.FloatType()), batch_size=self.batch_size
         )
-        vector = predict(text)
-        return l2_normalize(vector).cast("array<float>") if self.normalize else vector
+        encoded = df.withColumn(into, predict(F.col(text)))
+        if self.normalize:
+            encoded = encoded.withColumn(into, l2_normalize(F.col(into)).cast("array<float>"))
+        return encoded
 
 
 class EmbeddingCache:
@@ -93,14 +95,14 @@ def embed(
     by text key, with the keys of often repeated texts cut into slices.
     """
     if cache is None and not encoder.costly:
-        return df.withColumn(into, encoder.vector(F.col(text)))
+        return encoder.encode(df, text, into)
     if cache is None:
         counted = cache_misses(df, None, text)
-        vectors = counted.select("key", "n", encoder.vector(F.col("text")).alias(into))
+        vectors = encoder.encode(counted, "text", into).select("key", "n", into)
     else:
         known = cache.read()
         missing = cache_misses(df, known, text)
-        cache.add(missing.select("key", encoder.vector(F.col("text")).alias("embedding")))
+        cache.add(encoder.encode(missing, "text", "embedding"))
         counts = df.groupBy(text_key(F.col(text)).alias("key")).agg(F.count("*").alias("n"))
         vectors = counts.join(cache.read(), "key").select("key", "n", F.col("embedding").alias(into))
     keyed = df.withColumn("key", text_key(F.col(text)))

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
+import numpy as np
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleaner.config import ContextConfig
 from gleaner.functions.text import jaccard, snippet, strip, word_set
@@ -121,7 +123,12 @@ def generated_answer(
     batch_size: int = 64,
 ) -> DataFrame:
     """Answers of a caller's model: `load()` returns f(prompts) -> answers, once per Python worker."""
-    predict = predict_batch_udf(load, return_type="string", batch_size=batch_size)
+
+    def load_strings() -> Callable[[Any], Any]:
+        model = load()
+        return lambda prompts: np.array(list(model(prompts)), dtype=object)
+
+    predict = predict_batch_udf(load_strings, return_type=T.StringType(), batch_size=batch_size)
     prompts = build_prompt(queries, hits, max_chars)
     return prompts.select("query_id", "question", predict(F.col("prompt")).alias("answer"))
 
