@@ -96,6 +96,8 @@ class IndexConfig:
     retrieval: RetrievalConfig = field(default_factory=RetrievalConfig)
     vectors: VectorIndexConfig = field(default_factory=VectorIndexConfig)
     context: ContextConfig = field(default_factory=ContextConfig)
+    # Folders of the stored posting table; a question reads those of its words. Thousands for large corpora.
+    term_buckets: int = 64
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
@@ -109,4 +111,5 @@ class IndexConfig:
             RetrievalConfig(**raw["retrieval"]),
             VectorIndexConfig(**raw["vectors"]),
             ContextConfig(**raw["context"]),
+            raw["term_buckets"],
         )

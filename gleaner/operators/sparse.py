@@ -18,12 +18,10 @@ EPSILON = 0.25
 
 INSERTION_ORDER = ("doc_ord", "chunk_index")
 
-# Stored postings lie in this many folders by word, so a question reads a few of them.
-TERM_BUCKETS = 64
 
-
-def term_bucket() -> Column:
-    return F.pmod(F.xxhash64("term"), F.lit(TERM_BUCKETS)).cast("int").alias("bucket")
+def term_bucket(buckets: int) -> Column:
+    """Storage folder of a posting's term."""
+    return F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int").alias("bucket")
 
 
 def build_postings(chunks: DataFrame) -> DataFrame:
@@ -69,32 +67,54 @@ def term_weights(terms: DataFrame, n_chunks: int, average_idf: float | None) ->
 class SparseIndex:
     postings: DataFrame
     members: DataFrame
-    terms: DataFrame
+    # (term, df), possibly with several partial counts per term.
+    term_parts: DataFrame
     n_chunks: int
     total_length: int
     average_idf: float | None
+    # Number of folders the postings are stored in, when they carry `bucket`.
+    buckets: int | None = None
 
     @classmethod
     def build(cls, chunks: DataFrame) -> "SparseIndex":
         """Tokenise once, keep the tables on shared storage."""
         postings = materialize(build_postings(chunks), "postings")
         members = materialize(chunk_lengths(chunks), "members")
-        return cls.from_tables(postings, members, materialize(term_frequencies(postings), "terms"))
+        n_chunks, total = members.agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0))).first()
+        return cls.of(postings, members, materialize(term_frequencies(postings), "terms"), n_chunks, total)
 
     @classmethod
-    def from_tables(cls, postings: DataFrame, members: DataFrame, terms: DataFrame) -> "SparseIndex":
-        n_chunks, total = members.agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0))).first()
-        average = terms.agg(F.avg(raw_idf(n_chunks, F.col("df")))).first()[0]
-        return cls(postings, members, terms, n_chunks, total, average)
+    def of(
+        cls,
+        postings: DataFrame,
+        members: DataFrame,
+        term_parts: DataFrame,
+        n_chunks: int,
+        total_length: int,
+        buckets: int | None = None,
+    ) -> "SparseIndex":
+        average = merge_term_frequencies(term_parts).agg(F.avg(raw_idf(n_chunks, F.col("df")))).first()[0]
+        return cls(postings, members, term_parts, n_chunks, total_length, average, buckets)
 
     @property
     def average_length(self) -> float:
         return self.total_length / self.n_chunks if self.n_chunks else 0.0
 
+    @property
+    def terms(self) -> DataFrame:
+        """(term, df), one row per term."""
+        return merge_term_frequencies(self.term_parts)
+
     @property
     def weights(self) -> DataFrame:
+        """(term, df, idf) of the whole vocabulary."""
         return term_weights(self.terms, self.n_chunks, self.average_idf)
 
+    def weights_of(self, words: DataFrame) -> DataFrame:
+        """(term, df, idf) of some words; partial counts are summed after the other words are gone."""
+        parts = merge_term_frequencies(self.term_parts.join(words, "term", "left_semi"))
+        return term_weights(parts, self.n_chunks, self.average_idf)
+
     def stats(self) -> DataFrame:
         """One row: n_chunks, total_len, avgdl, average_idf."""
         return self.members.agg(
@@ -122,18 +142,21 @@ def bm25_scores(queries: DataFrame, index: SparseIndex) -> DataFrame:
     """(query_id, chunk_id, doc_ord, chunk_index, score) of every chunk sharing a term with a query."""
     asked = query_terms(queries)
     small = fits_broadcast(asked, "term")
+    if small:
+        asked = F.broadcast(asked)
     # Written once: the question words with their weights steer both joins below.
     weighted = materialize(
-        index.weights.join(F.broadcast(asked) if small else asked, "term").select(
-            "query_id", "term", "df", (F.col("qtf") * F.col("idf")).alias("weight")
-        ),
+        index.weights_of(asked.select("term"))
+        .join(asked, "term")
+        .select("query_id", "term", "df", (F.col("qtf") * F.col("idf")).alias("weight")),
         "question_words",
     )
     postings = index.postings
-    if "bucket" in postings.columns and small:
-        # At most TERM_BUCKETS numbers; literal ones prune the folders of the posting table.
-        buckets = [row[0] for row in weighted.select(term_bucket()).distinct().collect()]
-        postings = postings.where(F.col("bucket").isin(buckets)).drop("bucket")
+    if index.buckets and small:
+        # At most as many numbers as folders; literal ones prune the scan of the posting table.
+        folders = [row[0] for row in weighted.select(term_bucket(index.buckets)).distinct().collect()]
+        postings = postings.where(F.col("bucket").isin(folders))
+    postings = postings.select("term", "chunk_id", *INSERTION_ORDER, "tf", "dl")
     if small:
         # The words go to the postings. Matching postings move once, to their chunk; sums and
         # the per-task top-k then need no further shuffle of (query, chunk) pairs.
@@ -223,10 +246,9 @@ def _ranked_with_all_zeros(queries: DataFrame, index: SparseIndex, k: int) -> Da
     return top_k(matched.drop("position").unionByName(zeros), k, *by_insertion)
 
 
-def merge_term_frequencies(*parts: DataFrame, keep_zero: bool = False) -> DataFrame:
+def merge_term_frequencies(*parts: DataFrame) -> DataFrame:
     """(term, df) of several disjoint sets of chunks; terms that sum to zero are gone."""
     merged = parts[0].select("term", "df")
     for part in parts[1:]:
         merged = merged.unionByName(part.select("term", "df"))
-    summed = merged.groupBy("term").agg(F.sum("df").alias("df"))
-    return summed if keep_zero else summed.where("df > 0")
+    return merged.groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")

@@ -27,8 +27,6 @@ from gleaner.operators.sparse import (
     SparseIndex,
     bm25_search,
     build_postings,
-    merge_term_frequencies,
-    raw_idf,
     term_bucket,
     term_frequencies,
 )
@@ -64,7 +62,7 @@ class HybridIndex:
         index = cls(spark, path or scratch_path(spark, "index"), config, encoder, Manifest(config.to_json()))
         if index.store.latest() is not None:
             raise ValueError(f"an index exists at {path}")
-        index.store.commit(index.manifest, 0)
+        index.store.commit(index.manifest)
         return index
 
     @classmethod
@@ -133,32 +131,29 @@ class HybridIndex:
         placed = chunks.withColumn("doc_ord", F.col("doc_ord") + (old.next_ord - first))
         self.store.write(placed.withColumn("dl", F.size(tokenize(F.col("text")))), "chunks", batch)
         new = self.spark.read.parquet(f"{self.store.path}/chunks/batch={batch}")
-        count, distinct, last = new.agg(
-            F.count("*"), F.countDistinct("chunk_id"), F.max("doc_ord")
+        count, distinct, length, last = new.agg(
+            F.count("*"), F.countDistinct("chunk_id"), F.sum("dl"), F.max("doc_ord")
         ).first()
         if count == 0:
             return 0
         if distinct < count:
             raise ValueError("chunk ids repeat within the batch")
+        now = now.with_(
+            n_chunks=old.n_chunks + count, total_length=old.total_length + length, next_ord=last + 1
+        )
         now = self._replace_old(new, old, now, batch, on_conflict)
 
-        postings = build_postings(new).select("*", term_bucket())
+        postings = build_postings(new).select("*", term_bucket(self.config.term_buckets))
         self.store.write(postings, "postings", batch, "bucket")
         added = self.spark.read.parquet(f"{self.store.path}/postings/batch={batch}")
         frequencies = term_frequencies(added)
         if batch in now.replaced:
             gone = self.spark.read.parquet(f"{self.store.path}/dropped/batch={batch}")
             lost = term_frequencies(self.store.read("postings", old).join(gone, "chunk_id", "left_semi"))
-            frequencies = merge_term_frequencies(frequencies, lost.withColumn("df", -F.col("df")), keep_zero=True)
+            frequencies = frequencies.unionByName(lost.withColumn("df", -F.col("df")))
         self.store.write(frequencies, "terms", batch)
 
         self._write_vectors(new, vectors, batch, cache)
-        live = self.store.read("chunks", now).agg(F.count("*"), F.sum("dl")).first()
-        terms = merge_term_frequencies(self.store.read("terms", now))
-        average = terms.agg(F.avg(raw_idf(live[0], F.col("df")))).first()[0]
-        now = now.with_(
-            n_chunks=live[0], total_length=live[1], next_ord=last + 1, average_idf=average
-        )
         if old.cells is None and self.config.vectors.wants_cells(now.n_chunks):
             now = self._train(now, batch)
         self._publish(now)
@@ -173,9 +168,15 @@ class HybridIndex:
             if not known.join(new.select("chunk_id"), "chunk_id", "left_semi").isEmpty():
                 raise ValueError("chunk ids exist already; use on_conflict='replace'")
             return now
-        gone = known.join(new.select("doc_id").distinct(), "doc_id", "left_semi").select("chunk_id")
-        self.store.write(gone, "dropped", batch)
-        return now.with_(replaced=[*now.replaced, batch])
+        gone = known.join(new.select("doc_id").distinct(), "doc_id", "left_semi")
+        self.store.write(gone.select("chunk_id", "dl"), "dropped", batch)
+        written = self.spark.read.parquet(f"{self.store.path}/dropped/batch={batch}")
+        count, length = written.agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0))).first()
+        return now.with_(
+            n_chunks=now.n_chunks - count,
+            total_length=now.total_length - length,
+            replaced=[*now.replaced, batch],
+        )
 
     def _write_vectors(
         self, new: DataFrame, vectors: DataFrame | None, batch: int, cache: EmbeddingCache | None
@@ -205,7 +206,7 @@ class HybridIndex:
         self._publish(self._train(self.manifest.with_(batches=version + 1), version))
 
     def _publish(self, manifest: Manifest) -> None:
-        self.store.commit(manifest, self.store.versions())
+        self.store.commit(manifest)
         self.manifest = manifest
         for name in ("cells", "sparse"):
             self.__dict__.pop(name, None)
@@ -226,7 +227,7 @@ class HybridIndex:
             else:
                 copy.write(self.vectors, "vectors_by_cell_0", 0, "cell")
                 copy.write(self.cells.to_frame(self.spark).coalesce(1), "centroids", 0)
-        copy.commit(done, 0)
+        copy.commit(done)
         return HybridIndex(self.spark, path, self.config, self.encoder, done)
 
     # Tables -----------------------------------------------------------------
@@ -261,10 +262,9 @@ class HybridIndex:
     @cached_property
     def sparse(self) -> SparseIndex:
         m = self.manifest
-        terms = merge_term_frequencies(self.store.read("terms", m))
         members = self.chunks.select("chunk_id", *INSERTION_ORDER, "dl")
-        postings = self.store.read("postings", m).drop("batch")
-        return SparseIndex(postings, members, terms, m.n_chunks, m.total_length, m.average_idf)
+        postings, terms = self.store.read("postings", m), self.store.read("terms", m)
+        return SparseIndex.of(postings, members, terms, m.n_chunks, m.total_length, self.config.term_buckets)
 
     # Retrieval --------------------------------------------------------------
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from dataclasses import asdict, dataclass, field, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +27,6 @@ class Manifest:
     n_chunks: int = 0
     total_length: int = 0
     next_ord: int = 0
-    average_idf: float | None = None
     # Number of the batch that wrote the current cells; None while search is exhaustive.
     cells: int | None = None
     # Batches that replaced earlier chunks.
@@ -41,20 +41,27 @@ class IndexStore:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
+        self.version = -1
 
     def latest(self) -> Manifest | None:
-        versions = read_table(self.spark, f"{self.path}/manifest")
-        row = None if versions is None else versions.orderBy(F.col("v").desc()).first()
-        return None if row is None else Manifest(**json.loads(row["body"]))
+        """The newest committed manifest; later commits continue its version number."""
+        try:
+            versions = self.spark.read.schema("body string, v int").parquet(f"{self.path}/manifest")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        row = versions.orderBy(F.col("v").desc()).first()
+        if row is None:
+            return None
+        self.version = row["v"]
+        return Manifest(**json.loads(row["body"]))
 
-    def commit(self, manifest: Manifest, version: int) -> None:
-        """Publish a version; fails if another writer took the number."""
+    def commit(self, manifest: Manifest) -> None:
+        """Publish the next version; fails if another writer took its number."""
         row = self.spark.createDataFrame([(json.dumps(asdict(manifest)),)], "body string")
-        row.coalesce(1).write.mode("error").parquet(f"{self.path}/manifest/v={version}")
-
-    def versions(self) -> int:
-        table = read_table(self.spark, f"{self.path}/manifest")
-        return 0 if table is None else table.agg(F.max("v")).first()[0] + 1
+        row.coalesce(1).write.mode("error").parquet(f"{self.path}/manifest/v={self.version + 1}")
+        self.version += 1
 
     def write(self, df: DataFrame, table: str, batch: int, partition_by: str | None = None) -> None:
         writer = df.write.mode("overwrite")
