@@ -107,6 +107,6 @@ def embed(
         vectors = counts.join(cache.read(), "key").select("key", "n", F.col("embedding").alias(into))
     keyed = df.withColumn("key", text_key(F.col(text)))
     per_slice = slice_rows(df.count())
-    # Rows of one hot key are told apart by every column, so its copies spread over all slices.
-    salted = keyed.withColumn("_row", F.monotonically_increasing_id())
-    return salted_join(salted, vectors, "key", F.col("n"), per_slice, "_row").select(*df.columns, into)
+    # Copies of one text differ in their other columns, which spread them over its slices.
+    hashable = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    return salted_join(keyed, vectors, "key", F.col("n"), per_slice, hashable).select(*df.columns, into)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.text import let, term_counts, tokenize
 from gleaner.operators.ranking import positions, top_k
-from gleaner.runtime import fits_broadcast, materialize, salted_join, slice_rows
+from gleaner.runtime import busy_partitions, fits_broadcast, materialize, salted_join, slice_rows
 
 # BM25 parameters.
 K1 = 1.5
@@ -161,13 +161,15 @@ def bm25_scores(queries: DataFrame, index: SparseIndex) -> DataFrame:
         # The words go to the postings. Matching postings move once, to their chunk; sums and
         # the per-task top-k then need no further shuffle of (query, chunk) pairs.
         words = F.broadcast(weighted.select("term"))
-        matched = postings.join(words, "term", "left_semi").repartition("chunk_id")
+        matched = postings.join(words, "term", "left_semi").repartition(
+            busy_partitions(queries.sparkSession), "chunk_id"
+        )
         pairs = matched.join(F.broadcast(weighted.drop("df")), "term")
     else:
         # Both sides meet by term. Words found in a large share of the chunks are cut into
         # slices by chunk, so no task holds all postings of one word.
         pairs = salted_join(
-            postings, weighted, "term", F.col("df"), slice_rows(index.n_chunks), "chunk_id"
+            postings, weighted, "term", F.col("df"), slice_rows(index.n_chunks), ["chunk_id"]
         )
     keys = ("query_id", "chunk_id", *INSERTION_ORDER)
     return pairs.groupBy(*keys).agg(F.sum(term_score(index.average_length)).alias("score"))

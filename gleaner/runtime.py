@@ -60,6 +60,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(wanted) if 0 < len(files) < wanted else df
 
 
+def busy_partitions(spark: SparkSession) -> int:
+    """Partitions of a shuffle whose rows are few bytes but much work each.
+
+    A fixed number, as joining small partitions by their bytes would leave cores idle.
+    """
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffle, 4 * spark.sparkContext.defaultParallelism)
+
+
 def fits_broadcast(df: DataFrame, *text_columns: str, row_bytes: int = 64) -> bool:
     """Measure a table: may it be broadcast?"""
     size = F.lit(row_bytes)
@@ -75,7 +84,7 @@ def salted_join(
     key: str,
     rows_of_key: Column,
     rows_per_slice: int,
-    spread_by: str,
+    spread_by: list[str],
     how: str = "inner",
 ) -> DataFrame:
     """Equi-join whose hot keys are cut into slices of at most about `rows_per_slice` rows.
@@ -83,7 +92,8 @@ def salted_join(
     `small` holds each key's row count in `big` (`rows_of_key`). Keys above the
     slice size are few - their counts add up to no more than the rows of `big` -
     so they are broadcast to tell `big` its slices; `small` rows of those keys
-    are repeated once per slice. All other keys keep slice 0.
+    are repeated once per slice. All other keys keep slice 0. A row's slice is a
+    hash of its `spread_by` columns, so a recomputed task cuts the same way.
     """
     slices = F.ceil(rows_of_key / F.lit(float(rows_per_slice))).cast("int")
     hot = small.select(key, slices.alias("_slices")).where("_slices > 1").distinct()
@@ -92,7 +102,7 @@ def salted_join(
         .withColumn(
             "_slice",
             F.when(
-                F.col("_slices").isNotNull(), F.pmod(F.xxhash64(spread_by), F.col("_slices")).cast("int")
+                F.col("_slices").isNotNull(), F.pmod(F.xxhash64(*spread_by), F.col("_slices")).cast("int")
             ).otherwise(F.lit(0)),
         )
         .drop("_slices")
