@@ -35,7 +35,9 @@ def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
     """Write once to shared storage and read back: cuts lineage and outlives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.partitionBy(*partition_by).parquet(path)
+    # Rebalanced by folder, a task writes few folders and a large folder is shared by many tasks.
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    rows.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
