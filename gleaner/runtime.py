@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 
@@ -14,17 +15,21 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 << 20
 
+# Folders made for local sessions that name none; the setting itself cannot be changed while a session runs.
+_local_dirs: dict[str, str] = {}
+
 
 def work_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir; a temp folder in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="gleaner-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="gleaner-")
+    return _local_dirs[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
