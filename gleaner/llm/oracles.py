@@ -43,7 +43,23 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM counts
 """
 
-SQL = {"op4_quality_rules": QUALITY}
+# A turn reads "<turn:" role ">" text "</turn>", with one more character for each "\\" and "<" (in roles also ">").
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+  WHERE conv_id IS NOT NULL
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(14 + length(role) + length(text) + length(role) - length(regexp_replace(role, '[\\<>]', '', 'g'))
+    + length(text) - length(regexp_replace(text, '[\\<]', '', 'g')))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+SQL = {"op3_chat_format": CHAT, "op4_quality_rules": QUALITY}
 
 
 def oracles() -> dict[str, str]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, packing, pii, quality, simhash, toxicity
+from gleaner.llm import bpe, chat, hnsw, html, licenses, packing, pii, quality, simhash, toxicity
 from gleaner.llm.common import ROW, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -33,6 +33,19 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one whose texts hold control strings of templates."""
+    said = table(spark, folder, "conversations").select(
+        F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), "role", "text"
+    )
+    tricky = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    turns = said.unionByName(extra).withColumn("parts", chat.text_part(F.col("text")))
+    return chat.read_back(chat.format_turns(turns))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     base = [rule.name for rule in quality.BASE_RULES]
     return quality.judge(table(spark, folder, "documents")).select(
@@ -49,6 +62,12 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), digits.alias("fingerprint"), "component_id")
 
 
+def op6_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan_documents(table(spark, folder, "documents"))
+    span = lambda r: F.concat_ws(":", r["start"].cast("string"), r["end"].cast("string"))
+    return found.withColumn("runs", F.array_join(F.transform("runs", span), ",")).withColumnRenamed("id", "doc_id")
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     encoded = bpe.encode_texts(
         table(spark, folder, "documents"), BYTE_BPE, public_tokenizers.PATTERN, with_ids=False
@@ -56,6 +75,20 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encoded.select(F.col("id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op8_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    texts = html.extract(pages, html.fit(pages))
+    return texts.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+def op9_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth row; one more id is kept per copy, as a query's own does not count."""
+    vectors = hnsw.vectors_of(table(spark, folder, "embeddings"), "vec_id", "embedding")
+    index = hnsw.shard_index(vectors, keep_ids=11)
+    found = hnsw.search_index(index, vectors.where("id % 100 = 0"), 10)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"), "score")
+
+
 def _joined(spans: Column) -> Column:
     part = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     return F.array_join(F.transform(spans, part), ",")
