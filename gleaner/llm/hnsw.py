@@ -13,7 +13,7 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import pickle
+import io
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -230,6 +230,27 @@ def search(graph: Graph, queries: np.ndarray, width: int = SEARCH_WIDTH) -> tupl
     return search_level(graph, 0, queries, entries, max(width, entries.shape[1]))
 
 
+def stored(graph: Graph, exact: np.ndarray, ids: list[list[int]]) -> bytes:
+    """A shard as plain arrays in one binary value."""
+    arrays = {f"links{k}": m for k, m in enumerate(graph.neighbours)} | {f"slots{k}": m for k, m in enumerate(graph.slots)}
+    counts = np.array([len(own) for own in ids], np.int64)
+    flat = np.array([i for own in ids for i in own], np.int64)
+    out = io.BytesIO()
+    np.savez(out, exact=exact, counts=counts, ids=flat, shape=np.array([graph.entry, graph.top]), **arrays)
+    return out.getvalue()
+
+
+def restored(value: bytes) -> tuple[Graph, np.ndarray, list[list[int]]]:
+    arrays = np.load(io.BytesIO(value), allow_pickle=False)
+    exact, (entry, top) = arrays["exact"], arrays["shape"].tolist()
+    levels = range(top + 1)
+    links, slots = [arrays[f"links{k}"] for k in levels], [arrays[f"slots{k}"] for k in levels]
+    ends = np.cumsum(arrays["counts"]).tolist()
+    flat = arrays["ids"].tolist()
+    ids = [flat[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+    return Graph(exact.astype(np.float32), links, slots, entry, top), exact, ids
+
+
 # Tables -----------------------------------------------------------------------------
 
 
@@ -283,7 +304,7 @@ def shard_index(rows: DataFrame, keep_ids: int, shard_rows: int = SHARD_ROWS) ->
         exact = np.frombuffer(b"".join(order), np.float64).reshape(len(order), -1)
         ids = [_fewest(found[v], keep_ids) for v in order]
         graph = build(exact.astype(np.float32))
-        return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "graph": [pickle.dumps((graph, exact, ids), protocol=5)]})
+        return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "graph": [stored(graph, exact, ids)]})
 
     made = keyed.groupBy("dim", "shard").applyInPandas(graphs, "dim int, shard int, graph binary")
     return materialize(made, "hnsw-index")
@@ -316,9 +337,9 @@ def search_index(index: DataFrame, queries: DataFrame, k: int, width: int = SEAR
             for key, part in batch.groupby(["dim", "shard"], sort=False):
                 if key != at:
                     at, held = key, None
-                stored = part[part["kind"] == 0]
-                if len(stored):
-                    held = pickle.loads(stored["graph"].iloc[0])
+                graphs = part[part["kind"] == 0]
+                if len(graphs):
+                    held = restored(graphs["graph"].iloc[0])
                 part = part[part["kind"] == 1]
                 for low in range(0, len(part), QUERY_BLOCK):
                     block = part.iloc[low : low + QUERY_BLOCK]
