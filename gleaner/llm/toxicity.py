@@ -267,18 +267,25 @@ def fit(labelled: DataFrame, model: CharacterModel) -> Weights:
         .where((F.col("toxic") >= MIN_TOXIC) & (F.col("w") > 0))
         .select("word", "w")
     )
-    # A beginning counts by what is left without its most frequent word, and only if several words share it.
+    # A beginning counts by what is left without its most frequent next letter - else it only stands
+    # for a longer one - and only if several words share it.
     starts = (
         words.select(
             "word", "toxic", "clean",
-            F.explode(F.array(*[F.when(F.length("word") > k, F.substring("word", 1, k)) for k in PREFIXES])).alias("start"),
+            F.explode(F.array(*[F.when(F.length("word") > k, F.lit(k)) for k in PREFIXES])).alias("k"),
+        )
+        .where("k is not null")
+        .groupBy(F.substring("word", F.lit(1), F.col("k")).alias("start"), F.substring("word", F.lit(1), F.col("k") + 1).alias("longer"))
+        .agg(
+            F.sum("toxic").alias("toxic"),
+            F.sum("clean").alias("clean"),
+            F.count_if(F.col("toxic") > F.col("clean")).alias("kinds"),
         )
-        .where("start is not null")
         .groupBy("start")
         .agg(
             (F.sum("toxic") - F.max("toxic")).alias("toxic"),
             F.sum("clean").alias("clean"),
-            F.count_if(F.col("toxic") > F.col("clean")).alias("kinds"),
+            F.sum("kinds").alias("kinds"),
         )
         .where((F.col("toxic") >= MIN_TOXIC) & (F.col("kinds") >= MIN_KINDS))
         .withColumn("w", _bound(F.col("toxic"), F.col("clean"), toxic, clean))
