@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 # Order matters, the first separator found in a text is the only one used.
 DEFAULT_SEPARATORS = ("\n\n", "\n", ". ", "! ", "? ", "; ")
@@ -63,24 +63,37 @@ class VectorIndexConfig:
     nlist: int = 100
     nprobe: int = 10
     seed: int = 42
-    # Vectors shown to k-means per cell; cells only steer which vectors are looked at.
-    train_per_cell: int = 256
     # nlist = sqrt(N), nprobe = nlist / 10 instead of the fixed numbers.
     auto: bool = False
+    # "exact" or "cells" whatever the size, or "by_size".
+    search: str = "by_size"
 
     def __post_init__(self) -> None:
         _require(self.nlist > 0 and self.nprobe > 0, "nlist and nprobe must be positive")
+        _require(self.search in ("by_size", "exact", "cells"), "search is 'by_size', 'exact' or 'cells'")
 
     def resolve(self, n: int) -> "VectorIndexConfig":
         """The concrete nlist and nprobe for n vectors."""
         if not self.auto:
             return self
         nlist = max(1, round(n**0.5))
-        return VectorIndexConfig(nlist, max(1, nlist // 10), self.seed, self.train_per_cell)
+        return replace(self, nlist=nlist, nprobe=max(1, nlist // 10), auto=False)
 
-    def wants_cells(self, n: int) -> bool:
-        """Exact search below four vectors per cell, cells from there on."""
-        return n >= 4 * self.resolve(n).nlist
+    def wants_cells(self, n: int, trained: int | None = None) -> bool:
+        """Whether to train cells: by size, exact search below four vectors per cell, cells from there on.
+
+        Cells that exist are trained anew once `auto` wants twice as many.
+        """
+        wanted = self.resolve(n).nlist
+        if trained is not None:
+            return self.auto and wanted >= 2 * trained
+        if self.search == "by_size":
+            return n >= 4 * wanted
+        return self.search == "cells" and n > 0
+
+    def probes(self, trained: int) -> int:
+        """Cells looked at per question, of those that were trained."""
+        return max(1, trained // 10) if self.auto else self.nprobe
 
 
 @dataclass(frozen=True)
@@ -109,7 +122,7 @@ class IndexConfig:
             ChunkingConfig(**raw["chunking"]),
             EmbeddingConfig(**raw["embedding"]),
             RetrievalConfig(**raw["retrieval"]),
-            VectorIndexConfig(**raw["vectors"]),
+            VectorIndexConfig(**{k: v for k, v in raw["vectors"].items() if k != "train_per_cell"}),
             ContextConfig(**raw["context"]),
             raw["term_buckets"],
         )

@@ -205,16 +205,11 @@ class Cells:
         return len(self.centers)
 
     @classmethod
-    def train(cls, vectors: DataFrame, cfg: VectorIndexConfig, n: int | None = None) -> "Cells":
-        """Spherical k-means with MLlib, as a Spark job over the vectors."""
+    def train(cls, vectors: DataFrame, cfg: VectorIndexConfig) -> "Cells":
+        """Spherical k-means with MLlib, as a Spark job over all vectors that have a direction."""
         usable = vectors.where(norm(F.col("embedding")) > 0).select(
             array_to_vector(F.col("embedding")).alias("features")
         )
-        n = usable.count() if n is None else n
-        wanted = cfg.nlist * cfg.train_per_cell
-        if n > wanted:
-            # Centres only steer the search, every vector is still stored and assigned.
-            usable = usable.sample(wanted / n, seed=cfg.seed)
         model = KMeans(k=cfg.nlist, distanceMeasure="cosine", seed=cfg.seed, maxIter=20).fit(usable)
         centers = np.array(model.clusterCenters())
         return cls(centers / np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-12))

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from gleaner.runtime import materialize
 
 # Scores that agree to nine decimals are ties, whatever order their parts were added in.
-_RANK_SCALE = 1e9
+RANK_SCALE = 1e9
 
 
 def score_order(score: Column) -> Column:
-    return F.rint(score * _RANK_SCALE).desc()
+    return F.rint(score * RANK_SCALE).desc()
 
 
 def top_k(scored: DataFrame, k: int, *tie_break: Column, score: str = "score") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import let, term_counts, tokenize
-from gleaner.operators.ranking import positions, top_k
+from gleaner.operators.ranking import RANK_SCALE, positions, top_k
 from gleaner.runtime import busy_partitions, fits_broadcast, materialize, salted_join, slice_rows
 
 # BM25 parameters.
@@ -188,9 +188,11 @@ def bm25_search(queries: DataFrame, index: SparseIndex, k: int, pad_zero: bool =
 def _with_zero_tail(queries: DataFrame, hits: DataFrame, index: SparseIndex, k: int) -> DataFrame:
     """Fill lists shorter than k with zero-score chunks in insertion order.
 
-    All weights are positive here, so a question short of k matches has listed
-    every match it has; 2k first chunks always hold enough others.
+    No weight is negative here. A match whose words weigh nothing scores zero and stands among the
+    unmatched chunks, so only matches that score above zero come first: a question has listed all of
+    them when it has less than k, and 2k first chunks always hold enough others.
     """
+    hits = hits.where(F.rint(F.col("score") * RANK_SCALE) > 0)
     fields = ("chunk_id", *INSERTION_ORDER, "score")
     first = index.members.orderBy(*INSERTION_ORDER).limit(2 * k)
     pad = F.struct("chunk_id", *INSERTION_ORDER, F.lit(0.0).alias("score"))

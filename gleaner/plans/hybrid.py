@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gleaner.config import IndexConfig
 from gleaner.functions.text import tokenize
+from gleaner.functions.vectors import require_dimension
 from gleaner.operators.chunk import chunk_documents
 from gleaner.operators.dense import Cells, exact_search, ivf_search
 from gleaner.operators.embed import EmbeddingCache, Encoder, HashingEncoder, embed
@@ -34,6 +35,10 @@ from gleaner.runtime import materialize, scratch_path
 from gleaner.sources.store import IndexStore, Manifest
 
 
+# Columns of a chunk that callers of `add_chunks` may leave out.
+OPTIONAL_COLUMNS = {"metadata": "map<string,string>", "start_char": "int", "end_char": "int"}
+
+
 class HybridIndex:
     """Chunks, postings and vectors under one path, all of them DataFrames."""
 
@@ -98,6 +103,13 @@ class HybridIndex:
         self, chunks: DataFrame, vectors: DataFrame, label: str | None = None, on_conflict: str = "error"
     ) -> int:
         """Append ready chunks with their vectors(chunk_id, embedding); both must name the same chunks."""
+        rows, distinct, length = vectors.agg(
+            F.count("*"), F.countDistinct("chunk_id"), F.coalesce(F.max(F.size("embedding")), F.lit(self.encoder.dim))
+        ).first()
+        if distinct < rows:
+            raise ValueError("a chunk id has more than one vector")
+        if require_dimension(vectors) not in (0, self.encoder.dim):
+            raise ValueError(f"vectors have length {length}, the index has {self.encoder.dim}")
         unmatched = (
             chunks.select("chunk_id", F.lit(1).alias("c"))
             .join(vectors.select("chunk_id", F.lit(1).alias("v")), "chunk_id", "full_outer")
@@ -129,6 +141,10 @@ class HybridIndex:
             return 0
         # Insertion order goes on where the last batch ended.
         placed = chunks.withColumn("doc_ord", F.col("doc_ord") + (old.next_ord - first))
+        # Every batch has every column, so that a table reads alike whichever batch names its schema.
+        for name, kind in OPTIONAL_COLUMNS.items():
+            if name not in placed.columns:
+                placed = placed.withColumn(name, F.lit(None).cast(kind))
         self.store.write(placed.withColumn("dl", F.size(tokenize(F.col("text")))), "chunks", batch)
         new = self.spark.read.parquet(f"{self.store.path}/chunks/batch={batch}")
         count, distinct, length, last = new.agg(
@@ -154,7 +170,7 @@ class HybridIndex:
         self.store.write(frequencies, "terms", batch)
 
         self._write_vectors(new, vectors, batch, cache)
-        if old.cells is None and self.config.vectors.wants_cells(now.n_chunks):
+        if self.config.vectors.wants_cells(now.n_chunks, None if self.cells is None else self.cells.nlist):
             now = self._train(now, batch)
         self._publish(now)
         return count
@@ -195,7 +211,7 @@ class HybridIndex:
     def _train(self, manifest: Manifest, batch: int) -> Manifest:
         """Cells over all vectors: k-means, then every vector is written to its cell."""
         flat = self.store.read(self._vector_table, manifest).drop("batch", "cell")
-        cells = Cells.train(flat, self.config.vectors.resolve(manifest.n_chunks), manifest.n_chunks)
+        cells = Cells.train(flat, self.config.vectors.resolve(manifest.n_chunks))
         self.store.write(cells.to_frame(self.spark).coalesce(1), "centroids", batch)
         self.store.write(cells.assign(flat), f"vectors_by_cell_{batch}", batch, "cell")
         return manifest.with_(cells=batch)
@@ -279,7 +295,7 @@ class HybridIndex:
         if self.cells is None:
             hits = exact_search(encoded, self.vectors, k, dim=self.encoder.dim)
         else:
-            nprobe = self.config.vectors.resolve(self.n_chunks).nprobe
+            nprobe = self.config.vectors.probes(self.cells.nlist)
             hits = ivf_search(encoded, self.vectors, self.cells, k, nprobe, dim=self.encoder.dim)
         return hits.select("query_id", "rank", "chunk_id", "score")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -13,6 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleaner.functions.text import strip
 from gleaner.operators.ranking import positions
 
 # The file types that are read.
@@ -70,9 +72,9 @@ def file_metadata(path: Column) -> Column:
     return F.create_map(F.lit("source"), local_path(path), F.lit("filename"), file_name(path))
 
 
-def join_parts(parts: Column) -> Column:
-    """Non-blank parts of one document, separated by blank lines."""
-    return F.array_join(F.filter(parts, lambda p: F.btrim(p) != ""), "\n\n")
+def join_parts(parts: Column, kind: Column) -> Column:
+    """Parts of one document, separated by blank lines: non-blank paragraphs, or pages that are not empty."""
+    return F.array_join(F.filter(parts, lambda p: F.when(kind == ".docx", strip(p)).otherwise(p) != ""), "\n\n")
 
 
 def assemble_parts(parts: DataFrame, doc: str, order: str, text: str = "text") -> DataFrame:
@@ -94,9 +96,12 @@ class FileDocuments:
     rejects: DataFrame
 
     @classmethod
-    def split(cls, extracted: DataFrame, missing: DataFrame | None = None) -> "FileDocuments":
+    def split(
+        cls, extracted: DataFrame, missing: DataFrame | None = None, name: Column | None = None
+    ) -> "FileDocuments":
+        """`name` is the document id, by default the file's name without its suffix."""
         good = extracted.where(F.col("error").isNull()).select(
-            stem(F.col("path")).alias("doc_id"), "text", file_metadata(F.col("path")).alias("metadata"), "doc_ord"
+            (stem(F.col("path")) if name is None else name).alias("doc_id"), "text", file_metadata(F.col("path")).alias("metadata"), "doc_ord"
         )
         bad = extracted.where(F.col("error").isNotNull()).select("path", "error")
         return cls(good, bad if missing is None else bad.unionByName(missing))
@@ -118,7 +123,7 @@ def _extract(files: DataFrame, extractors: dict[str, Extractor]) -> DataFrame:
                 except Exception as error:  # a broken file must not stop the others
                     parts.append(None)
                     errors.append(f"{type(error).__name__}: {error}")
-            yield batch[["path", "doc_ord"]].assign(parts=parts, error=errors)
+            yield batch[["path", "doc_ord", "kind"]].assign(parts=parts, error=errors)
 
     typed = files.withColumn("kind", suffix(F.col("path")))
     none = F.lit(None).cast("string")
@@ -127,8 +132,8 @@ def _extract(files: DataFrame, extractors: dict[str, Extractor]) -> DataFrame:
     )
     parsed = (
         typed.where(F.col("kind").isin(*PARSED))
-        .mapInPandas(parse, "path string, doc_ord bigint, parts array<string>, error string")
-        .select("path", "doc_ord", join_parts(F.col("parts")).alias("text"), "error")
+        .mapInPandas(parse, "path string, doc_ord bigint, kind string, parts array<string>, error string")
+        .select("path", "doc_ord", join_parts(F.col("parts"), F.col("kind")).alias("text"), "error")
     )
     other = typed.where(~F.col("kind").isin(*SUFFIXES)).select(
         "path", "doc_ord", none.alias("text"), F.format_string("unsupported file type: %s", F.col("kind")).alias("error")
@@ -137,9 +142,20 @@ def _extract(files: DataFrame, extractors: dict[str, Extractor]) -> DataFrame:
 
 
 def read_directory(
-    spark: SparkSession, directory: str, extractors: dict[str, Extractor] | None = None, *, recursive: bool = True
+    spark: SparkSession,
+    directory: str,
+    extractors: dict[str, Extractor] | None = None,
+    *,
+    recursive: bool = True,
+    ids: str = "stem",
 ) -> FileDocuments:
-    """Every supported file below a folder, in path order; unreadable ones become rejects."""
+    """Every supported file below a folder, in path order; unreadable ones become rejects.
+
+    With `ids="path"` a document is named by its path within the folder, so that files of one name in several
+    folders stay apart. Spark's readers pass over names that begin with "_" or "."; such files are rejects.
+    """
+    if ids not in ("stem", "path"):
+        raise ValueError("ids is 'stem' or 'path'")
     kinds = ",".join(s[1:] for s in SUFFIXES)
     reader = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{{{kinds}}}")
     if recursive:
@@ -153,7 +169,32 @@ def read_directory(
     # Only paths are sorted; contents stay where they are read.
     order = positions(files.select("path"), "path", into="doc_ord")
     numbered = files.select("path", "content").join(order, "path")
-    return FileDocuments.split(_extract(numbered, extractors or {}))
+    root = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    full = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString().rstrip("/")
+    name = None if ids == "stem" else F.substr(local_path(F.col("path")), F.length(local_path(F.lit(full))) + 2)
+    hidden = [(p, "hidden file names are not read; rename the file") for p in _hidden_files(spark, directory, recursive)]
+    rejected = spark.createDataFrame(hidden, "path string, error string")
+    return FileDocuments.split(_extract(numbered, extractors or {}), rejected, name)
+
+
+def _hidden_files(spark: SparkSession, directory: str, recursive: bool) -> list[str]:
+    """Supported files that Spark's listing leaves out; asked level by level, only hidden names are returned."""
+    jvm = spark._jvm
+    system = jvm.org.apache.hadoop.fs.Path(directory).getFileSystem(spark._jsc.hadoopConfiguration())
+    found, level = [], escaped(directory.rstrip("/"))
+    while True:
+        for status in system.globStatus(jvm.org.apache.hadoop.fs.Path(level + "/{_,.}*")) or ():
+            path = status.getPath().toString()
+            if status.isFile() and path.lower().endswith(SUFFIXES):
+                found.append(path)
+        level += "/[!_.]*"
+        if not recursive or not any(s.isDirectory() for s in system.globStatus(jvm.org.apache.hadoop.fs.Path(level)) or ()):
+            return found
+
+
+def escaped(path: str) -> str:
+    """A path as a pattern that matches only itself."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
 def read_files(
@@ -175,7 +216,7 @@ def read_files(
 
 def _one_file(spark: SparkSession, path: str) -> DataFrame:
     try:
-        return spark.read.format("binaryFile").load(path).select("path", "content")
+        return spark.read.format("binaryFile").load(escaped(path)).select("path", "content")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(path) from error
@@ -183,9 +224,15 @@ def _one_file(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_file(spark: SparkSession, path: str, extractors: dict[str, Extractor] | None = None) -> DataFrame:
-    """One file as documents; a missing path or an unsupported suffix is an error at once."""
+    """One file as documents; a path that is missing or cannot be read is an error at once."""
     kind = "." + path.rsplit("/", 1)[-1].rsplit(".", 1)[-1].lower()
     files = _one_file(spark, path)
     if kind not in SUFFIXES:
         raise ValueError(f"unsupported file type: {kind}")
-    return FileDocuments.split(_extract(files.withColumn("doc_ord", F.lit(0).cast("bigint")), extractors or {})).documents
+    read = FileDocuments.split(_extract(files.withColumn("doc_ord", F.lit(0).cast("bigint")), extractors or {}))
+    reject = read.rejects.first()
+    if reject is not None:
+        raise ValueError(f"{path}: {reject['error']}")
+    if path.rsplit("/", 1)[-1].startswith(("_", ".")):
+        raise ValueError(f"{path}: hidden file names are not read; rename the file")
+    return read.documents

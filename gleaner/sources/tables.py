@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from gleaner.operators.ranking import positions
 
 
 def string_map(values: Column) -> Column:
@@ -18,7 +21,15 @@ def from_table(
     order: str | None = None,
     metadata: list[str] | None = None,
 ) -> DataFrame:
-    """(doc_id, text, metadata, doc_ord) of any table; `order` is the insertion order, by default the id."""
+    """(doc_id, text, metadata, doc_ord) of any table; `order` is the insertion order, by default the id.
+
+    Ids that are no whole numbers are numbered in their order; a stream of such needs an `order`.
+    """
+    if order is None and not isinstance(table.schema[doc_id].dataType, T.IntegralType):
+        if table.isStreaming:
+            raise ValueError("a stream of documents whose ids are no whole numbers needs an order column")
+        order = "_position"
+        table = positions(table, doc_id, into=order)
     pairs = [c for name in metadata or [] for c in (F.lit(name), F.col(name).cast("string"))]
     tags = F.create_map(*pairs) if pairs else F.create_map()
     return table.select(

@@ -207,8 +207,7 @@ def _hybrid(k: int = 20) -> str:
 
 JUDGED = """
 rel AS MATERIALIZED (
-  SELECT query_id, chunk_id FROM q JOIN chunks ON contains(chunks.text, q.question)
-  WHERE len(regexp_extract_all(lower(question), '[\\p{L}\\p{N}_]+')) > 2)"""
+  SELECT query_id, chunk_id FROM q JOIN chunks ON contains(chunks.text, q.question))"""
 
 METRICS = f"""{_hybrid()}, {JUDGED},
 per AS (

@@ -34,7 +34,7 @@ from gleaner.operators.sparse import (
     term_frequencies,
 )
 from gleaner.plans.hybrid import HybridIndex
-from gleaner.runtime import materialize, scratch_path, spread
+from gleaner.runtime import fits_broadcast, materialize, scratch_path, spread
 from gleaner.sources.files import SUFFIXES, assemble_parts, file_name, stem, suffix
 from gleaner.sources.store import IndexStore
 from gleaner.sources.tables import default_doc_ids, from_table
@@ -351,7 +351,7 @@ def q_source_rows(c: Corpus) -> DataFrame:
 
 def _exact_config() -> IndexConfig:
     """Exhaustive vector search at any size, so the results have a plain SQL form."""
-    return IndexConfig(vectors=VectorIndexConfig(nlist=1 << 40))
+    return IndexConfig(vectors=VectorIndexConfig(search="exact"))
 
 
 def q_hybrid_answer(c: Corpus) -> DataFrame:
@@ -381,10 +381,16 @@ def passage_judgements(questions: DataFrame, chunks: DataFrame, index: SparseInd
     """(query_id, chunk_id) of the chunks that contain a question's text word for word.
 
     Such a chunk holds every inner word of the passage, so only chunks with the
-    rarest inner word are compared.
+    rarest inner word are compared. Questions of at most two words have no inner word; these
+    few are compared with every chunk.
     """
-    inner = questions.select(
-        "query_id", "question", F.explode(F.slice(tokenize(F.col("question")), F.lit(2), F.greatest(F.size(tokenize(F.col("question"))) - 2, F.lit(0)))).alias("term")
+    worded = questions.select("query_id", "question", tokenize(F.col("question")).alias("words"))
+    short = worded.where(F.size("words") <= 2).select("query_id", "question")
+    if fits_broadcast(short, "question"):
+        short = F.broadcast(short)
+    held = chunks.select("chunk_id", "text").join(short, F.contains("text", "question")).select("query_id", "chunk_id")
+    inner = worded.where(F.size("words") > 2).select(
+        "query_id", "question", F.explode(F.slice("words", F.lit(2), F.size("words") - 2)).alias("term")
     )
     rarest = (
         inner.join(index.terms, "term")
@@ -400,6 +406,7 @@ def passage_judgements(questions: DataFrame, chunks: DataFrame, index: SparseInd
         .join(near, "chunk_id")
         .where(F.contains("text", "question"))
         .select("query_id", "chunk_id")
+        .unionByName(held)
     )
 
 
