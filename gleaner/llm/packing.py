@@ -33,8 +33,9 @@ from gleaner.runtime import materialize
 
 SEQUENCE = 4096
 END_ID = 2
-# Ranks counted by one task; a length with more pieces is cut into buckets.
-BUCKET_ROWS = 50_000
+# A length with more pieces than this, or than the total over `BUCKETS`, is cut into buckets that are ranked apart.
+BUCKET_ROWS = 1_000
+BUCKETS = 200_000
 REMEMBERED = 600_000
 
 
@@ -165,13 +166,14 @@ def shortest_pack_first(histogram: dict[int, int], sequence: int = SEQUENCE) ->
     return slots, [Pattern(*x) for x in sorted(heap, key=lambda x: x[1])]
 
 
-def ranked(pieces: DataFrame) -> DataFrame:
+def ranked(pieces: DataFrame, total: int) -> DataFrame:
     """Pieces with their rank within their length, from 0, by id and start.
 
     A length with many pieces is cut into buckets by a hash of the piece; a bucket's first rank
-    is the number of pieces in the buckets before it. The bucket table has about one row per `BUCKET_ROWS` pieces.
+    is the number of pieces in the buckets before it. There are at most `BUCKETS` buckets and one more per length.
     """
-    wanted = pieces.groupBy("length").agg(F.ceil(F.count("*") / BUCKET_ROWS).cast("int").alias("_buckets"))
+    most = max(BUCKET_ROWS, -(-total // BUCKETS))
+    wanted = pieces.groupBy("length").agg(F.ceil(F.count("*") / most).cast("int").alias("_buckets"))
     cut = pieces.join(F.broadcast(wanted), "length").withColumn(
         "_bucket", F.pmod(F.xxhash64("id", "start", "ids_crc32"), F.col("_buckets")).cast("int")
     )
@@ -214,7 +216,7 @@ def place(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
             batch["padded_to"] = np.where(used & (used - 1) == 0, used, sequence)
             yield batch.drop(columns="rank")
 
-    rows = ranked(pieces)
+    rows = ranked(pieces, sum(histogram.values()))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "rank")
     return rows.mapInPandas(work, f"{kinds}, sequence_id bigint, offset bigint, padded_to bigint")
 
