@@ -35,7 +35,7 @@ LETTER_1 = "A-Za-z\\xaa\\xb5\\xba\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff"
 NUMBER_1 = "0-9\\xb2\\xb3\\xb9\\xbc-\\xbe"
 
 # Distinct pieces a worker remembers; beyond it the memory is emptied, not the work.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 
 BORDER, GONE, SHIFT, BLOCK = -1, -2, 24, 8
 
@@ -297,7 +297,7 @@ def encode_texts(frame: DataFrame, ranks_path: str, pattern: str, id_col: str =
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = encoder_of(ranks_path, pattern)
-        for batch in by_text_bytes(batches, "text", 32 << 20):
+        for batch in by_text_bytes(batches, "text", 16 << 20):
             rows = []
             for count, ids, decoded in encoder.batch(batch["text"].tolist()):
                 rows.append(

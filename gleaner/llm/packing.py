@@ -36,7 +36,7 @@ END_ID = 2
 # A length with more pieces than this, or than the total over `BUCKETS`, is cut into buckets that are ranked apart.
 BUCKET_ROWS = 1_000
 BUCKETS = 200_000
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 
 
 class WordTokenizer:
@@ -96,7 +96,7 @@ def pieces_of(frame: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = tokenizer_of(tokenizer_path)
-        for batch in by_text_bytes(batches, "text", 32 << 20):
+        for batch in by_text_bytes(batches, "text", 16 << 20):
             rows = []
             for key, own in zip(batch["id"].tolist(), tokenizer.batch(batch["text"].tolist()), strict=True):
                 own += end
