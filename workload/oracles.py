@@ -228,6 +228,39 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY round(s * 1e9
        vec_id, round(s, 6) AS score
 FROM d QUALIFY rank <= 5"""
 
+# Cells by label: the centre is the mean direction, ties in score go to the lower cell.
+LABEL_CELLS = """
+WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+means AS (SELECT label, pos, avg(x) AS m
+          FROM (SELECT label, unnest(range(1, len(e) + 1)) AS pos, unnest(e) AS x FROM v) GROUP BY label, pos),
+centers AS (SELECT row_number() OVER (ORDER BY label) - 1 AS cell, list(m ORDER BY pos) AS c FROM means GROUP BY label),
+near AS (
+  SELECT vec_id, cell, row_number() OVER (
+    PARTITION BY vec_id ORDER BY round(list_dot_product(e, c) / sqrt(list_dot_product(c, c)), 9) DESC, cell) AS place
+  FROM v, centers),
+stored AS (SELECT v.vec_id, e, cell FROM v JOIN near ON near.vec_id = v.vec_id AND place = 1)"""
+
+
+def _probed(nprobe: int) -> str:
+    return f"""
+  SELECT query_id, vec_id, rank, s FROM (
+    SELECT q.vec_id AS query_id, b.vec_id, list_dot_product(q.e, b.e) AS s,
+      row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_dot_product(q.e, b.e) * 1e9) DESC, b.vec_id) AS rank
+    FROM v q JOIN near p ON p.vec_id = q.vec_id AND p.place <= {nprobe} JOIN stored b ON b.cell = p.cell)
+  WHERE rank <= 5"""
+
+
+IVF_TOP5 = f"{LABEL_CELLS} SELECT query_id, rank, vec_id, round(s, 6) AS score FROM ({_probed(3)})"
+CELL_SIZES = f"{LABEL_CELLS} SELECT cell, count(*) AS n FROM stored GROUP BY cell"
+IVF_RECALL = f"""{LABEL_CELLS},
+truth AS ({_probed(1 << 20)}),
+found AS (SELECT 3 AS nprobe, * FROM ({_probed(3)}) UNION ALL SELECT 5 AS nprobe, * FROM ({_probed(5)}))
+SELECT nprobe, round(avg(hits / 5.0::DOUBLE), 6) AS recall FROM (
+  SELECT n.nprobe, truth.query_id, count(found.vec_id) AS hits
+  FROM truth CROSS JOIN (VALUES (3), (5)) n(nprobe)
+  LEFT JOIN found ON found.nprobe = n.nprobe AND found.query_id = truth.query_id AND found.vec_id = truth.vec_id
+  GROUP BY n.nprobe, truth.query_id) GROUP BY nprobe"""
+
 CHUNK_ROWS = f"{CHUNKS} SELECT chunk_id, start_char, end_char, text FROM chunks"
 TERM_ROWS = f"{POSTINGS} SELECT term, df, round(idf, 6) AS idf FROM weights"
 RANKED = "query_id, rank, chunk_id, round(score, 6) AS score"
@@ -320,6 +353,9 @@ def oracles() -> dict[str, str]:
             round(recall, 6) AS recall, round(precision, 6) AS precision FROM per""",
         "mean_metrics": f"""{METRICS} SELECT round(avg(reciprocal_rank), 6) AS mrr, round(avg(recall), 6) AS recall,
             round(avg(precision), 6) AS precision FROM per""",
+        "ivf_topk": IVF_TOP5,
+        "cell_sizes": CELL_SIZES,
+        "ivf_recall": IVF_RECALL,
         "index_append": TERM_ROWS,
         "index_save_load": CHUNK_ROWS,
         "index_upgrade": "SELECT 'v_' || vec_id AS chunk_id, true AS in_cell FROM embeddings",
