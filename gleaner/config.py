@@ -111,6 +111,8 @@ class IndexConfig:
     context: ContextConfig = field(default_factory=ContextConfig)
     # Folders of the stored posting table; a question reads those of its words. Thousands for large corpora.
     term_buckets: int = 64
+    # Folders of the stored chunks, by a hash of the chunk id; texts of hits are read from the folders they lie in.
+    chunk_buckets: int = 64
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
@@ -125,4 +127,5 @@ class IndexConfig:
             VectorIndexConfig(**{k: v for k, v in raw["vectors"].items() if k != "train_per_cell"}),
             ContextConfig(**raw["context"]),
             raw["term_buckets"],
+            raw.get("chunk_buckets", 0),
         )

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from gleaner.config import ContextConfig
 from gleaner.functions.text import jaccard, snippet, strip, word_set
-from gleaner.runtime import BROADCAST_ROWS
+from gleaner.runtime import fits_broadcast
 
 # Texts that answers are compared with.
 NO_ANSWER = "No relevant documents found."
@@ -29,14 +29,13 @@ PROMPT_TAIL = "\n\nAnswer:"
 MIN_CUT = 50
 
 
-def hydrate(hits: DataFrame, chunks: DataFrame, rows: int | None = None) -> DataFrame:
+def hydrate(hits: DataFrame, chunks: DataFrame, small: bool | None = None) -> DataFrame:
     """Add text and document to hits, the only join that touches chunk texts.
 
-    `rows` is a known upper bound (queries x k). Within the broadcast size the
-    texts stay in place and are filtered by the hits; beyond it Spark joins by
-    chunk_id, a unique key.
+    Hits of a broadcast's size, measured here unless the caller has done so, leave the
+    texts in place and filter them; beyond it Spark joins by chunk_id, a unique key.
     """
-    bounded = rows is not None and rows <= BROADCAST_ROWS
+    bounded = fits_broadcast(hits, "chunk_id") if small is None else small
     wanted = chunks.select("chunk_id", "doc_id", "text")
     return wanted.join(F.broadcast(hits) if bounded else hits, "chunk_id").select(*hits.columns, "doc_id", "text")
 

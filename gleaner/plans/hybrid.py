@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import cached_property
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.config import IndexConfig
@@ -31,7 +31,7 @@ from gleaner.operators.sparse import (
     term_bucket,
     term_frequencies,
 )
-from gleaner.runtime import materialize, scratch_path
+from gleaner.runtime import fits_broadcast, materialize, read_table, scratch_path
 from gleaner.sources.store import IndexStore, Manifest
 
 
@@ -39,6 +39,14 @@ from gleaner.sources.store import IndexStore, Manifest
 OPTIONAL_COLUMNS = {"metadata": "map<string,string>", "start_char": "int", "end_char": "int"}
 
 
+CHUNK_FOLDER = "chunk_folder"
+
+
+def chunk_bucket(chunk_id: Column, buckets: int) -> Column:
+    """Storage folder of a chunk."""
+    return F.pmod(F.xxhash64(chunk_id), F.lit(buckets)).cast("int")
+
+
 class HybridIndex:
     """Chunks, postings and vectors under one path, all of them DataFrames."""
 
@@ -145,8 +153,10 @@ class HybridIndex:
         for name, kind in OPTIONAL_COLUMNS.items():
             if name not in placed.columns:
                 placed = placed.withColumn(name, F.lit(None).cast(kind))
-        self.store.write(placed.withColumn("dl", F.size(tokenize(F.col("text")))), "chunks", batch)
-        new = self.spark.read.parquet(f"{self.store.path}/chunks/batch={batch}")
+        self._write_chunks(self.store, placed.withColumn("dl", F.size(tokenize(F.col("text")))), batch)
+        new = read_table(self.spark, f"{self.store.path}/chunks/batch={batch}")
+        if new is None:  # folders without rows leave no file
+            return 0
         count, distinct, length, last = new.agg(
             F.count("*"), F.countDistinct("chunk_id"), F.sum("dl"), F.max("doc_ord")
         ).first()
@@ -175,6 +185,13 @@ class HybridIndex:
         self._publish(now)
         return count
 
+    def _write_chunks(self, store: IndexStore, chunks: DataFrame, batch: int) -> None:
+        buckets = self.config.chunk_buckets
+        if buckets:
+            store.write(chunks.withColumn(CHUNK_FOLDER, chunk_bucket(F.col("chunk_id"), buckets)), "chunks", batch, CHUNK_FOLDER)
+        else:
+            store.write(chunks, "chunks", batch)
+
     def _replace_old(self, new: DataFrame, old: Manifest, now: Manifest, batch: int, on_conflict: str) -> Manifest:
         """Chunk ids are unique: a repeated document is an error, or takes the place of the old one."""
         known = self.store.read("chunks", old) if old.batches else None
@@ -235,7 +252,7 @@ class HybridIndex:
         m = self.manifest
         done = m.with_(batches=1, replaced=[], cells=None if m.cells is None else 0)
         if m.n_chunks:
-            copy.write(self.chunks, "chunks", 0)
+            self._write_chunks(copy, self.chunks, 0)
             copy.write(self.store.read("postings", m).drop("batch"), "postings", 0, "bucket")
             copy.write(self.sparse.terms, "terms", 0)
             if m.cells is None:
@@ -259,7 +276,16 @@ class HybridIndex:
     @property
     def chunks(self) -> DataFrame:
         """Every indexed chunk."""
-        return self.store.read("chunks", self.manifest).drop("batch")
+        return self.store.read("chunks", self.manifest).drop("batch", CHUNK_FOLDER)
+
+    def _chunks_of(self, hits: DataFrame) -> DataFrame:
+        """The chunks in the folders that some hits lie in: literal folders, so that the others are not read."""
+        rows, buckets = self.store.read("chunks", self.manifest), self.config.chunk_buckets
+        if buckets:
+            # At most as many numbers as folders.
+            found = hits.select(chunk_bucket(F.col("chunk_id"), buckets).alias("b")).distinct().collect()
+            rows = rows.where(F.col(CHUNK_FOLDER).isin([r["b"] for r in found]))
+        return rows.drop("batch", CHUNK_FOLDER)
 
     @property
     def vectors(self) -> DataFrame:
@@ -267,7 +293,10 @@ class HybridIndex:
 
     def chunk(self, chunk_id: str) -> DataFrame:
         """The chunk of that id: one row, or none."""
-        return self.chunks.where(F.col("chunk_id") == chunk_id)
+        rows = self.store.read("chunks", self.manifest).where(F.col("chunk_id") == chunk_id)
+        if self.config.chunk_buckets:
+            rows = rows.where(F.col(CHUNK_FOLDER) == chunk_bucket(F.lit(chunk_id), self.config.chunk_buckets))
+        return rows.drop("batch", CHUNK_FOLDER)
 
     @cached_property
     def cells(self) -> Cells | None:
@@ -309,7 +338,9 @@ class HybridIndex:
     def _with_text(self, hits: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         if self.n_chunks == 0:
             return hits.select("*", F.lit("").alias("doc_id"), F.lit("").alias("text"))
-        return hydrate(hits, self.chunks, queries.count() * k)
+        # Written once: read for the folders and again for the texts.
+        hits = materialize(hits, "hits")
+        return hydrate(hits, self._chunks_of(hits), fits_broadcast(hits, "chunk_id"))
 
     def _k(self, top_k: int | None) -> int:
         k = self.config.retrieval.top_k if top_k is None else top_k

@@ -128,3 +128,18 @@ def test_ids_that_are_no_numbers(spark):
     rows = {r["doc_id"]: r["doc_ord"] for r in from_table(table).collect()}
     assert rows == {"doc-a": 0, "doc-b": 1}
     assert from_table(table.withColumn("n", F.lit(4)), order="n").first()["doc_ord"] == 4
+
+
+def test_texts_are_read_from_the_folders_of_the_hits(spark):
+    docs = spark.createDataFrame(
+        [(i, f"Text number {i} about topic{i} and others, with more than fifty characters.") for i in range(50)],
+        "doc_id long, text string",
+    )
+    index = HybridIndex.build(from_table(docs))
+    found = index.sparse_only(spark.createDataFrame([(1, "topic7")], "query_id long, question string"), 1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "chunk_folder" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert found.first()["doc_id"] == "7"
+    lookup = index.chunk("7_0")
+    assert "chunk_folder" in lookup._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    assert lookup.count() == 1 and index.chunk("none").count() == 0

@@ -145,7 +145,7 @@ def test_reports(spark):
 def test_hydrate_both_ways(spark):
     chunks = spark.createDataFrame([("c0", "d", "t0"), ("c1", "d", "t1")], "chunk_id string, doc_id string, text string")
     hits = ranks(spark, {0: ["c1"], 1: ["c1", "c0"]})
-    small, large = hydrate(hits, chunks, 10), hydrate(hits, chunks)
+    small, large = hydrate(hits, chunks, True), hydrate(hits, chunks, False)
     assert "BroadcastHashJoin" in plan_of(small)
     assert sorted(small.collect()) == sorted(large.collect()) and small.count() == 3
 

@@ -358,6 +358,7 @@ def oracles() -> dict[str, str]:
         "ivf_recall": IVF_RECALL,
         "index_append": TERM_ROWS,
         "index_save_load": CHUNK_ROWS,
+        "chunk_lookup": f"{CHUNK_ROWS} WHERE chunk_id = '1_0'",
         "index_upgrade": "SELECT 'v_' || vec_id AS chunk_id, true AS in_cell FROM embeddings",
         "stream_ingest": CHUNK_ROWS,
     }

@@ -87,8 +87,7 @@ class Corpus:
     def fused(self) -> DataFrame:
         """Fused lists of every question at full candidate depth, with texts."""
         hits = fused_top_k(self.dense_hits(CANDIDATES), self.sparse_hits(CANDIDATES), CANDIDATES)
-        rows = self.questions.count() * CANDIDATES
-        return materialize(hydrate(hits, self.chunks, rows), "fused")
+        return materialize(hydrate(materialize(hits, "hits"), self.chunks), "fused")
 
     @cached_property
     def cells(self) -> Cells:
@@ -380,7 +379,7 @@ def q_bm25_answer(c: Corpus) -> DataFrame:
     """Documents to answers by BM25 alone."""
     chunks = materialize(chunk_documents(c.documents), "chunks")
     hits = bm25_search(c.questions, SparseIndex.build(chunks), RetrievalConfig().top_k)
-    top = hydrate(hits.select("query_id", "rank", "chunk_id", "score"), chunks, c.questions.count() * 5)
+    top = hydrate(materialize(hits.select("query_id", "rank", "chunk_id", "score"), "hits"), chunks)
     return extractive_answer(c.questions, top)
 
 
@@ -458,6 +457,12 @@ def q_index_save_load(c: Corpus) -> DataFrame:
     return HybridIndex.load(c.spark, path).chunks.select(*_CHUNK_COLUMNS)
 
 
+def q_chunk_lookup(c: Corpus) -> DataFrame:
+    """A chunk found by its id, in the folder of that id."""
+    index = HybridIndex.build(c.documents, config=_exact_config())
+    return index.chunk("1_0").select(*_CHUNK_COLUMNS)
+
+
 def q_index_upgrade(c: Corpus) -> DataFrame:
     """Vectors appended in two batches: exhaustive at first, by cell after the second one."""
     cfg = IndexConfig(vectors=VectorIndexConfig(nlist=50))
