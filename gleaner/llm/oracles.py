@@ -38,7 +38,7 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
   (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
   NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words
     OR word_chars < 2 * n_words OR word_chars > 12 * n_words
-    OR n_symbols / n_words > 0.1 OR letter_words / n_words < 0.7 OR upper / word_chars > 0.6
+    OR n_symbols / n_words > 0.2 OR letter_words / n_words < 0.5 OR upper / word_chars > 0.6
     OR (n_lines > 0 AND n_dup_lines / n_lines > 0.45) OR (n_words >= 200 AND stops / n_words < 0.005)) AS kept
 FROM counts
 """

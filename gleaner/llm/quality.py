@@ -46,8 +46,8 @@ BASE_RULES = (
 # After published web-text rules, widened where short clean texts of four languages would break them.
 RULES = (
     Rule("word_length", "mean_word_length", 2, 12),
-    Rule("symbols", "symbol_ratio", high=0.1),
-    Rule("letters", "letter_word_ratio", low=0.7),
+    Rule("symbols", "symbol_ratio", high=0.2),
+    Rule("letters", "letter_word_ratio", low=0.5),
     Rule("shouting", "upper_ratio", high=0.6),
     Rule("dup_lines", "dup_line_ratio", high=0.45),
     Rule("stop_words", "stop_word_ratio", low=0.005, min_words=200),
