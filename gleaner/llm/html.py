@@ -90,13 +90,16 @@ class Node:
 
 def nodes_of(page: str) -> Iterator[Node]:
     """Tags and texts in page order; raw elements are skipped."""
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    # Open elements, each with the named containers down to it and whether one of them marks content.
+    stack: list[tuple[str, tuple[tuple[str, ...], ...], bool]] = []
+    opened: Counter = Counter()
     at, size = 0, len(page)
+    inside, content = (), False
 
-    def context() -> tuple[tuple[tuple[str, ...], ...], bool]:
-        return tuple(n for _, n in stack if n), any(t in CONTENT for t, _ in stack)
+    def close(k: int) -> None:
+        opened.subtract(t for t, _, _ in stack[k:])
+        del stack[k:]
 
-    inside, content = context()
     while at < size:
         m = _TOKEN.search(page, at)
         end = m.start() if m else size
@@ -109,11 +112,9 @@ def nodes_of(page: str) -> Iterator[Node]:
             continue
         tag = m["name"].lower()
         if m["close"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    inside, content = context()
-                    break
+            if opened[tag] > 0:
+                close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag))
+                inside, content = stack[-1][1:] if stack else ((), False)
             yield Node(tag=tag, close=True)
             continue
         if tag in RAW:
@@ -128,12 +129,15 @@ def nodes_of(page: str) -> Iterator[Node]:
             wanted = "li" if tag == "li" else "p"
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == wanted:
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k][0] in BLOCKS:
                     break
-        stack.append((tag, tuple(names_of(tag, m["attrs"]))))
-        inside, content = context()
+        inside, content = stack[-1][1:] if stack else ((), False)
+        names = tuple(names_of(tag, m["attrs"]))
+        inside, content = inside + (names,) if names else inside, content or tag in CONTENT
+        stack.append((tag, inside, content))
+        opened[tag] += 1
 
 
 @dataclass

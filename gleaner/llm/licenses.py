@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -207,11 +208,12 @@ def scan(text: str, index: Index, min_coverage: float = MIN_COVERAGE) -> list[Ma
                 Match(index.names[template], round(coverage, 4), len(pairs), len(index.words[template]), spans[0][0], spans[-1][1], spans)
             )
     matches.sort(key=lambda m: (-m.matched_words, -m.coverage, m.license_id, m.start))
-    kept: list[Match] = []
+    kept: list[Match] = []  # by start, none overlapping
     for m in matches:
-        if all(m.end <= k.start or m.start >= k.end for k in kept):
-            kept.append(m)
-    return sorted(kept, key=lambda m: m.start)
+        at = bisect_right(kept, m.start, key=lambda k: k.start)
+        if (at == 0 or kept[at - 1].end <= m.start) and (at == len(kept) or kept[at].start >= m.end):
+            kept.insert(at, m)
+    return kept
 
 
 def default_templates() -> list[tuple[str, str]]:
