@@ -60,10 +60,12 @@ FLOOR = -6.0
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SIGNS = re.escape("".join(IMITATES))
-#: A run of letters and imitating signs with at least one of each, or a letter three times in a row.
-_DISGUISED = re.compile(
-    rf"(?<![^\W_])(?=[{_SIGNS}]*[^\W\d_])(?=[^\W\d_]*[{_SIGNS}])[{_SIGNS}]*(?:[^\W\d_]+[{_SIGNS}]*)+|[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*"
-)
+#: A run of letters and imitating signs; it is disguised if it has both, or a letter three times in a row.
+_RUN = re.compile(rf"(?:[^\W\d_]|[{_SIGNS}])+")
+_LETTER, _SIGN, _TRIPLE = re.compile(r"[^\W\d_]"), re.compile(f"[{_SIGNS}]"), re.compile(r"([^\W\d_])\1\1")
+_REPEATED = re.compile(r"(.)\1{3,}", re.S)
+#: Longer runs are no words and stay as they are written.
+LONGEST = 80
 #: Four or more single characters, the same separator between them.
 _SPELLED = re.compile(rf"(?<![\w{_SIGNS}])[^\W_]([\x20.\-_*])(?:[\w{_SIGNS}]\1){{2,}}[^\W_](?![\w{_SIGNS}])")
 _MAYBE = re.compile(rf"[{_SIGNS}][^\W\d_]|[^\W\d_][{_SIGNS}]|([^\W\d_])\1\1")
@@ -172,12 +174,20 @@ class Restorer:
         if found is None:
             if len(self.known) > 200_000:
                 self.known.clear()
-            found = self.known[key] = decode(written, self.model, separator)
-        return found
+            short = _REPEATED.sub(r"\1\1\1", written)
+            found = decode(short, self.model, separator) if len(short) <= LONGEST else written
+            self.known[key] = written if found == short else found
+        return self.known[key]
+
+    def run(self, match: re.Match) -> str:
+        written = match[0]
+        if (_SIGN.search(written) and _LETTER.search(written)) or _TRIPLE.search(written):
+            return self.word(written)
+        return written
 
     def text(self, text: str) -> str:
         if _MAYBE.search(text):
-            text = _DISGUISED.sub(lambda m: self.word(m[0]), text)
+            text = _RUN.sub(self.run, text)
         return _SPELLED.sub(lambda m: self.word(m[0], m[1]), text)
 
 
