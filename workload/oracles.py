@@ -94,7 +94,7 @@ weights AS MATERIALIZED (
 )
 
 BENCH = "SELECT item_id AS query_id, text AS question FROM benchmark"
-TURNS = "SELECT conv_id AS query_id, text AS question FROM conversations WHERE role = 'user' AND turn = 0"
+TURNS = "SELECT conv_id * 1000 + turn AS query_id, text AS question FROM conversations WHERE role = 'user'"
 
 
 def _bm25(questions: str, k: int, pad: bool) -> str:

@@ -235,9 +235,9 @@ def q_bm25_topk(c: Corpus) -> DataFrame:
 
 
 def q_bm25_padded(c: Corpus) -> DataFrame:
-    """First user turns as questions; short ones match less than k chunks and are filled up."""
-    turns = c.table("conversations").where("role = 'user' and turn = 0")
-    asked = turns.select(F.col("conv_id").alias("query_id"), F.col("text").alias("question"))
+    """Every user's turn as a question; short ones match less than k chunks and are filled up."""
+    turns = c.table("conversations").where("role = 'user'")
+    asked = turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), F.col("text").alias("question"))
     return _ranked(bm25_search(asked, c.sparse, CANDIDATES), "chunk_id")
 
 
