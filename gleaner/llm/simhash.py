@@ -261,6 +261,9 @@ def keep_one(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     Rows that repeat this id are repeated rows of one document, and one of them stays; rows without an id all stay.
     """
-    kept = near_duplicates(frame, id_col, text_col, shingle, budget).where("id = component_id").select("id").distinct()
-    joined = frame.join(kept, frame[id_col] == kept["id"], "left_semi").dropDuplicates([id_col])
+    first = near_duplicates(frame, id_col, text_col, shingle, budget).where("id = component_id")
+    kept = materialize(first.groupBy("id").agg(F.count("*").alias("rows")), "simhash-kept")
+    joined = frame.join(kept, frame[id_col] == kept["id"], "left_semi")
+    if not kept.where("rows > 1").isEmpty():  # texts are shuffled once more only for ids that repeat
+        joined = joined.dropDuplicates([id_col])
     return joined.unionByName(frame.where(F.col(id_col).isNull()))
