@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import by_text_bytes, id_and_text
+from gleaner.llm.common import by_text_bytes, id_and_text, map_texts
 
 # Unicode white space, as the pattern's \s has it; letters and numbers below U+0100.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -314,10 +314,8 @@ def encode_texts(frame: DataFrame, ranks_path: str, pattern: str, id_col: str =
             yield made
 
     source = id_and_text(frame, id_col, text_col)
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInPandas(
-        work, f"id {kind}, ids array<int>, n_tokens bigint, ids_sha256 string, decoded string, decoded_sha256 string"
-    )
+    columns = "ids array<int>, n_tokens bigint, ids_sha256 string, decoded string, decoded_sha256 string"
+    return map_texts(source, work, columns)
 
 
 def decode_ids(frame: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -333,4 +331,4 @@ def decode_ids(frame: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_co
             yield pd.DataFrame({"id": batch["id"], "text": texts})
 
     source = frame.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
-    return source.mapInPandas(work, f"id {source.schema['id'].dataType.simpleString()}, text string")
+    return map_texts(source, work, "text string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +27,16 @@ def id_and_text(frame: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def map_texts(source: DataFrame, work: Callable, columns: str) -> DataFrame:
+    """mapInPandas over rows with an `id`, returning `id` of the same type and `columns`.
+
+    Ids travel as text: pandas would turn whole numbers beside a null into floats.
+    """
+    kind = source.schema["id"].dataType
+    sent = source.withColumn("id", F.col("id").cast("string")).mapInPandas(work, f"id string, {columns}")
+    return sent.withColumn("id", F.col("id").cast(kind))
+
+
 def by_text_bytes(batches: Iterator[pd.DataFrame], column: str, most: int = 8 << 20) -> Iterator[pd.DataFrame]:
     """Cut batches so that each holds at most about `most` characters of text, or one row."""
     for batch in batches:

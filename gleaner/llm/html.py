@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import by_text_bytes
+from gleaner.llm.common import by_text_bytes, map_texts
 
 MAX_LABELLED = 2_000
 MIN_PAGES = 5
@@ -286,4 +286,4 @@ def extract(pages: DataFrame, weights: Weights, id_col: str = "page_id", url_col
         F.col(url_col).cast("string").alias("url"),
         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"),
     )
-    return rows.mapInPandas(work, f"id {rows.schema['id'].dataType.simpleString()}, url string, text string")
+    return map_texts(rows, work, "url string, text string")

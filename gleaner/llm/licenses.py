@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import by_text_bytes, id_and_text
+from gleaner.llm.common import by_text_bytes, id_and_text, map_texts
 
 GRAM = 3
 WINDOW = 2
@@ -237,9 +237,9 @@ def scan_documents(frame: DataFrame, templates: list[tuple[str, str]] | None = N
             yield pd.DataFrame(rows, columns=names)
 
     source = id_and_text(frame, id_col, text_col)
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInPandas(
+    return map_texts(
+        source,
         work,
-        f"id {kind}, license_id string, coverage double, matched_words int, template_words int, start int, end int,"
+        "license_id string, coverage double, matched_words int, template_words int, start int, end int,"
         " runs array<struct<start:int,end:int>>",
     )

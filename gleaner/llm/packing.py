@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gleaner.llm.bpe import LETTER_1, NUMBER_1, SPACE_1, Pieces
-from gleaner.llm.common import by_text_bytes, id_and_text
+from gleaner.llm.common import by_text_bytes, id_and_text, map_texts
 from gleaner.runtime import materialize
 
 SEQUENCE = 4096
@@ -107,11 +107,8 @@ def pieces_of(frame: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
                     rows.append((key, start, len(piece) // 4, zlib.crc32(piece), total, ids))
             yield pd.DataFrame(rows, columns=["id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
 
-    source = id_and_text(frame, id_col, text_col)
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInPandas(
-        work, f"id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids array<int>"
-    )
+    columns = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids array<int>"
+    return map_texts(id_and_text(frame, id_col, text_col), work, columns)
 
 
 @dataclass(frozen=True)
@@ -217,8 +214,9 @@ def place(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
             yield batch.drop(columns="rank")
 
     rows = ranked(pieces, sum(histogram.values()))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "rank")
-    return rows.mapInPandas(work, f"{kinds}, sequence_id bigint, offset bigint, padded_to bigint")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name not in ("id", "rank"))
+    placed = map_texts(rows, work, f"{kinds}, sequence_id bigint, offset bigint, padded_to bigint")
+    return placed.select(*pieces.columns, "sequence_id", "offset", "padded_to")
 
 
 def pack(frame: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",

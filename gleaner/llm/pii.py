@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import ROW, by_text_bytes, id_and_text, packed
+from gleaner.llm.common import ROW, by_text_bytes, id_and_text, map_texts, packed
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "ssn", "secret")
@@ -161,8 +161,7 @@ def spans_of(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
             yield pd.DataFrame({"id": batch["id"], "spans": spans})
 
     source = id_and_text(frame, id_col, text_col)
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInPandas(work, f"id {kind}, spans array<struct<kind:string,start:int,end:int,score:double>>")
+    return map_texts(source, work, "spans array<struct<kind:string,start:int,end:int,score:double>>")
 
 
 def redacted(text: str, kinds: tuple[str, ...] = KINDS) -> str:

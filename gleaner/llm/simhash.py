@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import by_text_bytes, id_and_text
+from gleaner.llm.common import by_text_bytes, id_and_text, map_texts
 from gleaner.runtime import materialize
 
 SHINGLE = 3
@@ -63,8 +63,7 @@ def fingerprints(frame: DataFrame, id_col: str = "doc_id", text_col: str = "text
             made = np.array([fingerprint(t, shingle) for t in batch["text"]], np.uint64).view(np.int64)
             yield pd.DataFrame({"id": batch["id"], "fp": made})
 
-    source = id_and_text(frame, id_col, text_col)
-    return source.mapInPandas(work, f"id {source.schema['id'].dataType.simpleString()}, fp bigint")
+    return map_texts(id_and_text(frame, id_col, text_col), work, "fp bigint")
 
 
 # The walk ---------------------------------------------------------------------------

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import ROW, by_text_bytes, id_and_text, packed
+from gleaner.llm.common import ROW, by_text_bytes, id_and_text, map_texts, packed
 from gleaner.runtime import materialize
 
 MAX_LABELLED = 20_000
@@ -336,7 +336,7 @@ def _evidence_rows(rows: DataFrame, model: CharacterModel, weights: Weights) ->
             batch["found"] = [scorer.evidence(t)[1] for t in batch["text"]]
             yield batch[["id", "toxic", "found"]]
 
-    return rows.mapInPandas(work, f"id {rows.schema['id'].dataType.simpleString()}, toxic boolean, found array<double>")
+    return map_texts(rows, work, "toxic boolean, found array<double>")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -389,8 +389,7 @@ class ToxicityModel:
                     texts.append(restored if with_text else None)
                 yield pd.DataFrame({"id": batch["id"], "score": scores, "restored": pd.Series(texts, dtype=object)})
 
-        source = id_and_text(frame, id_col, text_col)
-        return source.mapInPandas(work, f"id {source.schema['id'].dataType.simpleString()}, score double, restored string")
+        return map_texts(id_and_text(frame, id_col, text_col), work, "score double, restored string")
 
     def filter_documents(self, frame: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
         """The rows scored below the threshold, with the columns they came with."""

@@ -257,3 +257,17 @@ def test_unknown_part_is_an_error(spark):
 def test_broken_output_is_an_error():
     with pytest.raises(ValueError):
         chat.parse("<turn:user>a</turn>b")
+
+
+def test_null_ids_keep_other_ids_exact(spark):
+    """Beside a null, ids above 2**53 must not pass through floats."""
+    big = 2**53 + 1
+    rows = [(None, "Released under the MIT License a@b.co"), (big, "Released under the MIT License a@b.co"), (big + 2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    want = {None, big, big + 2}
+    assert {r["id"] for r in pii.spans_of(docs).collect()} == want
+    assert {r["id"] for r in bpe.encode_texts(docs, BYTE_BPE, public_tokenizers.PATTERN).collect()} == want
+    assert {r["id"] for r in packing.pack(docs, WORD_BPE).collect()} == want
+    assert {r["id"] for r in licenses.scan_documents(docs).collect()} == {None, big}
+    named = spark.createDataFrame([("a", "x"), (None, "y")], "doc_id string, text string")
+    assert {r["id"] for r in pii.spans_of(named).collect()} == {"a", None}
