@@ -146,12 +146,6 @@ def measured(frame: DataFrame, text: Column) -> DataFrame:
     ).drop("__text", "__words", "__lines", "__placed", "__again", "__letter_words", "__stops", "__upper")
 
 
-METRICS = (
-    "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "mean_word_length", "symbol_ratio",
-    "letter_word_ratio", "stop_word_ratio", "upper_ratio", "dup_line_ratio", "repeat_percent",
-)
-
-
 def judge(frame: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + RULES, text_col: str = "text") -> DataFrame:
     """(row struct `__row`, metrics, failed_rules, kept) for every row."""
     rows = measured(packed(frame), F.col(ROW)[text_col])

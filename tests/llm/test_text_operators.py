@@ -1,6 +1,5 @@
 """Quality rules, PII, licenses, packing, byte-level BPE and chat formatting against plain definitions."""
 
-import base64
 import hashlib
 import random
 import re
@@ -11,7 +10,6 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gleaner.llm import bpe, chat, licenses, packing, pii, quality
