@@ -31,7 +31,9 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+_IBAN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+_ALNUM = _IBAN_CHARS | frozenset("abcdefghijklmnopqrstuvwxyz")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _SECRET = re.compile(
     r"(?i)(?<![a-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\x20]?[=:][\x20]?"
@@ -39,6 +41,15 @@ _SECRET = re.compile(
 )
 _DIGITS = str.maketrans("", "", "".join(chr(c) for c in range(128) if not chr(c).isdigit()))
 
+# Characters of an account number by country. Other countries' numbers end at any border where mod-97 holds.
+_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN_LENGTHS = {code: length for length, codes in _LENGTHS.items() for code in codes.split()}
+
 # Words that make a kind likelier or less likely when they stand near a span.
 CONTEXT = {
     "email": (("mail", "email", "contact", "write"), ("example",)),
@@ -87,6 +98,29 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
             floor = m.end()
 
 
+def _iban_end(text: str, start: int) -> int | None:
+    """Where the account number that starts here ends: the last border of its country's length where mod-97 holds."""
+    length = IBAN_LENGTHS.get(text[start : start + 2])
+    ends, at, n = [], start, 0
+    while n < (length or 34):
+        at += n > 3 and text[at : at + 1] == " "
+        if text[at : at + 1] not in _IBAN_CHARS:
+            break
+        at, n = at + 1, n + 1
+        if n >= 15 and length in (None, n) and text[at : at + 1] not in _ALNUM:
+            ends.append(at)
+    return next((end for end in reversed(ends) if mod97(text[start:end])), None)
+
+
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    m = _IBAN.search(text)
+    while m:
+        end = _iban_end(text, m.start())
+        if end:
+            yield m.start(), end
+        m = _IBAN.search(text, end or m.end())
+
+
 def _matching(kind: str, text: str) -> Iterator[tuple[int, int]]:
     if kind == "email":
         yield from _emails(text) if "@" in text else ()
@@ -105,9 +139,7 @@ def _matching(kind: str, text: str) -> Iterator[tuple[int, int]]:
             if 10 <= len(m[0].translate(_DIGITS)) <= 15:
                 yield m.span()
     elif kind == "iban":
-        for m in _IBAN.finditer(text):
-            if 15 <= len(m[0].replace(" ", "")) <= 34 and mod97(m[0]):
-                yield m.span()
+        yield from _ibans(text)
     elif kind == "ssn":
         for m in _SSN.finditer(text):
             if m[0][:3] not in ("000", "666") and m[0][0] != "9" and m[0][4:6] != "00" and m[0][7:] != "0000":

@@ -113,6 +113,18 @@ def test_context_moves_the_score():
     assert pii.mod97("GB82 WEST 1234 5698 7654 32") and not pii.mod97("GB82 WEST 1234 5698 7654 33")
 
 
+def test_ibans_beside_upper_case_words_and_numbers():
+    one, two, other = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "NO93 8601 1117 947"
+    ibans = lambda t: [t[s.start : s.end] for s in pii.find_spans(t) if s.kind == "iban"]
+    for text, want in [
+        (f"{one} BIC COBADEFFXXX", [one]), ("DE89370400440532013000 EUR 50", ["DE89370400440532013000"]),
+        (f"{one} {two}", [one, two]), (f"{two} {other} {one} A1", [two, other, one]), (f"REF12 {other} 7", [other]),
+        (f"AB12 {one} OK", [one]), (f"{one}X", []), (f"X{two}", []), ("DE89 3704 0044 0532 0130 01 BIC", []), (f"{one}.", [one]),
+    ]:
+        assert ibans(text) == want, text
+    assert pii.redacted(f"pay {one} BIC COBADEFFXXX") == "pay [IBAN] BIC COBADEFFXXX"
+
+
 def test_license_matches(spark):
     texts = ODD + [
         "x y Released under the MIT License. z", "Licensed under the old Apache License, Version 2.0.", "released UNDER the mit license " * 2,
