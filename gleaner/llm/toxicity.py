@@ -55,6 +55,8 @@ for _c, _i in CODE.items():
 
 # Costs of the channel, as natural logarithms.
 KEEP, IMITATE, DROP_SIGN, DROP_REPEAT = -0.05, -1.5, -3.0, -0.7
+#: A word border between letters spelled apart.
+BORDER = -1.0
 #: A restored word must be at least this likely, per letter, or the written one stays.
 FLOOR = -6.0
 
@@ -64,11 +66,15 @@ _SIGNS = re.escape("".join(IMITATES))
 _RUN = re.compile(rf"(?:[^\W\d_]|[{_SIGNS}])+")
 _LETTER, _SIGN, _TRIPLE = re.compile(r"[^\W\d_]"), re.compile(f"[{_SIGNS}]"), re.compile(r"([^\W\d_])\1\1")
 _REPEATED = re.compile(r"(.)\1{3,}", re.S)
-#: Longer runs are no words and stay as they are written.
-LONGEST = 80
-#: Four or more single characters, the same separator between them.
-_SPELLED = re.compile(rf"(?<![\w{_SIGNS}])[^\W_]([\x20.\-_*])(?:[\w{_SIGNS}]\1){{2,}}[^\W_](?![\w{_SIGNS}])")
+#: Longer runs are decoded like others, but not remembered.
+REMEMBERED = 80
+#: Four or more single characters, the same separator between them; signs may follow the last one.
+_SPELLED = re.compile(
+    rf"(?<![\w{_SIGNS}])[^\W_]([\x20.\-_*])(?:[\w{_SIGNS}]\1){{2,}}(?:[^\W_]|[{_SIGNS}](?!\1))(?![{_SIGNS}]*+\w)"
+)
 _MAYBE = re.compile(rf"[{_SIGNS}][^\W\d_]|[^\W\d_][{_SIGNS}]|([^\W\d_])\1\1")
+_DOUBLE, _LETTERS = re.compile(r"([^\W\d_])\1"), re.compile(r"[^\W\d_]*")
+_ALL_DOUBLE = re.compile(r"(?:([^\W\d_])\1+){2,}")
 
 
 def trigram_counts(text: str) -> np.ndarray:
@@ -140,44 +146,63 @@ def lattice(written: str, separator: str | None = None) -> list[list[tuple[int,
     return columns
 
 
-def decode(written: str, model: CharacterModel, separator: str | None = None) -> str:
-    """The likeliest word behind the written one, or the written one if none is likely."""
+def decode(written: str, model: CharacterModel, separator: str | None = None, borders: bool = False) -> str:
+    """The likeliest word behind the written one, or the written one if none is likely.
+
+    With borders, letters spelled apart may be several words. Paths are chains of (before, letter), so time and memory are linear.
+    """
     logp = model.logp
-    paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    paths: dict[tuple[int, int], tuple[float, int, tuple | None]] = {(0, 0): (0.0, 0, None)}
     for options in lattice(written, separator):
-        grown: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, word) in paths.items():
+        if borders:
+            ends = [(x[0] + BORDER + logp[a, b, 0], x[1] + 1, (x[2], 0)) for (a, b), x in paths.items() if b]
+            if ends:
+                paths[0, 0] = max([*ends, *([paths[0, 0]] if (0, 0) in paths else [])], key=lambda x: x[0])
+        grown: dict[tuple[int, int], tuple[float, int, tuple | None]] = {}
+        for (a, b), (score, size, chain) in paths.items():
             for code, cost in options:
                 if code:
-                    key, now, text = (b, code), score + cost + logp[a, b, code], word + LETTERS[code - 1]
+                    key, now, next_size, text = (b, code), score + cost + logp[a, b, code], size + 1, (chain, code)
                 else:
-                    key, now, text = (a, b), score + cost, word
+                    key, now, next_size, text = (a, b), score + cost, size, chain
                 if key not in grown or now > grown[key][0]:
-                    grown[key] = (now, text)
+                    grown[key] = (now, next_size, text)
         paths = grown
-    ended = [(score + logp[a, b, 0], word) for (a, b), (score, word) in paths.items() if word]
+    ended = [(score + logp[a, b, 0] * (b > 0), size, chain) for (a, b), (score, size, chain) in paths.items() if chain]
     if not ended:
         return written
-    score, word = max(ended)
-    return word if score / (len(word) + 1) >= FLOOR else written
+    score, size, chain = max(ended, key=lambda x: x[0])
+    if score / (size + 1) < FLOOR:
+        return written
+    letters = []
+    while chain:
+        chain, code = chain
+        letters.append(LETTERS[code - 1] if code else " ")
+    return "".join(reversed(letters)).strip()
 
 
 class Restorer:
-    """Texts with their disguised words decoded; remembers decoded words."""
+    """Texts with their disguised words decoded; remembers decoded words.
+
+    `also` has further readings of the last text: spelled passages as one word, and words with double letters (which may
+    be right as they are) without them.
+    """
 
     def __init__(self, model: CharacterModel):
-        self.model, self.known = model, {}
+        self.model, self.known, self.also = model, {}, set()
 
-    def word(self, written: str, separator: str | None = None) -> str:
-        key = (written, separator)
+    def word(self, written: str, separator: str | None = None, borders: bool = False) -> str:
+        key = (written, separator, borders)
         found = self.known.get(key)
         if found is None:
             if len(self.known) > 200_000:
                 self.known.clear()
             short = _REPEATED.sub(r"\1\1\1", written)
-            found = decode(short, self.model, separator) if len(short) <= LONGEST else written
-            self.known[key] = written if found == short else found
-        return self.known[key]
+            found = decode(short, self.model, separator, borders)
+            found = written if found == short else found
+            if len(written) <= REMEMBERED:
+                self.known[key] = found
+        return found
 
     def run(self, match: re.Match) -> str:
         written = match[0]
@@ -185,10 +210,43 @@ class Restorer:
             return self.word(written)
         return written
 
+    def spelled(self, match: re.Match) -> str:
+        self.also.add(self.word(match[0], match[1]).lower())
+        return self.word(match[0], match[1], True)
+
+    def doubled(self, text: str) -> str:
+        """Words whose letters are all doubled are decoded; other words with a double letter are read both ways."""
+        out, done = [], 0
+        for m in _DOUBLE.finditer(text):
+            start, end = m.span()
+            if start < done:
+                continue
+            while start > done and text[start - 1].isalpha():
+                start -= 1
+            end = _LETTERS.match(text, end).end()
+            written = text[start:end]
+            reading = self.known.get((written, None, False)) or self.word(written)
+            if reading != written:
+                if _ALL_DOUBLE.fullmatch(written.lower()):
+                    out += [text[done:start], reading]
+                    done = end
+                    continue
+                self.also.add(reading.lower())
+            out.append(text[done:end])
+            done = end
+        return "".join([*out, text[done:]]) if out else text
+
     def text(self, text: str) -> str:
+        self.also = set()
+        text = _SPELLED.sub(self.spelled, text)
         if _MAYBE.search(text):
             text = _RUN.sub(self.run, text)
-        return _SPELLED.sub(lambda m: self.word(m[0], m[1]), text)
+        return self.doubled(text)
+
+    def words(self, text: str) -> tuple[str, set[str]]:
+        """The restored text, and all words of its readings."""
+        restored = self.text(text)
+        return restored, {*_WORD.findall(restored.lower()), *(w for x in self.also for w in _WORD.findall(x))}
 
 
 @dataclass
@@ -218,11 +276,11 @@ class Scorer:
         self.restorer, self.weights, self.known = Restorer(model), weights, {}
 
     def evidence(self, text: str) -> tuple[str, list[float]]:
-        restored = self.restorer.text(text)
+        restored, words = self.restorer.words(text)
         if len(self.known) > 500_000:
             self.known.clear()
         known, found = self.known, []
-        for word in set(_WORD.findall(restored.lower())):
+        for word in words:
             weight = known.get(word)
             if weight is None:
                 weight = known[word] = self.weights.of(word)
@@ -243,7 +301,7 @@ def word_counts(labelled: DataFrame, model: CharacterModel) -> DataFrame:
         for batch in by_text_bytes(batches, "text"):
             counts: dict[str, list[int]] = {}
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
-                for word in set(_WORD.findall(restorer.text(text).lower())):
+                for word in restorer.words(text)[1]:
                     counts.setdefault(word, [0, 0])[0 if toxic else 1] += 1
             yield pd.DataFrame(
                 {"word": list(counts), "toxic": [x[0] for x in counts.values()], "clean": [x[1] for x in counts.values()]}

@@ -286,6 +286,21 @@ def test_recall_on_the_table(spark):
     assert hits >= 0.9 * total and len(found) == sum(i % 100 == 0 for i in ids.tolist())
 
 
+def test_disguises_of_any_length_and_several_words():
+    plain = "you are an idiot and this is what the people say about the other people of this place " * 50
+    codes, counts = np.unique(toxicity.trigram_counts(plain + "hello letter all too "), return_counts=True)
+    restorer = toxicity.Restorer(toxicity.CharacterModel.of(codes, counts.astype(float)))
+    spelled = lambda t: " ".join(t.replace(" ", ""))
+    assert "idiot" in restorer.words(spelled("you are an idiot"))[1]
+    long = restorer.words(spelled("this is what the people say about the other people and you are an idiot and the people say this"))[1]
+    assert {"idiot", "people", "about"} <= long
+    assert restorer.text("i d i o t!").startswith("idiot") and restorer.text("i d i o t") == "idiot"
+    assert restorer.text("an iiddiioott") == "an idiot" and "idiot" in restorer.words("an iddiot")[1]
+    text, words = restorer.words("letter")
+    assert text == "letter" and "letter" in words
+    assert restorer.text("1d1ot" * 40) != "1d1ot" * 40
+
+
 # Pipeline ---------------------------------------------------------------------------
 
 
