@@ -59,7 +59,33 @@ SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
-SQL = {"op3_chat_format": CHAT, "op4_quality_rules": QUALITY}
+# Units are white space and the word behind it; digits of a digest of seed and id choose the cuts and the form.
+FILL_IN_MIDDLE = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+    sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS hex
+  FROM documents),
+drawn AS (
+  SELECT doc_id, t, u, len(u)::BIGINT AS n,
+    ('0x' || substr(hex, 1, 8))::BIGINT % (len(u) + 1) AS h1, ('0x' || substr(hex, 9, 8))::BIGINT % (len(u) + 1) AS h2,
+    ('0x' || substr(hex, 17, 8))::BIGINT AS h3, ('0x' || substr(hex, 25, 8))::BIGINT AS h4
+  FROM units),
+cut AS (
+  SELECT doc_id, n, t, array_to_string(u[:least(h1, h2)], '') AS p, array_to_string(u[least(h1, h2) + 1:greatest(h1, h2)], '') AS m,
+    array_to_string(u[greatest(h1, h2) + 1:], '') AS s,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m
+    ELSE t END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM cut
+"""
+
+SQL = {"op3_chat_format": CHAT, "op4_quality_rules": QUALITY, "op11_fill_in_middle": FILL_IN_MIDDLE}
 
 
 def oracles() -> dict[str, str]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, chat, hnsw, html, licenses, packing, pii, quality, simhash, toxicity
+from gleaner.llm import bpe, chat, fim, hnsw, html, licenses, packing, pii, quality, simhash, toxicity
 from gleaner.llm.common import ROW, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -107,6 +107,15 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = fim.transform(table(spark, folder, "documents"))
+    return made.select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every `op` function above, and the pipeline."""
     import corpus_pipeline
