@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import packing, pii, quality, shingles, toxicity
+from gleaner.llm import packing, pii, quality, simhash, toxicity
 from gleaner.llm.common import table
 from gleaner.llm.queries import WORD_BPE
 from gleaner.runtime import materialize
@@ -29,8 +29,8 @@ def apply_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Of each group of near-duplicates (0.8 of their five-word shingles in common) the document with the smallest id stays."""
-    return shingles.keep_one(docs)
+    """Of each group of fingerprints linked within the operator's bit distance the document with the smallest id stays."""
+    return simhash.keep_one(docs)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
