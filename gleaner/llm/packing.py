@@ -19,7 +19,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -36,14 +36,16 @@ END_ID = 2
 # A length with more pieces than this, or than the total over `BUCKETS`, is cut into buckets that are ranked apart.
 BUCKET_ROWS = 1_000
 BUCKETS = 200_000
-REMEMBERED = 600_000
+# Bytes of words that a task remembers; beyond it the memory is emptied, not the work.
+REMEMBERED = 48 << 20
 
 
 class WordTokenizer:
     """A `tokenizers` vocabulary; encodes each distinct word of Latin-1 texts once.
 
     The vocabulary lower-cases, splits by a pattern and merges within a word, so a text's ids are those of its words
-    in turn. Texts with other characters, where normal forms may join across words, are encoded whole.
+    in turn. Texts with other characters, where normal forms may join across words, and texts that hold one of the
+    vocabulary's special strings are encoded whole. A tokenizer lives as long as its task.
     """
 
     def __init__(self, path: str):
@@ -51,7 +53,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        self.special = [token.content for token in self.model.get_added_tokens_decoder().values()]
         # The vocabulary's own split, for lower-cased texts below U+0100.
         self.split = re.compile(
             f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER_1}]+|[{NUMBER_1}]|[^{SPACE_1}{LETTER_1}{NUMBER_1}]+"
@@ -59,52 +61,64 @@ class WordTokenizer:
         self.forget()
 
     def forget(self) -> None:
-        self.number, self.ids = Pieces(), []
-
-    def batch(self, texts: list[str]) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.number) > REMEMBERED:
-            self.forget()
-        number, found = self.number.__getitem__, []
-        for text in texts:
-            try:
-                text.encode("latin-1")
-            except UnicodeEncodeError:
-                found.append(None)
-            else:
-                found.append(np.fromiter(map(number, self.split(text.lower())), np.int32))
-        new = list(self.number)[len(self.ids) :]
+        """Words in order of first sight; the ids of word w are flat[starts[w]:starts[w + 1]]."""
+        self.number, self.held = Pieces(), 0
+        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def learn(self) -> None:
+        """Ids of the words met since the last time."""
+        new = list(islice(self.number, len(self.starts) - 1, None))
+        flats, sizes = [self.flat], []
         for at in range(0, len(new), 10_000):
             for made in self.model.encode_batch_fast(new[at : at + 10_000], add_special_tokens=False):
-                self.ids.append(np.array(made.ids, "<u4").tobytes())
-        for text, numbers in zip(texts, found, strict=True):
-            if numbers is None:
-                yield np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+                ids = made.ids
+                sizes.append(len(ids))
+                flats.append(np.array(ids, np.uint32))
+        if new:
+            self.flat = np.concatenate(flats)
+            self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
+            self.held += sum(map(len, new)) + 160 * len(new)
+
+    def whole(self, text: str) -> bool:
+        """Whether a text is left to the library as it is."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return True
+        return any(special in text for special in self.special)
+
+    def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of each text."""
+        if self.held > REMEMBERED:
+            self.forget()
+        number = self.number.__getitem__
+        found = [None if self.whole(t) else np.fromiter(map(number, self.split(t.lower())), np.int32) for t in texts]
+        self.learn()
+        for text, words in zip(texts, found, strict=True):
+            if words is None:
+                yield np.array(self.model.encode(text, add_special_tokens=False).ids, np.uint32)
             else:
-                yield b"".join(map(self.ids.__getitem__, numbers.tolist()))
-
-
-@lru_cache(maxsize=2)
-def tokenizer_of(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+                starts = self.starts[words]
+                sizes = self.starts[words + 1] - starts
+                upto = np.cumsum(sizes)
+                shift = np.repeat(starts - upto + sizes, sizes)
+                yield self.flat[shift + np.arange(len(shift))]
 
 
 def pieces_of(frame: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
               sequence: int = SEQUENCE, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """(id, start, length, ids_crc32, doc_tokens, ids): texts cut every `sequence` ids; ids are null unless asked for."""
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], np.uint32)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = tokenizer_of(tokenizer_path)
+        tokenizer = WordTokenizer(tokenizer_path)
         for batch in by_text_bytes(batches, "text", 16 << 20):
             rows = []
             for key, own in zip(batch["id"].tolist(), tokenizer.batch(batch["text"].tolist()), strict=True):
-                own += end
-                total = len(own) // 4
-                for start in range(0, total, sequence):
-                    piece = own[4 * start : 4 * (start + sequence)]
-                    ids = np.frombuffer(piece, "<u4").astype(np.int32) if with_ids else None
-                    rows.append((key, start, len(piece) // 4, zlib.crc32(piece), total, ids))
+                own = np.concatenate((own, end)).astype("<u4")
+                for start in range(0, len(own), sequence):
+                    piece = own[start : start + sequence]
+                    rows.append((key, start, len(piece), zlib.crc32(piece), len(own), piece.astype(np.int32) if with_ids else None))
             yield pd.DataFrame(rows, columns=["id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
 
     columns = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids array<int>"
