@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, chat, fim, hnsw, html, licenses, packing, pii, quality, simhash, toxicity
+from gleaner.llm import bpe, chat, fim, hnsw, html, licenses, packing, pii, quality, rans, simhash, toxicity
 from gleaner.llm.common import ROW, table
+from gleaner.runtime import materialize, scratch_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -116,6 +117,14 @@ def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    tokens = materialize(rans.token_ids(table(spark, folder, "documents"), WORD_BPE), "token-ids")
+    path = scratch_path(spark, "token-files")
+    rans.write_ids(tokens, path)
+    found = rans.read_ids(spark, path, with_ids=False)
+    return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every `op` function above, and the pipeline."""
     import corpus_pipeline
