@@ -85,7 +85,77 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
 FROM cut
 """
 
-SQL = {"op3_chat_format": CHAT, "op4_quality_rules": QUALITY, "op11_fill_in_middle": FILL_IN_MIDDLE}
+# CRC-32 bit by bit; then what is cheapest from turn i on, from each state of the grammar (start, after system, user, assistant):
+# structs of cost, audit and the repaired lines, whose order is that of cost, then audit.
+REPAIR = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+  FROM (SELECT unnest(range(256))::BIGINT AS b)),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+summed AS (
+  SELECT keyed.*, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(k, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind
+  FROM keyed, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM summed WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id) AS n, left(role, 1) AS initial,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+    lag(left(role, 1)) OVER w AS ahead, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed
+  FROM damaged
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || ':' || text), copy)),
+judged AS (
+  SELECT *, trimmed = '' AS blank, trimmed <> '' AND again AS duplicate, trimmed = '' OR again AS go,
+    trimmed <> '' AND NOT again AND right(trimmed, 1) NOT IN ('.', '!', '?') AS truncated,
+    i > 1 AND ahead || initial NOT IN ('su', 'ua', 'au') AS illegal
+  FROM placed),
+todo AS (
+  SELECT conv_id, n + 1 AS i, {'c': 0, 'a': '', 't': ''} AS v0, {'c': 6, 'a': 'II', 't': concat('user:', chr(10), 'assistant:', chr(10))} AS v1,
+    {'c': 3, 'a': 'I', 't': 'assistant:' || chr(10)} AS v2, {'c': 0, 'a': '', 't': ''} AS v3
+  FROM judged GROUP BY conv_id, n
+  UNION ALL
+  SELECT conv_id, i,
+    list_min([d0, {'c': d2.c + 3, 'a': 'I' || d2.a, 't': concat('user:', chr(10), d2.t)},
+      {'c': d3.c + 6, 'a': 'II' || d3.a, 't': concat('user:', chr(10), 'assistant:', chr(10), d3.t)}]),
+    list_min([d1, {'c': d2.c + 3, 'a': 'I' || d2.a, 't': concat('user:', chr(10), d2.t)},
+      {'c': d3.c + 6, 'a': 'II' || d3.a, 't': concat('user:', chr(10), 'assistant:', chr(10), d3.t)}]),
+    list_min([d2, {'c': d3.c + 3, 'a': 'I' || d3.a, 't': concat('assistant:', chr(10), d3.t)}]),
+    list_min([d3, {'c': d2.c + 3, 'a': 'I' || d2.a, 't': concat('user:', chr(10), d2.t)}])
+  FROM (
+    SELECT conv_id, i, list_min([x0] || to_user || CASE WHEN go THEN [] WHEN initial = 's' THEN [kept1] WHEN initial = 'u' THEN [kept2] ELSE [] END) AS d0,
+      list_min([x1] || to_user || CASE WHEN NOT go AND initial = 'u' THEN [kept2] ELSE [] END) AS d1,
+      list_min([x2] || to_assistant || CASE WHEN NOT go AND initial = 'a' THEN [kept3] ELSE [] END) AS d2,
+      list_min([x3] || to_user || CASE WHEN NOT go AND initial = 'u' THEN [kept2] ELSE [] END) AS d3
+    FROM (
+      SELECT t.conv_id, t.i - 1 AS i, go, initial,
+        {'c': v0.c + 4, 'a': 'D' || v0.a, 't': v0.t} AS x0, {'c': v1.c + 4, 'a': 'D' || v1.a, 't': v1.t} AS x1,
+        {'c': v2.c + 4, 'a': 'D' || v2.a, 't': v2.t} AS x2, {'c': v3.c + 4, 'a': 'D' || v3.a, 't': v3.t} AS x3,
+        CASE WHEN go THEN [] ELSE [{'c': v2.c + 3 + e, 'a': 'R' || v2.a, 't': concat('user:', text, chr(10), v2.t)}] END AS to_user,
+        CASE WHEN go THEN [] ELSE [{'c': v3.c + 3 + e, 'a': 'R' || v3.a, 't': concat('assistant:', text, chr(10), v3.t)}] END AS to_assistant,
+        {'c': v1.c + e, 'a': 'K' || v1.a, 't': concat(role, ':', text, chr(10), v1.t)} AS kept1,
+        {'c': v2.c + e, 'a': 'K' || v2.a, 't': concat(role, ':', text, chr(10), v2.t)} AS kept2,
+        {'c': v3.c + e, 'a': 'K' || v3.a, 't': concat(role, ':', text, chr(10), v3.t)} AS kept3
+      FROM todo t JOIN (SELECT *, CASE WHEN truncated THEN 3 ELSE 0 END AS e FROM judged) j
+        ON j.conv_id IS NOT DISTINCT FROM t.conv_id AND j.i = t.i - 1))),
+reports AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM judged GROUP BY conv_id)
+SELECT every.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(v0.c, 0)::BIGINT AS cost,
+  coalesce(v0.a, '') AS audit, sha256(coalesce(left(v0.t, length(v0.t) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) every
+LEFT JOIN reports ON reports.conv_id IS NOT DISTINCT FROM every.conv_id
+LEFT JOIN (SELECT * FROM todo WHERE i = 1) best ON best.conv_id IS NOT DISTINCT FROM every.conv_id
+"""
+
+SQL = {"op3_chat_format": CHAT, "op4_quality_rules": QUALITY, "op11_fill_in_middle": FILL_IN_MIDDLE,
+       "op12_conversation_repair": REPAIR}
 
 
 def oracles() -> dict[str, str]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import bpe, chat, fim, hnsw, html, licenses, packing, pii, quality, rans, simhash, toxicity
+from gleaner.llm import bpe, chat, fim, hnsw, html, licenses, packing, pii, quality, rans, repair, simhash, toxicity
 from gleaner.llm.common import ROW, table
 from gleaner.runtime import materialize, scratch_path
 
@@ -117,6 +117,34 @@ def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def damaged(said: DataFrame) -> DataFrame:
+    """Conversations with some turns lost, emptied, cut, repeated or under another role, by a checksum of their number."""
+    known = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn"))) % 20
+    rows = said.select("conv_id", "turn", known("role").alias("role"), known("text").alias("text"), kind.alias("kind"))
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    role = F.when(F.col("kind") == 4, "user").otherwise(F.col("role"))
+    times = F.array_repeat(F.lit(0), F.when(F.col("kind") == 3, 2).otherwise(1))
+    kept = rows.where("kind <> 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("copy"))
+    return kept.drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    said = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    reports, turns = repair.repair(damaged(said))
+    digests = repair.digests(turns).withColumnRenamed("conv_id", "own")
+    reports = reports.withColumnRenamed("conv_id", "of")
+    every = said.select("conv_id").distinct()
+    rows = every.join(reports, F.col("conv_id").eqNullSafe(F.col("of")), "left").join(digests, F.col("conv_id").eqNullSafe(F.col("own")), "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return rows.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
     tokens = materialize(rans.token_ids(table(spark, folder, "documents"), WORD_BPE), "token-ids")
     path = scratch_path(spark, "token-files")
