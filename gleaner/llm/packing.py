@@ -37,15 +37,18 @@ END_ID = 2
 BUCKET_ROWS = 1_000
 BUCKETS = 200_000
 # Bytes of words that a task remembers; beyond it the memory is emptied, not the work.
-REMEMBERED = 48 << 20
+REMEMBERED = 64 << 20
+# Characters below U+0100 that Python takes for white space and the vocabulary does not.
+OTHER_SPACE = "\x1c\x1d\x1e\x1f"
 
 
 class WordTokenizer:
     """A `tokenizers` vocabulary; encodes each distinct word of Latin-1 texts once.
 
-    The vocabulary lower-cases, splits by a pattern and merges within a word, so a text's ids are those of its words
-    in turn. Texts with other characters, where normal forms may join across words, and texts that hold one of the
-    vocabulary's special strings are encoded whole. A tokenizer lives as long as its task.
+    The vocabulary lower-cases, drops white space, splits what stands between it by a pattern and merges within these parts,
+    so a text's ids are those of its words, here all between white space, in turn. New words are encoded many in one text: the
+    last id of a part is known by its word end. Texts with other characters, where normal forms may join across
+    words, and texts that hold one of the vocabulary's special strings are encoded whole. A tokenizer lives as long as its task.
     """
 
     def __init__(self, path: str):
@@ -54,8 +57,13 @@ class WordTokenizer:
 
         self.model = Tokenizer.from_file(path)
         self.special = [token.content for token in self.model.get_added_tokens_decoder().values()]
+        ends = self.model.model.end_of_word_suffix
+        if not ends:
+            raise ValueError("the vocabulary does not mark the ends of words")
+        self.closes = np.zeros(self.model.get_vocab_size(), bool)
+        self.closes[[i for token, i in self.model.get_vocab().items() if token.endswith(ends)]] = True
         # The vocabulary's own split, for lower-cased texts below U+0100.
-        self.split = re.compile(
+        self.parts = re.compile(
             f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER_1}]+|[{NUMBER_1}]|[^{SPACE_1}{LETTER_1}{NUMBER_1}]+"
         ).findall
         self.forget()
@@ -68,31 +76,40 @@ class WordTokenizer:
     def learn(self) -> None:
         """Ids of the words met since the last time."""
         new = list(islice(self.number, len(self.starts) - 1, None))
-        flats, sizes = [self.flat], []
-        for at in range(0, len(new), 10_000):
-            for made in self.model.encode_batch_fast(new[at : at + 10_000], add_special_tokens=False):
-                ids = made.ids
-                sizes.append(len(ids))
-                flats.append(np.array(ids, np.uint32))
-        if new:
-            self.flat = np.concatenate(flats)
-            self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
-            self.held += sum(map(len, new)) + 160 * len(new)
-
-    def whole(self, text: str) -> bool:
-        """Whether a text is left to the library as it is."""
+        if not new:
+            return
+        parts = np.fromiter(map(len, map(self.parts, new)), np.int64, len(new))
+        texts = [" ".join(new[at : at + 500]) for at in range(0, len(new), 500)]
+        flats = []
+        for at in range(0, len(texts), 20):
+            made = self.model.encode_batch_fast(texts[at : at + 20], add_special_tokens=False)
+            flats += [np.array(m.ids, np.uint32) for m in made]
+        ids = np.concatenate(flats)
+        last = np.flatnonzero(self.closes[ids]) + 1
+        upto = np.concatenate(([0], np.cumsum(parts)))
+        if upto[-1] != len(last):
+            raise ValueError("the vocabulary does not split as expected")
+        ends = np.concatenate(([0], last))[upto[1:]]
+        self.starts = np.concatenate((self.starts, self.starts[-1] + ends))
+        self.flat = np.concatenate((self.flat, ids))
+        self.held += sum(map(len, new)) + 120 * len(new)
+
+    def words(self, text: str) -> np.ndarray | None:
+        """Numbers of a text's words; None for a text that is left to the library as it is."""
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
-            return True
-        return any(special in text for special in self.special)
+            return None
+        text = text.lower()
+        if any(special in text for special in self.special) or any(sign in text for sign in OTHER_SPACE):
+            return None
+        return np.fromiter(map(self.number.__getitem__, text.split()), np.int32)
 
     def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text."""
         if self.held > REMEMBERED:
             self.forget()
-        number = self.number.__getitem__
-        found = [None if self.whole(t) else np.fromiter(map(number, self.split(t.lower())), np.int32) for t in texts]
+        found = [self.words(t) for t in texts]
         self.learn()
         for text, words in zip(texts, found, strict=True):
             if words is None:

@@ -187,7 +187,7 @@ def test_replay_where_a_merge_makes_a_lower_rank():
 
 
 def test_packing_places_every_id_once(spark):
-    special = ["hello <|endoftext|> world", "<|startoftext|>é 漢", "<|ENDOFTEXT|> <|endoftext |>", "a<|endoftext|><|startoftext|>b " * 50]
+    special = ["hello <|endoftext|> world", "<|startoftext|>é 漢", "<|ENDOFTEXT|> <|endoftext |>", "a\x1cb \x1f", "x\x85y\xa0z", "a<|endoftext|><|startoftext|>b " * 50]
     texts = ODD + special + ["same text"] * 40 + ["long words here " * 4000, "even " * 4096]
     placed = packing.pack(frame(spark, texts), WORD_BPE, with_ids=True).collect()
     model = Tokenizer.from_file(WORD_BPE)
