@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.text import let, term_counts, tokenize
 from gleaner.operators.ranking import RANK_SCALE, positions, top_k
+from gleaner.operators.shards import shard_search
 from gleaner.runtime import busy_partitions, fits_broadcast, materialize, salted_join, slice_rows
 
 # BM25 parameters.
@@ -16,6 +17,9 @@ K1 = 1.5
 B = 0.75
 EPSILON = 0.25
 
+# Pairs of a question and a posting from which shards are scored with arrays.
+SHARD_PAIRS = 2_000_000
+
 INSERTION_ORDER = ("doc_ord", "chunk_index")
 
 
@@ -138,31 +142,47 @@ def term_score(avgdl: float) -> Column:
     return F.col("weight") * (tf * (K1 + 1)) / (tf + K1 * (1 - B + B * length))
 
 
-def bm25_scores(queries: DataFrame, index: SparseIndex) -> DataFrame:
-    """(query_id, chunk_id, doc_ord, chunk_index, score) of every chunk sharing a term with a query."""
+def question_words(queries: DataFrame, index: SparseIndex) -> tuple[DataFrame, bool]:
+    """(query_id, term, df, weight) of the words that occur, and whether they may be broadcast.
+
+    Written once: the question words with their weights steer the joins with the postings.
+    """
     asked = query_terms(queries)
     small = fits_broadcast(asked, "term")
     if small:
         asked = F.broadcast(asked)
-    # Written once: the question words with their weights steer both joins below.
     weighted = materialize(
         index.weights_of(asked.select("term"))
         .join(asked, "term")
         .select("query_id", "term", "df", (F.col("qtf") * F.col("idf")).alias("weight")),
         "question_words",
     )
+    return weighted, small
+
+
+def postings_of(weighted: DataFrame, index: SparseIndex, small: bool) -> DataFrame:
+    """The postings, without folders that hold none of the words."""
     postings = index.postings
     if index.buckets and small:
         # At most as many numbers as folders; literal ones prune the scan of the posting table.
         folders = [row[0] for row in weighted.select(term_bucket(index.buckets)).distinct().collect()]
         postings = postings.where(F.col("bucket").isin(folders))
-    postings = postings.select("term", "chunk_id", *INSERTION_ORDER, "tf", "dl")
+    return postings.select("term", "chunk_id", *INSERTION_ORDER, "tf", "dl")
+
+
+def bm25_scores(queries: DataFrame, index: SparseIndex) -> DataFrame:
+    """(query_id, chunk_id, doc_ord, chunk_index, score) of every chunk sharing a term with a query."""
+    return _all_scores(*question_words(queries, index), index)
+
+
+def _all_scores(weighted: DataFrame, small: bool, index: SparseIndex) -> DataFrame:
+    postings = postings_of(weighted, index, small)
     if small:
         # The words go to the postings. Matching postings move once, to their chunk; sums and
         # the per-task top-k then need no further shuffle of (query, chunk) pairs.
         words = F.broadcast(weighted.select("term"))
         matched = postings.join(words, "term", "left_semi").repartition(
-            busy_partitions(queries.sparkSession), "chunk_id"
+            busy_partitions(weighted.sparkSession), "chunk_id"
         )
         pairs = matched.join(F.broadcast(weighted.drop("df")), "term")
     else:
@@ -175,13 +195,52 @@ def bm25_scores(queries: DataFrame, index: SparseIndex) -> DataFrame:
     return pairs.groupBy(*keys).agg(F.sum(term_score(index.average_length)).alias("score"))
 
 
-def bm25_search(queries: DataFrame, index: SparseIndex, k: int, pad_zero: bool = True) -> DataFrame:
-    """Top-k chunks of each question: (query_id, rank, chunk_id, doc_ord, chunk_index, score)."""
+def _impact(avgdl: float):
+    """Score of postings of weight 1, from arrays of tf and dl."""
+
+    def impact(tf, dl):
+        return tf * (K1 + 1) / (tf + K1 * (1 - B + B * dl / avgdl))
+
+    return impact
+
+
+def _matches(weighted: DataFrame) -> tuple[int, int]:
+    """Postings of the words, and pairs of a question and a posting of one of its words."""
+    words = weighted.groupBy("term").agg(F.any_value("df").alias("df"), F.count("*").alias("n"))
+    postings, pairs = words.agg(F.sum("df"), F.sum(F.col("df") * F.col("n"))).first()
+    return postings or 0, pairs or 0
+
+
+def bm25_work(queries: DataFrame, index: SparseIndex, k: int) -> DataFrame:
+    """(query_id, matched, read): postings of each question's words, and those that the bounds left to be scored."""
+    weighted, small = question_words(queries, index)
+    work = shard_search(
+        weighted, postings_of(weighted, index, small), _matches(weighted)[0], k, _impact(index.average_length), count=True
+    )
+    return work.groupBy("query_id").agg(F.sum("matched").alias("matched"), F.sum("read").alias("read"))
+
+
+def bm25_search(
+    queries: DataFrame, index: SparseIndex, k: int, pad_zero: bool = True, by_shard: bool | None = None
+) -> DataFrame:
+    """Top-k chunks of each question: (query_id, rank, chunk_id, doc_ord, chunk_index, score).
+
+    Few pairs of a question and a posting are summed as rows; many are scored by shard, where a question takes one array.
+    """
     by_insertion = [F.col(c).asc() for c in INSERTION_ORDER]
     columns = ("query_id", "rank", "chunk_id", *INSERTION_ORDER, "score")
+    negative = (index.average_idf or 0.0) < 0.0
     if pad_zero and (index.average_idf or 0.0) <= 0.0:
         return _ranked_with_all_zeros(queries, index, k).select(*columns)
-    hits = top_k(bm25_scores(queries, index), k, *by_insertion).select(*columns)
+    weighted, small = question_words(queries, index)
+    postings, pairs = _matches(weighted)
+    if by_shard is None:
+        by_shard = not small or pairs > SHARD_PAIRS
+    if by_shard and not negative and k > 0:
+        scores = shard_search(weighted, postings_of(weighted, index, small), postings, k, _impact(index.average_length))
+    else:
+        scores = _all_scores(weighted, small, index)
+    hits = top_k(scores, k, *by_insertion).select(*columns)
     return _with_zero_tail(queries, hits, index, k) if pad_zero and k > 0 else hits
 
 

@@ -307,6 +307,9 @@ def oracles() -> dict[str, str]:
         "appended_term_stats": f"{POSTINGS} SELECT term, df FROM terms",
         "bm25_topk": f"{POSTINGS}, {_bm25(BENCH, 20, False)} SELECT {RANKED} FROM sparse",
         "bm25_padded": f"{POSTINGS}, {_bm25(TURNS, 20, True)} SELECT {RANKED} FROM sparse",
+        "bm25_by_shard": f"{POSTINGS}, {_bm25(BENCH, 20, False)} SELECT {RANKED} FROM sparse",
+        "bm25_work": f"""{POSTINGS}, {_bm25(BENCH, 20, False)}
+            SELECT query_id, CAST(sum(df) AS BIGINT) AS matched, true AS bounded FROM qt JOIN terms USING (term) GROUP BY query_id""",
         "dense_topk": VECTOR_TOP5,
         "dense_topk_blocks": VECTOR_TOP5,
         "ivf_full_probe": VECTOR_TOP5,

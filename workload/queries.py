@@ -29,6 +29,7 @@ from gleaner.operators.post import (
 from gleaner.operators.sparse import (
     SparseIndex,
     bm25_search,
+    bm25_work,
     build_postings,
     merge_term_frequencies,
     term_frequencies,
@@ -241,6 +242,17 @@ def q_bm25_padded(c: Corpus) -> DataFrame:
     return _ranked(bm25_search(asked, c.sparse, CANDIDATES), "chunk_id")
 
 
+def q_bm25_by_shard(c: Corpus) -> DataFrame:
+    """The same search on the path for many pairs of questions and postings."""
+    return _ranked(bm25_search(c.questions, c.sparse, CANDIDATES, False, by_shard=True), "chunk_id")
+
+
+def q_bm25_work(c: Corpus) -> DataFrame:
+    """Postings that share a word with a question; no more than twice as many are read by both rounds."""
+    work = bm25_work(c.questions, c.sparse, CANDIDATES)
+    return work.select("query_id", "matched", (F.col("read") <= 2 * F.col("matched")).alias("bounded"))
+
+
 # Dense -----------------------------------------------------------------------
 
 _VECTORS = {"dim": 64, "id_col": "vec_id", "order": ("vec_id",)}
