@@ -67,10 +67,13 @@ class VectorIndexConfig:
     auto: bool = False
     # "exact" or "cells" whatever the size, or "by_size".
     search: str = "by_size"
+    # Share of the true nearest that questions should find: nprobe is then measured whenever cells are trained.
+    recall: float | None = None
 
     def __post_init__(self) -> None:
         _require(self.nlist > 0 and self.nprobe > 0, "nlist and nprobe must be positive")
         _require(self.search in ("by_size", "exact", "cells"), "search is 'by_size', 'exact' or 'cells'")
+        _require(self.recall is None or 0 < self.recall <= 1, "recall is a share above 0")
 
     def resolve(self, n: int) -> "VectorIndexConfig":
         """The concrete nlist and nprobe for n vectors."""

@@ -2,7 +2,11 @@
 
 Both searches are one job shape: a vector belongs to a cell, a query looks into
 some cells, and inside a task a block of vectors is multiplied with a block of
-queries. Only the best k rows per query leave the task; pairs are never rows.
+queries. Vectors stay where they are stored; queries beyond a broadcast come in rounds of one bounded block each.
+Only the best k rows per query leave the task; pairs are never rows.
+
+Search by cell can be exact: a cell's radius and norms bound every product with a vector in it, so a
+query visits cells from the highest bound down and is done when none that is left can reach its k-th score.
 """
 
 from __future__ import annotations
@@ -14,18 +18,18 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner.config import VectorIndexConfig
 from gleaner.functions.vectors import norm
 from gleaner.operators.ranking import top_k
-from gleaner.runtime import BROADCAST_BYTES
+from gleaner.runtime import BROADCAST_BYTES, materialize, scratch_path
 
-# Vectors and queries that one group holds.
+# Vectors multiplied at once, and queries of one round.
 BLOCK_VECTORS = 65_536
-BLOCK_QUERIES = 4_096
+BLOCK_QUERIES = 65_536
 # Scores held at once: even if all of them tie, they fit a task.
 _PRODUCT_CELLS = 4_000_000
 
@@ -43,21 +47,23 @@ def _best(hits: pd.DataFrame, k: int, order: list[str]) -> pd.DataFrame:
 
 
 def _block_hits(
-    vectors: pd.DataFrame, block: np.ndarray, queries: np.ndarray, ids: np.ndarray, k: int, order: list[str]
+    vectors: pd.DataFrame, block: np.ndarray, queries: np.ndarray, ids: np.ndarray, k: int, order: list[str], floor: np.ndarray
 ) -> pd.DataFrame:
-    """Top-k rows of one vector block for each of the given queries."""
+    """Rows of one vector block that can be among the first k of the given queries; `floor` holds their k-th scores so far."""
     found = []
     step = max(1, _PRODUCT_CELLS // max(1, len(block)))
     for at in range(0, len(ids), step):
-        scores = block @ queries[ids[at : at + step]].T
-        if len(block) > k:
-            # Everything that reaches the k-th score stays, so ties are settled by `order`.
-            reach = np.partition(scores, len(block) - k, axis=0)[len(block) - k]
-            rows, cols = np.nonzero(scores >= reach - 1e-9)
-        else:
-            rows, cols = (i.ravel() for i in np.indices(scores.shape))
+        own = ids[at : at + step]
+        scores, reach = block @ queries[own].T, floor[own]
+        new = np.flatnonzero(np.isneginf(reach)) if len(block) > k else ()
+        if len(new):
+            reach = reach.copy()
+            reach[new] = np.partition(scores[:, new], len(block) - k, axis=0)[len(block) - k]
+        # Everything that reaches the k-th score stays, so ties are settled by `order`.
+        rows, cols = np.nonzero(scores >= reach - 1e-9)
         part = vectors.iloc[rows].reset_index(drop=True)
-        found.append(_best(part.assign(_q=ids[at + cols], score=scores[rows, cols]), k, order))
+        part = part.assign(_q=own[cols], score=scores[rows, cols])
+        found.append(_best(part, k, order) if len(new) else part)
     return pd.concat(found, ignore_index=True)
 
 
@@ -70,15 +76,21 @@ def _scan_search(
     keep = list(dict.fromkeys([id_col, *order]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = None
+        best, floor = None, np.full(len(names), -np.inf)
         for batch in batches:
-            for cell, part in batch.groupby("cell", sort=False):
+            for cell, rows in batch.groupby("cell", sort=False):
                 ids = probes.get(int(cell))
                 if ids is None:
                     continue
-                block = _matrix(part["embedding"], dim)
-                hits = _block_hits(part[keep], block, matrix, ids, k, order)
-                best = hits if best is None else _best(pd.concat([best, hits], ignore_index=True), k, order)
+                for at in range(0, len(rows), BLOCK_VECTORS):
+                    part = rows.iloc[at : at + BLOCK_VECTORS]
+                    hits = _block_hits(part[keep], _matrix(part["embedding"], dim), matrix, ids, k, order, floor)
+                    if not len(hits):
+                        continue
+                    best = _best(hits if best is None else pd.concat([best, hits], ignore_index=True), k, order)
+                    held = best.groupby("_q")["score"].agg(["size", "min"])
+                    full = held[held["size"] >= k]
+                    floor[full.index.to_numpy()] = full["min"].to_numpy()
         if best is not None:
             out = best.assign(query_id=names[best["_q"].to_numpy()])
             yield out[["query_id", *keep, "score"]]
@@ -86,22 +98,6 @@ def _scan_search(
     return run
 
 
-def _group_search(k: int, id_col: str, order: list[str], dim: int):
-    """Task body: one bounded block of queries against one bounded block of vectors."""
-    keep = list(dict.fromkeys([id_col, *order]))
-    columns = ["query_id", *keep, "score"]
-
-    def run(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
-        if queries.empty or vectors.empty:
-            return pd.DataFrame(columns=columns)
-        ids = np.arange(len(queries))
-        block = _matrix(vectors["embedding"], dim)
-        hits = _block_hits(vectors[keep], block, _matrix(queries["embedding"], dim), ids, k, order)
-        return hits.assign(query_id=queries["query_id"].to_numpy()[hits["_q"].to_numpy()])[columns]
-
-    return run
-
-
 def _result_schema(queries: DataFrame, vectors: DataFrame, id_col: str, order: list[str]) -> T.StructType:
     keep = list(dict.fromkeys([id_col, *order]))
     fields = [T.StructField("query_id", queries.schema["query_id"].dataType)]
@@ -136,62 +132,38 @@ def cell_search(
     else:
         stored = vectors.select(*keep, "embedding", "cell")
         looks = asked.join(probes, "query_id")
-    if small_queries is None:
-        small_queries = looks.count() * (4 * dim + 64) <= BROADCAST_BYTES
-    if small_queries:
-        # Measured above: the query vectors fit in every task, so the vectors stay where they are.
+    def search(looks: DataFrame) -> DataFrame:
+        """The query vectors fit in every task, so the vectors stay where they are."""
         table = looks.groupBy("query_id").agg(
             F.any_value("embedding").alias("embedding"), F.collect_list("cell").alias("cells")
         )
         known = table.toPandas()
         pairs = known["cells"].explode().dropna().astype(int)
         by_cell = {int(c): g.index.to_numpy() for c, g in pairs.groupby(pairs)}
-        if probes is not None:
-            # Literal cells prune the partitions of a table stored by cell.
-            stored = stored.where(F.col("cell").isin(sorted(by_cell)))
-        hits = stored.mapInPandas(_scan_search(known[["query_id", "embedding"]], by_cell, k, id_col, by, dim), schema)
-    else:
-        hits = _blockwise(looks, stored, schema, k, id_col, by, dim)
-    return top_k(hits, k, *(F.col(c).asc() for c in by))
+        # Literal cells prune the partitions of a table stored by cell.
+        rows = stored if probes is None else stored.where(F.col("cell").isin(sorted(by_cell)))
+        return rows.mapInPandas(_scan_search(known[["query_id", "embedding"]], by_cell, k, id_col, by, dim), schema)
 
+    ties = [F.col(c).asc() for c in by]
+    if small_queries is None:
+        small_queries = looks.count() * (4 * dim + 64) <= BROADCAST_BYTES
+    if small_queries:
+        return top_k(search(looks), k, *ties)
+    return _in_rounds(looks, lambda block: top_k(search(block), k, *ties), dim)
 
-def _blockwise(
-    looks: DataFrame, stored: DataFrame, schema: T.StructType, k: int, id_col: str, by: list[str], dim: int
-) -> DataFrame:
-    """Queries beyond the broadcast size: cells are cut into blocks of vectors and of queries.
 
-    A cell holding a third of all vectors becomes many blocks, so no group
-    outgrows a task; each (vector block, query block) pair meets exactly once.
-    """
-
-    def blocks(n: Column, size: int) -> Column:
-        return F.greatest(F.ceil(n / F.lit(float(size))), F.lit(1)).cast("int")
-
-    # One row per cell on either side, as many as nlist: small by construction.
-    sizes = (
-        stored.groupBy("cell").agg(F.count("*").alias("n_v"))
-        .join(looks.groupBy("cell").agg(F.count("*").alias("n_q")), "cell")
-        .select("cell", blocks(F.col("n_v"), BLOCK_VECTORS).alias("v_blocks"), blocks(F.col("n_q"), BLOCK_QUERIES).alias("q_blocks"))
-    )
-    sized = F.broadcast(sizes)
-    left = (
-        looks.join(sized, "cell")
-        .withColumn("q_block", F.pmod(F.xxhash64("query_id"), F.col("q_blocks")).cast("int"))
-        .withColumn("v_block", F.explode(F.sequence(F.lit(0), F.col("v_blocks") - 1)))
-        .select("cell", "v_block", "q_block", "query_id", "embedding")
-    )
-    right = (
-        stored.join(sized, "cell")
-        .withColumn("v_block", F.pmod(F.xxhash64(id_col), F.col("v_blocks")).cast("int"))
-        .withColumn("q_block", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)))
-        .drop("v_blocks", "q_blocks")
-    )
-    keys = ["cell", "v_block", "q_block"]
-    return (
-        left.groupBy(*keys)
-        .cogroup(right.groupBy(*keys))
-        .applyInPandas(_group_search(k, id_col, by, dim), schema)
-    )
+def _in_rounds(looks: DataFrame, search, dim: int) -> DataFrame:
+    """Queries beyond a broadcast: bounded blocks of whole queries, each searched and written before the next one."""
+    spark = looks.sparkSession
+    most = max(1, min(BLOCK_QUERIES, BROADCAST_BYTES // (4 * dim + 64)))
+    rounds = max(1, -(-looks.count() // most))
+    # Written by block: a round reads its own folder.
+    cut = looks.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(rounds)).cast("int"))
+    cut, path = materialize(cut, "query-blocks", ("block",)), scratch_path(spark, "round-hits")
+    for block in range(rounds):
+        hits = search(cut.where(F.col("block") == block).drop("block"))
+        hits.write.mode("append").parquet(path)
+    return spark.read.schema(hits.schema).parquet(path)
 
 
 @dataclass(frozen=True)
@@ -207,9 +179,9 @@ class Cells:
     @classmethod
     def train(cls, vectors: DataFrame, cfg: VectorIndexConfig) -> "Cells":
         """Spherical k-means with MLlib, as a Spark job over all vectors that have a direction."""
-        usable = vectors.where(norm(F.col("embedding")) > 0).select(
-            array_to_vector(F.col("embedding")).alias("features")
-        )
+        usable = vectors.where(norm(F.col("embedding")) > 0).select("embedding")
+        # Written once: training passes over it many times.
+        usable = materialize(usable, "training").select(array_to_vector(F.col("embedding")).alias("features"))
         model = KMeans(k=cfg.nlist, distanceMeasure="cosine", seed=cfg.seed, maxIter=20).fit(usable)
         centers = np.array(model.clusterCenters())
         return cls(centers / np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-12))
@@ -229,10 +201,12 @@ class Cells:
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                # Rounded, so a tie (as for the zero vector) goes to the lowest cell.
-                scores = np.round(_matrix(batch["embedding"], centers.shape[1]) @ centers.T, 9)
-                order = np.argsort(-scores, axis=1, kind="stable")[:, :count]
-                yield batch.assign(cell=list(order.astype(np.int32)))
+                step = max(1, _PRODUCT_CELLS // len(centers))
+                for at in range(0, len(batch), step):
+                    part = batch.iloc[at : at + step]
+                    # Rounded, so a tie (as for the zero vector) goes to the lowest cell.
+                    scores = np.round(_matrix(part["embedding"], centers.shape[1]) @ centers.T, 9)
+                    yield part.assign(cell=list(_first(scores, count)))
 
         return df.mapInPandas(run, schema)
 
@@ -246,6 +220,148 @@ class Cells:
         return near.select("query_id", F.explode("cell").alias("cell"))
 
 
+def _first(scores: np.ndarray, count: int) -> np.ndarray:
+    """Columns of the `count` highest scores of each row, in order; ties go to the lower column."""
+    rows, width = scores.shape
+    if count == 1:
+        return scores.argmax(axis=1).astype(np.int32)[:, None]
+    if count >= width or 8 * count > width:
+        return np.argsort(-scores, axis=1, kind="stable")[:, :count].astype(np.int32)
+    kth = np.partition(scores, width - count, axis=1)[:, width - count]
+    found = np.empty((rows, count), np.int32)
+    for i in range(rows):
+        near = np.flatnonzero(scores[i] >= kth[i])
+        found[i] = near[np.argsort(-scores[i, near], kind="stable")[:count]]
+    return found
+
+
+@dataclass(frozen=True)
+class CellBounds:
+    """What is known of the vectors in each cell: their number, norms, and how far they lie from the centre.
+
+    `angle` is the largest angle to the centre, times `slack`; with a slack of 1 bounds are never too low.
+    """
+
+    n: np.ndarray
+    angle: np.ndarray
+    least_norm: np.ndarray
+    most_norm: np.ndarray
+    slack: float = 1.0
+
+    @classmethod
+    def measure(cls, stored: DataFrame, cells: Cells, slack: float = 1.0) -> "CellBounds":
+        """One pass over vectors stored with their `cell`; a row per cell comes to the driver."""
+        centers = cells.centers
+
+        def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                own = _matrix(batch["embedding"], centers.shape[1])
+                length = np.linalg.norm(own, axis=1)
+                cosine = (own * centers[batch["cell"].to_numpy()]).sum(axis=1) / np.maximum(length, 1e-300)
+                # A vector without direction has a product of zero with everything; its norm says so.
+                angle = np.where(length > 0, np.arccos(np.clip(cosine, -1, 1)), 0.0)
+                yield pd.DataFrame({"cell": batch["cell"], "angle": angle, "norm": length})
+
+        rows = stored.select("cell", "embedding").mapInPandas(work, "cell int, angle double, norm double")
+        found = rows.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("angle"), F.min("norm").alias("low"), F.max("norm").alias("high"))
+        n, angle, low, high = np.zeros(cells.nlist, np.int64), *(np.zeros(cells.nlist) for _ in range(3))
+        for r in found.collect():
+            n[r["cell"]], angle[r["cell"]], low[r["cell"]], high[r["cell"]] = r["n"], r["angle"], r["low"], r["high"]
+        return cls(n, angle * slack, low, high, slack)
+
+    def highest(self, queries: np.ndarray, cells: Cells) -> np.ndarray:
+        """The most that a product of each query with a vector of each cell can be; -inf for empty cells."""
+        length = np.linalg.norm(queries, axis=1, keepdims=True)
+        between = np.arccos(np.clip(queries @ cells.centers.T / np.maximum(length, 1e-300), -1, 1))
+        cosine = np.cos(np.maximum(0.0, between - self.angle - 1e-7))
+        most = length * np.where(cosine > 0, cosine * self.most_norm, cosine * self.least_norm)
+        return np.where(self.n > 0, most + 1e-9, -np.inf)
+
+
+def bounded_search(
+    queries: DataFrame,
+    vectors: DataFrame,
+    cells: Cells,
+    bounds: CellBounds,
+    k: int,
+    *,
+    dim: int,
+    first: int = 4,
+    id_col: str = "chunk_id",
+    order: tuple[str, ...] = ("doc_ord", "chunk_index"),
+) -> tuple[DataFrame, DataFrame]:
+    """(top-k hits, vectors scored per query): cells in rounds from the highest bound down, until none can reach the k-th score.
+
+    The first round visits `first` cells, each later one four times as many. Bounds with a slack of 1 make the hits exact; less stops earlier.
+    """
+    spark = queries.sparkSession
+    ties = [F.col(c).asc() for c in order]
+    asked = materialize(queries.select("query_id", F.col("embedding").cast("array<float>").alias("embedding")), "asked")
+    kind = queries.schema["query_id"].dataType
+    schema = T.StructType([T.StructField("query_id", kind), T.StructField("cells", T.ArrayType(T.IntegerType())), T.StructField("vectors", T.LongType())])
+
+    def next_cells(seen: int, upto: int):
+        def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                step = max(1, _PRODUCT_CELLS // cells.nlist)
+                for at in range(0, len(batch), step):
+                    part = batch.iloc[at : at + step]
+                    most = bounds.highest(_matrix(part["embedding"], dim), cells)
+                    by_bound = np.argsort(-most, axis=1, kind="stable")[:, seen:upto]
+                    wanted = np.take_along_axis(most, by_bound, 1) >= part["kth"].to_numpy()[:, None] - 2e-9
+                    wanted &= np.isfinite(np.take_along_axis(most, by_bound, 1))
+                    look = [row[w].astype(np.int32) for row, w in zip(by_bound, wanted)]
+                    made = pd.DataFrame({"query_id": part["query_id"].to_numpy(), "cells": look, "vectors": [int(bounds.n[c].sum()) for c in look]})
+                    yield made[made["vectors"] > 0]
+
+        return work
+
+    best, looked, seen, width = None, [], 0, max(1, first)
+    while seen < cells.nlist:
+        if best is None:
+            open_queries = asked.withColumn("kth", F.lit(float("-inf")))
+        else:
+            kth = best.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
+            open_queries = asked.join(kth, "query_id", "left").fillna(float("-inf"), ["kth"])
+        looks = materialize(open_queries.mapInPandas(next_cells(seen, seen + width), schema), "round-cells")
+        seen, width = seen + width, 4 * width
+        if looks.isEmpty():  # cells that come later have lower bounds
+            break
+        looked.append(looks.select("query_id", "vectors"))
+        probes = looks.select("query_id", F.explode("cells").alias("cell"))
+        found = cell_search(asked, vectors, k, dim=dim, id_col=id_col, order=order, probes=probes).drop("rank")
+        best = materialize(top_k(found if best is None else best.drop("rank").unionByName(found), k, *ties), "round-best")
+    if best is None:
+        best = cell_search(asked, vectors, k, dim=dim, id_col=id_col, order=order)
+        return best, asked.select("query_id", F.lit(0).cast("bigint").alias("vectors"))
+    work = looked[0]
+    for more in looked[1:]:
+        work = work.unionByName(more)
+    return best, work.groupBy("query_id").agg(F.sum("vectors").alias("vectors"))
+
+
+def tuned_nprobe(sample: DataFrame, stored: DataFrame, cells: Cells, k: int, recall: float, *, dim: int,
+                 id_col: str = "chunk_id", order: tuple[str, ...] = ("doc_ord", "chunk_index")) -> int:
+    """The fewest cells at which a sample of queries finds `recall` of its true k nearest, less two standard errors.
+
+    `sample` is a bounded table of queries; each is searched exhaustively once. For every true hit the place of its cell in
+    the query's order tells from which number of cells on it is found.
+    """
+    queries = materialize(sample.select("query_id", "embedding"), "recall-sample")
+    truth = exact_search(queries, stored.drop("cell"), k, dim=dim, id_col=id_col, order=order).select("query_id", id_col)
+    rows = truth.join(stored.select(id_col, "cell"), id_col).join(queries, "query_id").toPandas()
+    if not len(rows):
+        return cells.nlist
+    scores = np.round(_matrix(rows["embedding"], dim) @ cells.centers.T, 9)
+    by_score = np.argsort(-scores, axis=1, kind="stable")
+    place = (by_score == rows["cell"].to_numpy()[:, None]).argmax(axis=1)
+    hits = pd.crosstab(rows["query_id"], place).reindex(columns=range(cells.nlist), fill_value=0).to_numpy()
+    found = np.cumsum(hits, axis=1) / hits.sum(axis=1, keepdims=True)
+    sure = found.mean(axis=0) - 2 * found.std(axis=0) / np.sqrt(len(found))
+    enough = np.flatnonzero((sure >= recall) | (found.min(axis=0) >= 1))
+    return int(enough[0]) + 1 if len(enough) else cells.nlist
+
+
 def exact_search(queries: DataFrame, vectors: DataFrame, k: int, *, dim: int, **options) -> DataFrame:
     return cell_search(queries, vectors, k, dim=dim, **options)
 

@@ -13,7 +13,7 @@ from gleaner.config import IndexConfig
 from gleaner.functions.text import tokenize
 from gleaner.functions.vectors import require_dimension
 from gleaner.operators.chunk import chunk_documents
-from gleaner.operators.dense import Cells, exact_search, ivf_search
+from gleaner.operators.dense import Cells, exact_search, ivf_search, tuned_nprobe
 from gleaner.operators.embed import EmbeddingCache, Encoder, HashingEncoder, embed
 from gleaner.operators.fuse import fused_top_k
 from gleaner.operators.post import (
@@ -40,6 +40,8 @@ OPTIONAL_COLUMNS = {"metadata": "map<string,string>", "start_char": "int", "end_
 
 
 CHUNK_FOLDER = "chunk_folder"
+# Questions on which recall is measured when cells are trained.
+RECALL_SAMPLE = 1_000
 
 
 def chunk_bucket(chunk_id: Column, buckets: int) -> Column:
@@ -231,7 +233,15 @@ class HybridIndex:
         cells = Cells.train(flat, self.config.vectors.resolve(manifest.n_chunks))
         self.store.write(cells.to_frame(self.spark).coalesce(1), "centroids", batch)
         self.store.write(cells.assign(flat), f"vectors_by_cell_{batch}", batch, "cell")
-        return manifest.with_(cells=batch)
+        manifest, recall = manifest.with_(cells=batch, nprobe=None), self.config.vectors.recall
+        if recall is None:
+            return manifest
+        placed = self.spark.read.parquet(f"{self.store.path}/vectors_by_cell_{batch}/batch={batch}")
+        # Stored vectors as questions, chosen by a hash of their id.
+        sample = placed.orderBy(F.xxhash64("chunk_id"), "chunk_id").limit(RECALL_SAMPLE)
+        sample = sample.select(F.col("chunk_id").alias("query_id"), "embedding")
+        k = max(1, self.config.retrieval.dense_candidates)
+        return manifest.with_(nprobe=tuned_nprobe(sample, placed, cells, k, recall, dim=self.encoder.dim))
 
     def retrain(self) -> None:
         """New cells for a corpus that has drifted since they were trained."""
@@ -324,7 +334,7 @@ class HybridIndex:
         if self.cells is None:
             hits = exact_search(encoded, self.vectors, k, dim=self.encoder.dim)
         else:
-            nprobe = self.config.vectors.probes(self.cells.nlist)
+            nprobe = self.manifest.nprobe or self.config.vectors.probes(self.cells.nlist)
             hits = ivf_search(encoded, self.vectors, self.cells, k, nprobe, dim=self.encoder.dim)
         return hits.select("query_id", "rank", "chunk_id", "score")
 

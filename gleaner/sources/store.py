@@ -29,6 +29,8 @@ class Manifest:
     next_ord: int = 0
     # Number of the batch that wrote the current cells; None while search is exhaustive.
     cells: int | None = None
+    # Cells that a question looks into, where that number was measured.
+    nprobe: int | None = None
     # Batches that replaced earlier chunks.
     replaced: list[int] = field(default_factory=list)
     format: int = FORMAT

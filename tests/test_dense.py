@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gleaner.config import VectorIndexConfig
 from gleaner.operators import dense
-from gleaner.operators.dense import Cells, exact_search, ivf_search
+from gleaner.operators.dense import CellBounds, Cells, bounded_search, exact_search, ivf_search, tuned_nprobe
 from gleaner.operators.evaluate import overlap_recall
 from gleaner.runtime import materialize
 
@@ -120,3 +120,102 @@ def test_training_skips_zero_vectors(spark, data):
     assert sum(r["count"] for r in sizes) == len(vectors)
     again = Cells.from_frame(cells.to_frame(spark))
     assert np.allclose(again.centers, cells.centers)
+
+
+def test_query_blocks_leave_vectors_in_place(spark, data, monkeypatch):
+    """One round per block of queries, and no exchange below the search itself."""
+    vectors, queries = data
+    monkeypatch.setattr(dense, "BLOCK_QUERIES", 2)
+    plans, mapped = [], type(make(spark, vectors)).mapInPandas
+
+    def seen(frame, *args, **more):
+        plans.append(plan_of(frame))
+        return mapped(frame, *args, **more)
+
+    monkeypatch.setattr(type(make(spark, vectors)), "mapInPandas", seen)
+    hits = exact_search(ask(spark, queries), make(spark, vectors), 5, dim=16, small_queries=False)
+    assert lists(hits) == brute(vectors, queries, 5)
+    assert len(plans) >= 2 and not any("Exchange" in p for p in plans)
+
+
+def test_nearest_cells_in_order():
+    rng = np.random.default_rng(3)
+    scores = np.round(rng.integers(0, 6, (50, 90)) / 3, 9)  # many ties
+    for count in (1, 4, 40, 90, 200):
+        want = np.argsort(-scores, axis=1, kind="stable")[:, :count]
+        assert (dense._first(scores, count) == want).all()
+
+
+def clustered(n=600, dim=16, groups=12, spread=0.15, seed=9):
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(size=(groups, dim))
+    rows = centers[rng.integers(0, groups, n)] + spread * rng.normal(size=(n, dim))
+    rows *= rng.uniform(0.2, 3, (n, 1))  # norms differ
+    rows[::50] = 0
+    return rows
+
+
+def test_bounds_hold_for_every_vector(spark):
+    rows = clustered()
+    table = make(spark, rows)
+    cells = Cells.train(table, VectorIndexConfig(nlist=12))
+    stored = materialize(cells.assign(table), "cells", ("cell",))
+    bounds = CellBounds.measure(stored, cells)
+    cell = {int(r["chunk_id"][1:]): r["cell"] for r in stored.collect()}
+    queries = np.r_[rows[:40], np.random.default_rng(1).normal(size=(40, 16)), np.zeros((1, 16))]
+    most = bounds.highest(queries, cells)
+    products = queries @ np.float32(rows).astype(float).T
+    for i in range(len(rows)):
+        assert (products[:, i] <= most[:, cell[i]] + 1e-6).all()
+    assert bounds.n.sum() == len(rows)
+
+
+@pytest.mark.parametrize("first", [1, 3, 50])
+def test_bounded_search_is_exact_and_skips_cells(spark, first):
+    rows = clustered()
+    table = make(spark, rows)
+    cells = Cells.train(table, VectorIndexConfig(nlist=12))
+    stored = materialize(cells.assign(table), "cells", ("cell",))
+    bounds = CellBounds.measure(stored, cells)
+    queries = np.r_[rows[1:30], -rows[1:3], np.zeros((1, 16))]
+    for k in (1, 5, 700):
+        hits, work = bounded_search(ask(spark, queries), stored, cells, bounds, k, dim=16, first=first)
+        assert lists(hits) == brute(rows, queries, k)
+        scored = {r["query_id"]: r["vectors"] for r in work.collect()}
+        assert len(scored) == len(queries) and all(n <= len(rows) for n in scored.values())
+        if k == 5 and first == 1:
+            assert sum(scored[i] for i in range(29)) < 0.5 * 29 * len(rows)
+
+
+def test_bounded_search_with_narrower_bounds_stops_earlier(spark, stored):
+    table, cells, by_cell = stored
+    queries = table.where("doc_ord < 100").select(F.col("doc_ord").alias("query_id"), "embedding")
+    truth = exact_search(queries, table, 5, dim=64)
+    shares, recalls = [], []
+    for slack in (1.0, 0.3):
+        bounds = CellBounds.measure(by_cell, cells, slack)
+        hits, work = bounded_search(queries, by_cell, cells, bounds, 5, dim=64)
+        recalls.append(overlap_recall(hits, truth).agg(F.avg("recall")).first()[0])
+        shares.append(work.agg(F.sum("vectors")).first()[0])
+    assert recalls[0] == 1.0 and recalls[1] >= 0.9 and shares[1] < shares[0]
+
+
+def test_bounded_search_of_nothing(spark, data):
+    vectors, queries = data
+    table = make(spark, vectors)
+    cells = Cells.train(table, VectorIndexConfig(nlist=4))
+    none = cells.assign(make(spark, vectors[:0]))
+    bounds = CellBounds.measure(none, cells)
+    hits, work = bounded_search(ask(spark, queries), none, cells, bounds, 5, dim=16)
+    assert hits.count() == 0 and work.agg(F.sum("vectors")).first()[0] == 0
+
+
+def test_tuned_cells_reach_the_recall(spark, stored):
+    table, cells, by_cell = stored
+    queries = table.select(F.col("doc_ord").alias("query_id"), "embedding")
+    nprobe = tuned_nprobe(queries.where("query_id % 2 = 0"), by_cell, cells, 5, 0.95, dim=64)
+    assert 1 < nprobe < cells.nlist
+    truth = exact_search(queries, table, 5, dim=64)
+    recall = lambda n: overlap_recall(ivf_search(queries, by_cell, cells, 5, n, dim=64), truth).agg(F.avg("recall")).first()[0]
+    assert recall(nprobe) >= 0.94 > recall(nprobe // 4)
+    assert tuned_nprobe(queries.where("query_id < 0"), by_cell, cells, 5, 0.95, dim=64) == cells.nlist

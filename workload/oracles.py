@@ -313,6 +313,8 @@ def oracles() -> dict[str, str]:
         "dense_topk": VECTOR_TOP5,
         "dense_topk_blocks": VECTOR_TOP5,
         "ivf_full_probe": VECTOR_TOP5,
+        "ivf_exact": VECTOR_TOP5,
+        "ivf_trained_recall": "SELECT unnest(['nprobe', 'bounds']) AS search, true AS reached, true AS saved",
         "vector_dimensions": """SELECT CAST(len(embedding) AS INTEGER) AS dim, count(*) AS n FROM embeddings
             GROUP BY len(embedding)""",
         "normalized_vectors": """WITH s AS (

@@ -13,7 +13,7 @@ from gleaner import ChunkingConfig, IndexConfig, RetrievalConfig, VectorIndexCon
 from gleaner.functions.text import clean_text, split_segments, strip, text_key, tokenize, word_set
 from gleaner.functions.vectors import dimensions, l2_normalize
 from gleaner.operators.chunk import chunk_documents
-from gleaner.operators.dense import Cells, exact_search, ivf_search
+from gleaner.operators.dense import CellBounds, Cells, bounded_search, exact_search, ivf_search, tuned_nprobe
 from gleaner.operators.embed import HashingEncoder, cache_misses, embed
 from gleaner.operators.evaluate import evaluate, mean_metrics, overlap_recall
 from gleaner.operators.fuse import fused_top_k
@@ -44,6 +44,7 @@ from gleaner.streaming.ingest import ingest_stream
 CANDIDATES = 20
 PROBES = (3, 5)  # of ten cells
 METRIC_K = 5
+RECALL, SLACK = 0.95, 0.35
 
 
 @dataclass
@@ -103,6 +104,10 @@ class Corpus:
     def trained_cells(self) -> Cells:
         return Cells.train(self.table("embeddings"), VectorIndexConfig())
 
+    @cached_property
+    def vectors_by_trained_cell(self) -> DataFrame:
+        return materialize(self.trained_cells.assign(self.table("embeddings")), "trained", ("cell",))
+
     @cached_property
     def vectors_by_cell(self) -> DataFrame:
         return materialize(self.cells.assign(self.table("embeddings")), "cells", ("cell",))
@@ -296,6 +301,39 @@ def q_ivf_recall(c: Corpus) -> DataFrame:
     return rows
 
 
+def q_ivf_exact(c: Corpus) -> DataFrame:
+    """Trained cells, visited until none that is left can hold a better vector."""
+    bounds = CellBounds.measure(c.vectors_by_trained_cell, c.trained_cells)
+    found, _ = bounded_search(_vector_queries(c), c.vectors_by_trained_cell, c.trained_cells, bounds, 5, **_VECTORS)
+    return _ranked(found, "vec_id")
+
+
+def trained_recall(c: Corpus) -> DataFrame:
+    """(search, recall, share of vectors scored) of trained cells: a measured number of cells, and narrowed bounds."""
+    cells, stored, queries = c.trained_cells, c.vectors_by_trained_cell, _vector_queries(c)
+    truth = materialize(exact_search(queries, stored, 5, **_VECTORS), "truth")
+    sizes = stored.groupBy("cell").agg(F.count("*").alias("vectors"))
+    sample = queries.orderBy(F.xxhash64("query_id"), "query_id").limit(1_000)
+    nprobe = tuned_nprobe(sample, stored, cells, 5, RECALL, **_VECTORS)
+    by_number = ivf_search(queries, stored, cells, 5, nprobe, **_VECTORS)
+    # A row per cell: small by construction.
+    looked = cells.probes(queries, nprobe).join(F.broadcast(sizes), "cell").groupBy("query_id").agg(F.sum("vectors").alias("vectors"))
+    bounds = CellBounds.measure(stored, cells, SLACK)
+    by_bound, scored = bounded_search(queries, stored, cells, bounds, 5, **_VECTORS)
+    rows = None
+    for name, found, work in (("nprobe", by_number, looked), ("bounds", by_bound, scored)):
+        mean = overlap_recall(found, truth, "vec_id").agg(F.avg("recall").alias("recall"))
+        share = work.agg(F.avg("vectors").alias("v")).join(sizes.agg(F.sum("vectors").alias("n"))).select((F.col("v") / F.col("n")).alias("share"))
+        row = mean.join(share).select(F.lit(name).alias("search"), "recall", "share")
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
+
+
+def q_ivf_trained_recall(c: Corpus) -> DataFrame:
+    """Both ways of stopping early find what they should without scoring every vector."""
+    return trained_recall(c).select("search", (F.col("recall") >= RECALL).alias("reached"), (F.col("share") < 1).alias("saved"))
+
+
 def q_cell_sizes(c: Corpus) -> DataFrame:
     return c.vectors_by_cell.groupBy("cell").agg(F.count("*").alias("n"))
 
