@@ -14,12 +14,13 @@ texts are cut into as many pieces as they need, none dropped.
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -53,7 +54,7 @@ class WordTokenizer:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer.from_file(path)
         self.special = [token.content for token in self.model.get_added_tokens_decoder().values()]
@@ -66,6 +67,12 @@ class WordTokenizer:
         self.parts = re.compile(
             f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER_1}]+|[{NUMBER_1}]|[^{SPACE_1}{LETTER_1}{NUMBER_1}]+"
         ).findall
+        # The merges alone, for parts that are lower-cased, split and spelled in the vocabulary's letters for bytes already.
+        settings = json.loads(self.model.to_str())
+        settings |= {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}
+        self.merges = Tokenizer.from_str(json.dumps(settings))
+        letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelled = {c: letters.pre_tokenize_str(chr(c))[0][0] for c in range(256) if chr(c) != " "}
         self.forget()
 
     def forget(self) -> None:
@@ -78,15 +85,15 @@ class WordTokenizer:
         new = list(islice(self.number, len(self.starts) - 1, None))
         if not new:
             return
-        parts = np.fromiter(map(len, map(self.parts, new)), np.int64, len(new))
-        texts = [" ".join(new[at : at + 500]) for at in range(0, len(new), 500)]
+        split = list(map(self.parts, new))
+        texts = [" ".join(chain.from_iterable(split[at : at + 500])).translate(self.spelled) for at in range(0, len(new), 500)]
         flats = []
         for at in range(0, len(texts), 20):
-            made = self.model.encode_batch_fast(texts[at : at + 20], add_special_tokens=False)
+            made = self.merges.encode_batch_fast(texts[at : at + 20], add_special_tokens=False)
             flats += [np.array(m.ids, np.uint32) for m in made]
         ids = np.concatenate(flats)
         last = np.flatnonzero(self.closes[ids]) + 1
-        upto = np.concatenate(([0], np.cumsum(parts)))
+        upto = np.cumsum([0, *map(len, split)])
         if upto[-1] != len(last):
             raise ValueError("the vocabulary does not split as expected")
         ends = np.concatenate(([0], last))[upto[1:]]
