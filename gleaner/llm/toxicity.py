@@ -22,6 +22,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -62,9 +63,8 @@ FLOOR = -6.0
 
 _WORD = re.compile(r"[^\W\d_]+")
 _SIGNS = re.escape("".join(IMITATES))
-#: A run of letters and imitating signs; it is disguised if it has both, or a letter three times in a row.
+#: A run of letters and imitating signs; it is disguised if it has both, or a letter three times in a row (`_MAYBE`).
 _RUN = re.compile(rf"(?:[^\W\d_]|[{_SIGNS}])+")
-_LETTER, _SIGN, _TRIPLE = re.compile(r"[^\W\d_]"), re.compile(f"[{_SIGNS}]"), re.compile(r"([^\W\d_])\1\1")
 _REPEATED = re.compile(r"(.)\1{3,}", re.S)
 #: Longer runs are decoded like others, but not remembered.
 REMEMBERED = 80
@@ -112,6 +112,11 @@ class CharacterModel:
 
     logp: np.ndarray  # [a, b, c]
 
+    @cached_property
+    def rows(self) -> list[list[list[float]]]:
+        """The same numbers where a task reads them one by one."""
+        return self.logp.tolist()
+
     @staticmethod
     def of(codes: np.ndarray, counts: np.ndarray) -> "CharacterModel":
         tri = np.zeros(ALPHABET**3)
@@ -151,24 +156,24 @@ def decode(written: str, model: CharacterModel, separator: str | None = None, bo
 
     With borders, letters spelled apart may be several words. Paths are chains of (before, letter), so time and memory are linear.
     """
-    logp = model.logp
+    logp = model.rows
     paths: dict[tuple[int, int], tuple[float, int, tuple | None]] = {(0, 0): (0.0, 0, None)}
     for options in lattice(written, separator):
         if borders:
-            ends = [(x[0] + BORDER + logp[a, b, 0], x[1] + 1, (x[2], 0)) for (a, b), x in paths.items() if b]
+            ends = [(x[0] + BORDER + logp[a][b][0], x[1] + 1, (x[2], 0)) for (a, b), x in paths.items() if b]
             if ends:
                 paths[0, 0] = max([*ends, *([paths[0, 0]] if (0, 0) in paths else [])], key=lambda x: x[0])
         grown: dict[tuple[int, int], tuple[float, int, tuple | None]] = {}
         for (a, b), (score, size, chain) in paths.items():
             for code, cost in options:
                 if code:
-                    key, now, next_size, text = (b, code), score + cost + logp[a, b, code], size + 1, (chain, code)
+                    key, now, next_size, text = (b, code), score + cost + logp[a][b][code], size + 1, (chain, code)
                 else:
                     key, now, next_size, text = (a, b), score + cost, size, chain
                 if key not in grown or now > grown[key][0]:
                     grown[key] = (now, next_size, text)
         paths = grown
-    ended = [(score + logp[a, b, 0] * (b > 0), size, chain) for (a, b), (score, size, chain) in paths.items() if chain]
+    ended = [(score + logp[a][b][0] * (b > 0), size, chain) for (a, b), (score, size, chain) in paths.items() if chain]
     if not ended:
         return written
     score, size, chain = max(ended, key=lambda x: x[0])
@@ -195,20 +200,57 @@ class Restorer:
         key = (written, separator, borders)
         found = self.known.get(key)
         if found is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
             short = _REPEATED.sub(r"\1\1\1", written)
             found = decode(short, self.model, separator, borders)
             found = written if found == short else found
-            if len(written) <= REMEMBERED:
-                self.known[key] = found
+            self.remember(key, found)
         return found
 
-    def run(self, match: re.Match) -> str:
-        written = match[0]
-        if (_SIGN.search(written) and _LETTER.search(written)) or _TRIPLE.search(written):
-            return self.word(written)
-        return written
+    def remember(self, key: tuple, found: str) -> None:
+        if len(key[0]) <= REMEMBERED:
+            if len(self.known) > 100_000:
+                self.known.clear()
+            self.known[key] = found
+
+    def runs(self, text: str) -> str:
+        """The text with its disguised runs decoded; only runs around a match of `_MAYBE` can be disguised."""
+        out, done, hit = [], 0, _MAYBE.search(text)
+        while hit:
+            start = hit.start()
+            while start > done and _RUN.match(text[start - 1]):
+                start -= 1
+            end = _RUN.match(text, start).end()
+            out += [text[done:start], self.word(text[start:end])]
+            done, hit = end, _MAYBE.search(text, end)
+        return "".join([*out, text[done:]]) if out else text
+
+    def undoubled(self, written: str) -> str | None:
+        """What `decode` makes of a word of letters, none more than twice in a row; None for other words.
+
+        Whether one of two equal letters is dropped depends on the letters around them alone, as the decoder's
+        states are the last two letters: so each pair is decided by itself.
+        """
+        codes = [CODE.get(c, 0) for c in written.lower()]
+        if 0 in codes:
+            return None
+        rows, kept, last = self.model.rows, [], len(codes) - 1
+        a = b = 0
+        score = 0.0
+        for k, c in enumerate(codes):
+            after = codes[k + 1] if k < last else 0
+            if b == c and k and codes[k - 1] == c:
+                if a == c or after == c or (k > 2 and codes[k - 2] == codes[k - 3]):
+                    return None
+                with_it, without = KEEP + rows[a][b][c] + rows[b][c][after], DROP_REPEAT + rows[a][b][after]
+                if with_it < without:
+                    score += DROP_REPEAT
+                    continue
+            score += KEEP + rows[a][b][c]
+            kept.append(c)
+            a, b = b, c
+        if (score + rows[a][b][0]) / (len(kept) + 1) < FLOOR:
+            return written
+        return "".join([LETTERS[c - 1] for c in kept])
 
     def spelled(self, match: re.Match) -> str:
         self.also.add(self.word(match[0], match[1]).lower())
@@ -225,7 +267,13 @@ class Restorer:
                 start -= 1
             end = _LETTERS.match(text, end).end()
             written = text[start:end]
-            reading = self.known.get((written, None, False)) or self.word(written)
+            reading = self.known.get((written, None, False))
+            if reading is None:
+                reading = self.undoubled(written)
+                if reading is None:
+                    reading = self.word(written)
+                else:
+                    self.remember((written, None, False), reading)
             if reading != written:
                 if _ALL_DOUBLE.fullmatch(written.lower()):
                     out += [text[done:start], reading]
@@ -239,9 +287,7 @@ class Restorer:
     def text(self, text: str) -> str:
         self.also = set()
         text = _SPELLED.sub(self.spelled, text)
-        if _MAYBE.search(text):
-            text = _RUN.sub(self.run, text)
-        return self.doubled(text)
+        return self.doubled(self.runs(text))
 
     def words(self, text: str) -> tuple[str, set[str]]:
         """The restored text, and all words of its readings."""
@@ -277,15 +323,12 @@ class Scorer:
 
     def evidence(self, text: str) -> tuple[str, list[float]]:
         restored, words = self.restorer.words(text)
-        if len(self.known) > 500_000:
+        if len(self.known) > 300_000:
             self.known.clear()
-        known, found = self.known, []
-        for word in words:
-            weight = known.get(word)
-            if weight is None:
-                weight = known[word] = self.weights.of(word)
-            if weight:
-                found.append(weight)
+        known = self.known
+        for word in words.difference(known):
+            known[word] = self.weights.of(word)
+        found = list(filter(None, map(known.__getitem__, words)))
         return restored, evidence(found)
 
     def score(self, found: list[float]) -> float:
