@@ -7,14 +7,14 @@ from dataclasses import dataclass
 from typing import Any, Protocol
 
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner.functions.hashing import hashed_vector
 from gleaner.functions.text import text_key
 from gleaner.functions.vectors import l2_normalize
-from gleaner.runtime import read_table, salted_join, slice_rows
+from gleaner.runtime import materialize, read_table, salted_join, slice_rows
 
 
 class Encoder(Protocol):
@@ -23,6 +23,8 @@ class Encoder(Protocol):
     dim: int
     # True when encoding costs more than a shuffle, so each distinct text is encoded once.
     costly: bool
+    # Names the vectors: two encoders of one name must give equal vectors.
+    name: str
 
     def encode(self, df: DataFrame, text: str, into: str) -> DataFrame: ...
 
@@ -33,19 +35,31 @@ class HashingEncoder:
     normalize: bool = True
     costly: bool = False
 
+    @property
+    def name(self) -> str:
+        return f"hashing-{self.dim}{'' if self.normalize else '-raw'}"
+
     def encode(self, df: DataFrame, text: str, into: str) -> DataFrame:
         return df.withColumn(into, hashed_vector(F.col(text), self.dim, self.normalize))
 
 
 @dataclass(frozen=True)
 class ModelEncoder:
-    """A caller's model. `load()` runs once per Python worker and returns f(texts) -> (n, dim) array."""
+    """A caller's model. `load()` runs once per Python worker and returns f(texts) -> (n, dim) array.
+
+    Encoders that share a cache need names of their own.
+    """
 
     load: Callable[[], Callable[[Any], Any]]
     dim: int
     batch_size: int = 64
     normalize: bool = True
     costly: bool = True
+    model: str = "model"
+
+    @property
+    def name(self) -> str:
+        return f"{self.model}-{self.dim}{'' if self.normalize else '-raw'}"
 
     def encode(self, df: DataFrame, text: str, into: str) -> DataFrame:
         predict = predict_batch_udf(
@@ -58,19 +72,53 @@ class ModelEncoder:
 
 
 class EmbeddingCache:
-    """Vectors by text key in a parquet folder; a new folder is an empty cache."""
+    """Vectors by encoder and text key, in folders by key; a new path is an empty cache.
+
+    A call reads the folders of the keys it asks for, of its encoder only. Use thousands of folders where calls ask for few
+    texts of a large cache.
+    """
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
+    def __init__(self, spark: SparkSession, path: str, folders: int = 64) -> None:
         self.spark = spark
         self.path = path
+        self.folders = folders
+
+    def _folder(self) -> Column:
+        return F.pmod(F.xxhash64("key"), F.lit(self.folders)).cast("int")
 
-    def read(self) -> DataFrame | None:
+    def _table(self, encoder: str) -> DataFrame | None:
         table = read_table(self.spark, self.path)
+        return None if table is None else table.where(F.col("encoder") == encoder)
+
+    def lookup(self, keys: DataFrame, encoder: str) -> DataFrame | None:
+        """(key, embedding) of those keys that the cache holds; `keys` should be a written table."""
+        table = self._table(encoder)
+        if table is None:
+            return None
+        # At most as many numbers as folders; literal ones prune the scan.
+        asked = [r[0] for r in keys.select(self._folder()).distinct().collect()]
+        found = table.where(F.col("folder").isin(asked)).join(keys.select("key"), "key", "left_semi")
         # Two writers may race on the same text; any of their equal vectors will do.
+        return found.groupBy("key").agg(F.any_value("embedding").alias("embedding"))
+
+    def read(self, encoder: str) -> DataFrame | None:
+        """Everything that one encoder has left here."""
+        table = self._table(encoder)
         return None if table is None else table.groupBy("key").agg(F.any_value("embedding").alias("embedding"))
 
-    def add(self, vectors: DataFrame) -> None:
-        vectors.select("key", "embedding").write.mode("append").parquet(self.path)
+    def add(self, vectors: DataFrame, encoder: str) -> None:
+        rows = vectors.select("key", "embedding", F.lit(encoder).alias("encoder"), self._folder().alias("folder"))
+        rows.hint("rebalance", "folder").write.mode("append").partitionBy("encoder", "folder").parquet(self.path)
+
+    def compacted(self, path: str, folders: int | None = None) -> "EmbeddingCache":
+        """A copy without repeated keys and with few files a folder, whatever the number of calls that filled it."""
+        copy = EmbeddingCache(self.spark, path, folders or self.folders)
+        table = read_table(self.spark, self.path)
+        if table is not None:
+            once = table.groupBy("encoder", "key").agg(F.any_value("embedding").alias("embedding"))
+            rows = once.withColumn("folder", copy._folder())
+            rows.hint("rebalance", "encoder", "folder").write.partitionBy("encoder", "folder").parquet(path)
+        return copy
 
 
 def cache_misses(texts: DataFrame, cached: DataFrame | None, text: str = "text") -> DataFrame:
@@ -100,11 +148,15 @@ def embed(
         counted = cache_misses(df, None, text)
         vectors = encoder.encode(counted, "text", into).select("key", "n", into)
     else:
-        known = cache.read()
-        missing = cache_misses(df, known, text)
-        cache.add(encoder.encode(missing, "text", "embedding"))
-        counts = df.groupBy(text_key(F.col(text)).alias("key")).agg(F.count("*").alias("n"))
-        vectors = counts.join(cache.read(), "key").select("key", "n", F.col("embedding").alias(into))
+        # Written: read for its folders, for what is missing, and for the vectors.
+        counted = materialize(cache_misses(df, None, text), "asked-texts")
+        known = cache.lookup(counted, encoder.name)
+        missing = counted if known is None else counted.join(known.select("key"), "key", "left_anti")
+        made = materialize(encoder.encode(missing, "text", "embedding").select("key", "embedding"), "new-vectors")
+        # What was known is looked up before the cache grows, so that a text has one vector here.
+        vectors = made if known is None else materialize(known, "known-vectors").unionByName(made)
+        cache.add(made, encoder.name)
+        vectors = counted.join(vectors, "key").select("key", "n", F.col("embedding").alias(into))
     keyed = df.withColumn("key", text_key(F.col(text)))
     per_slice = slice_rows(df.count())
     # Copies of one text differ in their other columns, which spread them over its slices.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 from xml.etree import ElementTree
 
@@ -108,37 +108,39 @@ class FileDocuments:
 
 
 def _extract(files: DataFrame, extractors: dict[str, Extractor]) -> DataFrame:
-    """(path, doc_ord, text, error): text files inside the JVM, others through an extractor."""
+    """(path, doc_ord, text, error) in one pass: text files stay inside the JVM, others go through an extractor."""
     known = {".docx": docx_paragraphs, **extractors}
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            parts, errors = [], []
-            for kind, content in zip(batch["kind"], batch["content"]):
+    @F.pandas_udf("parts array<string>, error string")
+    def parse(kinds: pd.Series, contents: pd.Series) -> pd.DataFrame:
+        parts, errors = [], []
+        for kind, content in zip(kinds, contents):
+            made = error = None
+            if content is not None:
                 try:
                     if kind not in known:
                         raise ValueError(f"no extractor for '{kind}'")
-                    parts.append(list(known[kind](content)))
-                    errors.append(None)
-                except Exception as error:  # a broken file must not stop the others
-                    parts.append(None)
-                    errors.append(f"{type(error).__name__}: {error}")
-            yield batch[["path", "doc_ord", "kind"]].assign(parts=parts, error=errors)
-
-    typed = files.withColumn("kind", suffix(F.col("path")))
-    none = F.lit(None).cast("string")
-    plain = typed.where(F.col("kind").isin(*PLAIN)).select(
-        "path", "doc_ord", F.make_valid_utf8(F.col("content").cast("string")).alias("text"), none.alias("error")
-    )
-    parsed = (
-        typed.where(F.col("kind").isin(*PARSED))
-        .mapInPandas(parse, "path string, doc_ord bigint, kind string, parts array<string>, error string")
-        .select("path", "doc_ord", join_parts(F.col("parts"), F.col("kind")).alias("text"), "error")
-    )
-    other = typed.where(~F.col("kind").isin(*SUFFIXES)).select(
-        "path", "doc_ord", none.alias("text"), F.format_string("unsupported file type: %s", F.col("kind")).alias("error")
-    )
-    return plain.unionByName(parsed).unionByName(other)
+                    made = list(known[kind](content))
+                except Exception as problem:  # a broken file must not stop the others
+                    error = f"{type(problem).__name__}: {problem}"
+            parts.append(made)
+            errors.append(error)
+        return pd.DataFrame({"parts": parts, "error": errors})
+
+    kind = suffix(F.col("path"))
+    content = F.col("content")
+    rows = files.select(
+        "path", "doc_ord", kind.alias("kind"),
+        F.when(kind.isin(*PLAIN), F.make_valid_utf8(content.cast("string"))).alias("plain"),
+        parse(kind, F.when(kind.isin(*PARSED), content)).alias("made"),
+    )
+    kind = F.col("kind")
+    unsupported = F.when(~kind.isin(*SUFFIXES), F.format_string("unsupported file type: %s", kind))
+    return rows.select(
+        "path", "doc_ord",
+        F.coalesce("plain", join_parts(F.col("made.parts"), kind)).alias("text"),
+        F.coalesce("made.error", unsupported).alias("error"),
+    )
 
 
 def read_directory(
@@ -200,18 +202,40 @@ def escaped(path: str) -> str:
 def read_files(
     spark: SparkSession, paths: list[str], extractors: dict[str, Extractor] | None = None
 ) -> FileDocuments:
-    """The listed files in list order; missing and unsupported ones become rejects."""
-    frames, missing = [], []
+    """The listed files in list order; missing and unsupported ones become rejects.
+
+    Each folder is listed once, whatever the number of its files, and all files are read by one scan; a table of wanted
+    paths gives them their places and tells what is missing.
+    """
+    names: dict[str, list[str]] = {}
+    for path in paths:
+        folder, _, name = path.rpartition("/")
+        names.setdefault(folder or ("/" if path.startswith("/") else "."), []).append(name)
+    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+    full, patterns = {}, []
+    for folder, own in names.items():
+        root = jvm.org.apache.hadoop.fs.Path(folder)
+        system = root.getFileSystem(settings)
+        full[folder] = system.makeQualified(root).toString().rstrip("/")
+        choice = ",".join(sorted({escaped(n).replace(",", "\\,") for n in own}))
+        pattern = f"{escaped(full[folder])}/{{{choice}}}"
+        if system.globStatus(jvm.org.apache.hadoop.fs.Path(pattern)):
+            patterns.append(pattern)
+    wanted = []
     for position, path in enumerate(paths):
-        try:
-            frames.append(_one_file(spark, path).withColumn("doc_ord", F.lit(position).cast("bigint")))
-        except FileNotFoundError as error:
-            missing.append((path, f"FileNotFoundError: {error}"))
-    files = frames[0] if frames else spark.createDataFrame([], f"{_FILES}, doc_ord bigint")
-    for frame in frames[1:]:
-        files = files.unionByName(frame)
-    rejected = spark.createDataFrame(missing, "path string, error string")
-    return FileDocuments.split(_extract(files, extractors or {}), rejected)
+        folder, _, name = path.rpartition("/")
+        wanted.append((f"{full[folder or ('/' if path.startswith('/') else '.')]}/{name}", path, position))
+    table = spark.createDataFrame(wanted, "path string, given string, doc_ord bigint")
+    if patterns:
+        files = spark.read.format("binaryFile").load(patterns).select("path", "content")
+    else:
+        files = spark.createDataFrame([], _FILES)
+    # The list came from the driver, so it is small enough for every task.
+    found = files.join(F.broadcast(table.select("path", "doc_ord")), "path")
+    hidden = file_name(F.col("path")).rlike("^[_.]")
+    reason = F.when(hidden, "hidden file names are not read; rename the file").otherwise(F.concat(F.lit("FileNotFoundError: "), F.col("given")))
+    missing = table.join(files.select("path").distinct(), "path", "left_anti").select(F.col("given").alias("path"), reason.alias("error"))
+    return FileDocuments.split(_extract(found, extractors or {}), missing)
 
 
 def _one_file(spark: SparkSession, path: str) -> DataFrame:

@@ -234,3 +234,31 @@ def test_hashing_encoder(spark):
         rows = [r["embedding"] for r in embed(frame, HashingEncoder(dim)).collect()]
         assert rows[0] == rows[1] and all(len(r) == dim for r in rows) and set(rows[2]) == {0.0}
     assert sum(x * x for x in rows[0]) == pytest.approx(1.0)
+
+
+def test_cache_reads_the_folders_it_needs(spark, tmp_path):
+    cache = EmbeddingCache(spark, str(tmp_path / "cache"), folders=50)
+    encoder, other = HashingEncoder(8), HashingEncoder(4)
+    frame = spark.createDataFrame([(i, f"text {i}") for i in range(300)], "id long, text string")
+    want = {r["id"]: r["embedding"] for r in embed(frame, encoder).collect()}
+    for part in (frame.where("id < 200"), frame.where("id >= 100")):
+        got = {r["id"]: r["embedding"] for r in embed(part, encoder, cache).collect()}
+        assert got == {i: want[i] for i in got} and len(got) == 200
+    assert cache.read(encoder.name).count() == 300
+    # Another encoder finds nothing here, and leaves its own.
+    assert all(len(r["embedding"]) == 4 for r in embed(frame.limit(20), other, cache).collect())
+    assert cache.read(other.name).count() == 20 and cache.read(encoder.name).count() == 300
+    one = frame.where("id = 7").select(F.sha2("text", 256).alias("key"))
+    found = cache.lookup(one, encoder.name)
+    assert found.count() == 1
+    read = [f for f in found.inputFiles() if "encoder=hashing-8/" in f]
+    assert len(read) == len(found.inputFiles()) and len({f.rsplit("/", 2)[1] for f in read}) == 1
+    small = cache.compacted(str(tmp_path / "compact"), folders=2)
+    assert small.read(encoder.name).count() == 300 and small.read(other.name).count() == 20
+    files = lambda c: len(read_files_of(spark, c.path))
+    assert files(small) < files(cache)
+    assert embed(frame, encoder, small).count() == 300 and EmbeddingCache(spark, str(tmp_path / "none")).read("x") is None
+
+
+def read_files_of(spark, path):
+    return spark.read.parquet(path).inputFiles()

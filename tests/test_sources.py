@@ -2,6 +2,7 @@ import io
 import zipfile
 
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from gleaner.operators.chunk import chunk_documents
@@ -115,3 +116,31 @@ def test_parts(spark):
     rows = [(1, 2, "b"), (1, 0, "a"), (1, 1, ""), (2, 0, "")]
     got = assemble_parts(spark.createDataFrame(rows, "d long, n long, text string"), "d", "n").collect()
     assert [(r["d"], r["text"]) for r in got] == [(1, "a\n\nb")]
+
+
+def test_long_file_list_is_one_scan(spark, tmp_path):
+    """Names with signs that patterns use, repeated, missing and hidden ones; one listing a folder, one scan."""
+    odd = ["a,b.txt", "c{d}.txt", "e[f].md", "g*h.txt", "i j.txt", "k\\l.txt"]
+    for sub in ("one", "two"):
+        (tmp_path / sub).mkdir()
+        for n in odd:
+            (tmp_path / sub / n).write_text(f"{sub} {n}")
+        for k in range(300):
+            (tmp_path / sub / f"f{k}.txt").write_text(f"{sub} {k}")
+        (tmp_path / sub / "_hidden.txt").write_text("x")
+    names = [f"{sub}/{n}" for sub in ("one", "two") for n in [*odd, *(f"f{k}.txt" for k in range(0, 300, 2))]]
+    asked = [*names, "one/none.txt", names[0], "three/a.txt", "two/_hidden.txt"]
+    read = read_files(spark, [str(tmp_path / n) for n in asked])
+    assert plan_of(read.documents).count("FileScan binaryFile") == 1
+    got = [r["text"] for r in read.documents.orderBy("doc_ord").collect()]
+    want = [f"{n.split('/')[0]} {n.split('/')[1].removeprefix('f').removesuffix('.txt') if n.split('/')[1][1:2].isdigit() else n.split('/')[1]}" for n in [*names, names[0]]]
+    assert got == want
+    rejects = {r["path"].removeprefix(f"{tmp_path}/"): r["error"] for r in read.rejects.collect()}
+    assert set(rejects) == {"one/none.txt", "three/a.txt", "two/_hidden.txt"} and "hidden" in rejects["two/_hidden.txt"]
+    none = read_files(spark, [str(tmp_path / "three" / "x.txt")])
+    assert none.documents.count() == 0 and none.rejects.count() == 1
+
+
+def test_invalid_text_is_read_as_before(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"ok \xff\xe2\x28 end")
+    assert texts(read_file(spark, str(tmp_path / "a.txt"))) == {"a": b"ok \xff\xe2\x28 end".decode("utf-8", "replace")}

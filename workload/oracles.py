@@ -266,6 +266,10 @@ TERM_ROWS = f"{POSTINGS} SELECT term, df, round(idf, 6) AS idf FROM weights"
 RANKED = "query_id, rank, chunk_id, round(score, 6) AS score"
 
 
+# A written file ends with a line feed.
+FILE_ROWS = "SELECT doc_id, text || chr(10) AS body, true AS placed FROM documents"
+
+
 def oracles() -> dict[str, str]:
     url_name = "string_split(url, '/')[-1]"
     url_suffix = f"lower(regexp_extract({url_name}, '(?s)^.+(\\.[^.]+)$', 1))"
@@ -326,6 +330,18 @@ def oracles() -> dict[str, str]:
             SELECT chunk_id, pos, round(x::DOUBLE, 6) AS x FROM cv""",
         "embed_cache_misses": """SELECT sha256(text) AS key, count(*) AS n FROM documents
             WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE lang = 'en') GROUP BY 1""",
+        "embed_cached": f"""WITH {_hashed('documents', 'doc_id', 'text', 'cv')}
+            SELECT doc_id, pos, round(x::DOUBLE, 6) AS x FROM cv""",
+        "embed_model": """WITH counted AS (
+              SELECT doc_id, list_transform(['a', 'e', 'i', ' '],
+                lambda c: 1 + length(text) - length(replace(text, c, '')))::DOUBLE[] AS v FROM documents),
+            n AS (SELECT doc_id, v, sqrt(list_dot_product(v, v)) AS norm FROM counted)
+            SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(i - 1 AS INTEGER) AS pos, round(CAST(v[i] / norm AS FLOAT)::DOUBLE, 5) AS x
+            FROM (SELECT *, unnest(range(1, 5)) AS i FROM n)""",
+        "files_directory": FILE_ROWS,
+        "files_list": FILE_ROWS,
+        "inline_texts": """SELECT 'text_' || (row_number() OVER (ORDER BY item_id) - 1) AS doc_id,
+            row_number() OVER (ORDER BY item_id) - 1 AS doc_ord, text FROM benchmark""",
         "text_keys": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, sha256(text) AS key FROM documents",
         "dense_chunks": f"{POSTINGS}, q AS ({BENCH}), {DENSE} SELECT {RANKED} FROM dense",
         "hybrid_rrf": f"""{_hybrid()} SELECT query_id, rank, chunk_id, CAST(dense_rank AS INTEGER) AS dense_rank,
@@ -338,6 +354,12 @@ def oracles() -> dict[str, str]:
               || 'If the context does not contain enough information, say ''I don''t know''.' || {NL} || {NL}
               || 'Context:' || {NL} || context || {NL} || {NL} || 'Question: ' || question || {NL} || {NL}
               || 'Answer:' AS prompt FROM ctx""",
+        "model_answer": f"""{_hybrid()}, {_dedup(0.95)}, {_context(1200)}, asked AS (
+            SELECT query_id, 'Answer the following question based only on the provided context. '
+              || 'If the context does not contain enough information, say ''I don''t know''.' || {NL} || {NL}
+              || 'Context:' || {NL} || context || {NL} || {NL} || 'Question: ' || question || {NL} || {NL}
+              || 'Answer:' AS prompt FROM ctx)
+            SELECT query_id, length(prompt) || ':' || right(prompt, 40) AS answer FROM asked""",
         "extractive_answer": f"""{_hybrid()} SELECT q.query_id, q.question, {answer}
             FROM q LEFT JOIN hits h ON h.query_id = q.query_id AND h.rank = 1""",
         "report": f"""{_hybrid()} SELECT query_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score, chunk_id,

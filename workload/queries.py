@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from gleaner.functions.text import clean_text, split_segments, strip, text_key,
 from gleaner.functions.vectors import dimensions, l2_normalize
 from gleaner.operators.chunk import chunk_documents
 from gleaner.operators.dense import CellBounds, Cells, bounded_search, exact_search, ivf_search, tuned_nprobe
-from gleaner.operators.embed import HashingEncoder, cache_misses, embed
+from gleaner.operators.embed import EmbeddingCache, HashingEncoder, ModelEncoder, cache_misses, embed
 from gleaner.operators.evaluate import evaluate, mean_metrics, overlap_recall
 from gleaner.operators.fuse import fused_top_k
 from gleaner.operators.post import (
@@ -22,6 +23,7 @@ from gleaner.operators.post import (
     build_prompt,
     dedup_hits,
     extractive_answer,
+    generated_answer,
     hydrate,
     report,
     source_rows,
@@ -36,9 +38,18 @@ from gleaner.operators.sparse import (
 )
 from gleaner.plans.hybrid import HybridIndex
 from gleaner.runtime import fits_broadcast, materialize, scratch_path, spread
-from gleaner.sources.files import SUFFIXES, assemble_parts, file_name, stem, suffix
+from gleaner.sources.files import (
+    SUFFIXES,
+    FileDocuments,
+    assemble_parts,
+    file_name,
+    read_directory,
+    read_files,
+    stem,
+    suffix,
+)
 from gleaner.sources.store import IndexStore
-from gleaner.sources.tables import default_doc_ids, from_table
+from gleaner.sources.tables import default_doc_ids, from_table, from_texts
 from gleaner.streaming.ingest import ingest_stream
 
 CANDIDATES = 20
@@ -364,6 +375,29 @@ def q_embed_cache_misses(c: Corpus) -> DataFrame:
     return cache_misses(docs, cached).select("key", "n")
 
 
+def q_embed_cached(c: Corpus) -> DataFrame:
+    """All documents through a cache that knows the English ones, and others under another encoder's name."""
+    docs = c.table("documents").select("doc_id", "lang", "text")
+    cache, encoder = EmbeddingCache(c.spark, scratch_path(c.spark, "cache")), HashingEncoder()
+    embed(docs.where("lang = 'en'"), encoder, cache)
+    embed(docs.where("lang = 'de'"), HashingEncoder(32), cache)
+    vectors = embed(docs, encoder, cache)
+    values = vectors.select("doc_id", F.posexplode("embedding").alias("pos", "x")).where("x <> 0")
+    return values.select("doc_id", "pos", F.round(F.col("x").cast("double"), 6).alias("x"))
+
+
+def _letter_counter():
+    """A caller's model: one plus how often four characters occur."""
+    return lambda texts: np.array([[1 + t.count(c) for c in "aei "] for t in texts], np.float32).reshape(-1, 4)
+
+
+def q_embed_model(c: Corpus) -> DataFrame:
+    """Documents encoded by a caller's model, each distinct text once."""
+    vectors = embed(c.documents.select("doc_id", "text"), ModelEncoder(_letter_counter, 4, model="letters"))
+    values = vectors.select("doc_id", F.posexplode("embedding").alias("pos", "x"))
+    return values.select("doc_id", "pos", F.round(F.col("x").cast("double"), 5).alias("x"))
+
+
 def q_text_keys(c: Corpus) -> DataFrame:
     return c.documents.select("doc_id", text_key(F.col("text")).alias("key"))
 
@@ -400,6 +434,15 @@ def q_extractive_answer(c: Corpus) -> DataFrame:
     return extractive_answer(c.questions, c.fused)
 
 
+def _echo():
+    """A caller's answer model: the length and the end of its prompt."""
+    return lambda prompts: [f"{len(p)}:{p[-40:]}" for p in prompts]
+
+
+def q_model_answer(c: Corpus) -> DataFrame:
+    return generated_answer(c.questions, dedup_hits(c.fused), _echo, 1200).select("query_id", "answer")
+
+
 def q_report(c: Corpus) -> DataFrame:
     return report(c.fused)
 
@@ -532,6 +575,41 @@ def q_index_upgrade(c: Corpus) -> DataFrame:
     return index.vectors.select("chunk_id", (F.col("cell") >= 0).alias("in_cell"))
 
 
+def _as_files(c: Corpus) -> str:
+    """One text file per document, its id on the first line."""
+    path = scratch_path(c.spark, "files")
+    lines = c.table("documents").select(F.concat_ws("\n", F.col("doc_id").cast("string"), "text").alias("value"))
+    lines.write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+def _file_rows(read: FileDocuments) -> DataFrame:
+    text = F.col("text")
+    return read.documents.select(
+        F.substring_index(text, "\n", 1).cast("bigint").alias("doc_id"),
+        F.substr(text, F.instr(text, "\n") + 1).alias("body"),
+        (F.col("doc_ord") >= 0).alias("placed"),
+    )
+
+
+def q_files_directory(c: Corpus) -> DataFrame:
+    """Documents written as files and read back as a folder."""
+    return _file_rows(read_directory(c.spark, _as_files(c)))
+
+
+def q_files_list(c: Corpus) -> DataFrame:
+    """The same files by a list of their paths."""
+    path = _as_files(c)
+    files = c.spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path")
+    return _file_rows(read_files(c.spark, [r["path"] for r in files.collect()]))
+
+
+def q_inline_texts(c: Corpus) -> DataFrame:
+    """Texts given one by one, without ids: named by their place in the list."""
+    texts = [r["text"] for r in c.table("benchmark").orderBy("item_id").select("text").collect()]
+    return from_texts(c.spark, texts).select("doc_id", "doc_ord", "text")
+
+
 def q_stream_ingest(c: Corpus) -> DataFrame:
     """The documents as a stream of files, appended batch by batch."""
     index = HybridIndex.create(c.spark, config=_exact_config())
