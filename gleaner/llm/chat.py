@@ -10,7 +10,7 @@ A part is a struct (kind, text, ref, width, height, seconds, pages). Control str
 a "\\" before them.
 
 Cases: null or empty texts are empty parts; turns without parts are empty turns; parts of an unknown or null kind are an error;
-missing sizes count as zero; null roles read "unknown" and roles may hold any text; ties in turn number go by role,
+missing sizes count as zero; turns without a conversation id are one conversation; null roles read "unknown" and roles may hold any text; ties in turn number go by role,
 then text; repeated rows are repeated turns; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -176,12 +176,15 @@ def read_back(formatted: DataFrame) -> DataFrame:
         if state:
             yield pd.DataFrame([state.row(current)], columns=_COLUMNS)
 
-    named = formatted.where(F.col("conv_id").isNotNull())
-    kind = formatted.schema["conv_id"].dataType.simpleString()
-    return in_order(named).select("conv_id", "formatted", "loss_start", "loss_end").mapInPandas(
+    # Ids travel as texts that are never null, so that turns without one are a conversation like any other.
+    key = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit(""))
+    rows = in_order(formatted.withColumn("conv_id", key)).select("conv_id", "formatted", "loss_start", "loss_end")
+    found = rows.mapInPandas(
         work,
-        f"conv_id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint",
+        "conv_id string, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint",
     )
+    own = F.when(F.col("conv_id") != "", F.substr(F.col("conv_id"), F.lit(2)))
+    return found.withColumn("conv_id", own.cast(formatted.schema["conv_id"].dataType))
 
 
 _COLUMNS = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gleaner.runtime import materialize
+from gleaner.runtime import fits_broadcast, materialize
 
 SHARD_ROWS = 16_384
 LINKS = 16
@@ -321,7 +321,10 @@ def search_index(index: DataFrame, queries: DataFrame, k: int, width: int = SEAR
     the queries in blocks and returns k rows for each. The k rows of all shards are merged per query.
     """
     names = index.select("dim", "shard")
-    asked = queries.dropDuplicates(["id"]).select(F.size("v").alias("dim"), "id", "v").join(names, "dim")
+    if fits_broadcast(names):  # a row per shard: not dealt by `dim`, which may be one value
+        names = F.broadcast(names)
+    # Of vectors under one id the least is asked for.
+    asked = queries.groupBy("id").agg(F.min("v").alias("v")).select(F.size("v").alias("dim"), "id", "v").join(names, "dim")
     kinds = "dim", "shard", "kind", "id", "v", "graph"
     both = (
         index.withColumns({"kind": F.lit(0), "id": F.lit(None).cast("bigint"), "v": F.lit(None).cast("array<double>")})

@@ -30,6 +30,7 @@ counts AS (
     len(lines) - len(list_distinct(lines)) AS n_dup_lines,
     coalesce(covered.n, 0) AS n_repeat_words,
     len(list_filter(words, lambda w: regexp_matches(w, '\\pL'))) AS letter_words,
+    len(list_filter(words, lambda w: regexp_matches(w, '[A-Za-z]'))) AS latin,
     len(list_filter(words, lambda w: list_contains(string_split('{STOP}', ' '), lower(w)))) AS stops,
     length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS upper
   FROM split LEFT JOIN covered USING (doc_id))
@@ -39,7 +40,7 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
   NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words
     OR word_chars < 2 * n_words OR word_chars > 12 * n_words
     OR n_symbols / n_words > 0.2 OR letter_words / n_words < 0.5 OR upper / word_chars > 0.6
-    OR (n_lines > 0 AND n_dup_lines / n_lines > 0.45) OR (n_words >= 200 AND stops / n_words < 0.005)) AS kept
+    OR (n_lines > 0 AND n_dup_lines / n_lines > 0.45) OR (n_words >= 200 AND 2 * latin >= n_words AND stops / n_words < 0.005)) AS kept
 FROM counts
 """
 
@@ -47,7 +48,6 @@ FROM counts
 CHAT = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
-  WHERE conv_id IS NOT NULL
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
 SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,

@@ -36,12 +36,12 @@ _IBAN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 _ALNUM = _IBAN_CHARS | frozenset("abcdefghijklmnopqrstuvwxyz")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _SECRET = re.compile(
-    r"(?i)(?<![a-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\x20]?[=:][\x20]?"
+    r"(?i)(?<![a-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?[\x20]?[=:][\x20]?[\"']?"
     r"(?P<value>[^\s,;\"']{6,})|(?P<key>(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9]))"
 )
 _DIGITS = str.maketrans("", "", "".join(chr(c) for c in range(128) if not chr(c).isdigit()))
 
-# Characters of an account number by country. Other countries' numbers end at any border where mod-97 holds.
+# Characters of an account number by country; other beginnings are no account numbers.
 _LENGTHS = {
     15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
     22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
@@ -99,17 +99,14 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _iban_end(text: str, start: int) -> int | None:
-    """Where the account number that starts here ends: the last border of its country's length where mod-97 holds."""
-    length = IBAN_LENGTHS.get(text[start : start + 2])
-    ends, at, n = [], start, 0
-    while n < (length or 34):
+    """Where the account number that starts here ends: at its country's length, before a border, if mod-97 holds."""
+    length, at, n = IBAN_LENGTHS.get(text[start : start + 2], 0), start, 0
+    while n < length:
         at += n > 3 and text[at : at + 1] == " "
         if text[at : at + 1] not in _IBAN_CHARS:
-            break
+            return None
         at, n = at + 1, n + 1
-        if n >= 15 and length in (None, n) and text[at : at + 1] not in _ALNUM:
-            ends.append(at)
-    return next((end for end in reversed(ends) if mod97(text[start:end])), None)
+    return at if length and text[at : at + 1] not in _ALNUM and mod97(text[start:at]) else None
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
@@ -146,10 +143,15 @@ def _matching(kind: str, text: str) -> Iterator[tuple[int, int]]:
                 yield m.span()
     else:
         for m in _SECRET.finditer(text):
-            yield m.span("value") if m["value"] else m.span("key")
+            if m["key"]:
+                yield m.span("key")
+            elif _RANDOM.search(m["value"]):
+                yield m.span("value")
 
 
 _HAS_DIGIT = re.compile("[0-9]")
+# A secret is no plain word: it has a digit, or letters of both cases beyond a capital at its start.
+_RANDOM = re.compile(r"[0-9]|[a-z].*[A-Z]|[A-Z]{2}.*[a-z]", re.S)
 _SECRET_WORD = re.compile("(?i)pass|pwd|secret|token|key|AKIA|ASIA")
 
 

@@ -129,6 +129,7 @@ def measured(frame: DataFrame, text: Column) -> DataFrame:
                 F.transform("__again", gap), F.lit(0).cast("bigint"), lambda total, x: total + x
             ),
             "__letter_words": F.size(F.filter("__words", lambda w: F.rlike(w, letters))),
+            "__latin": F.size(F.filter("__words", lambda w: F.rlike(w, F.lit("[A-Za-z]")))),
             "__stops": F.size(F.filter("__words", lambda w: F.lower(w).isin(stops))),
             "__upper": F.length("__text") - F.length(F.translate("__text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "")),
         },
@@ -138,12 +139,13 @@ def measured(frame: DataFrame, text: Column) -> DataFrame:
             "mean_word_length": ratio(F.col("word_chars"), F.col("n_words")),
             "symbol_ratio": ratio(F.col("n_symbols"), F.col("n_words")),
             "letter_word_ratio": ratio(F.col("__letter_words"), F.col("n_words")),
-            "stop_word_ratio": ratio(F.col("__stops"), F.col("n_words")),
+            # The listed languages are written in Latin letters; texts in others are not judged by their stop words.
+            "stop_word_ratio": F.when(2 * F.col("__latin") >= F.col("n_words"), ratio(F.col("__stops"), F.col("n_words"))).otherwise(1.0),
             "upper_ratio": ratio(F.col("__upper"), F.col("word_chars")),
             "dup_line_ratio": ratio(F.col("n_dup_lines"), F.col("n_lines")),
             "repeat_percent": ratio(100 * F.col("n_repeat_words"), F.col("n_words")),
         }
-    ).drop("__text", "__words", "__lines", "__placed", "__again", "__letter_words", "__stops", "__upper")
+    ).drop("__text", "__words", "__lines", "__placed", "__again", "__letter_words", "__latin", "__stops", "__upper")
 
 
 def judge(frame: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + RULES, text_col: str = "text") -> DataFrame:

@@ -35,7 +35,7 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
-    """All conversations, and one whose texts hold control strings of templates."""
+    """All conversations, those without an id as one, and one whose texts hold control strings of templates."""
     said = table(spark, folder, "conversations").select(
         F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), "role", "text"
     )
@@ -105,6 +105,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
         *[count(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS],
         F.sha2(_joined(base), 256).alias("base_sha256"),
         _joined(spans).alias("spans"),
+        F.size(spans).cast("bigint").alias("n_spans"),
     )
 
 
