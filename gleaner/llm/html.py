@@ -32,7 +32,7 @@ MIN_PAGES = 5
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea svg math object canvas audio video select".split())
+RAW = frozenset("script style noscript template iframe textarea svg audio video select".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer"
     " form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary"
@@ -52,6 +52,17 @@ OUTSIDE = (
     " .recommended .breadcrumb .breadcrumbs .pagination .pager .toolbar .skip .copyright .legal .alert .search .hidden"
     " .complementary .contentinfo .navigation"
 ).split()
+# Words that say where a box stands and nothing of what it holds.
+LAYOUT = frozenset(
+    "area bar block body bottom box btn button buttons col column container fixed form group head inner item items layout left link"
+    " links list lists main nav outer page panel post right row section site small sticky strip text title top widget wrap wrapper"
+    " slot unit zone spot label".split()
+)
+# Class words that mean boilerplate whatever stands beside them.
+ALWAYS = frozenset(
+    "ad ads advert adverts advertisement advertising sponsored cookie cookies consent gdpr newsletter navbar sidebar breadcrumb breadcrumbs"
+    " pagination comments disqus".split()
+)
 INSIDE = "main article .article .content .post .entry .story .main .articlebody .maincontent".split()
 
 _TOKEN = re.compile(
@@ -64,19 +75,39 @@ _PART = re.compile(r"[a-z]+")
 
 
 def names_of(tag: str, attrs: str) -> list[str]:
-    """What a container is known by: its element name, and the words of its class, id and role with a dot before."""
+    """What a container is known by: its element name, and each word of its class, id and role with a dot before."""
     found = [tag] if tag in SECTIONS else []
     if "=" not in attrs and "hidden" not in attrs:
         return found
     for m in _ATTR.finditer(attrs):
         key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if key in ("class", "id", "role"):
-            found += ["." + part for part in _PART.findall(value)]
+            found += ["." + word for word in value.split()]
         elif key == "hidden" or (key == "aria-hidden" and value == "true") or "display:none" in value.replace(" ", ""):
             found.append(".hidden")
     return found
 
 
+def prior(name: str) -> float:
+    """The starting weight of a name that labelled pages do not settle.
+
+    A class word is read by its parts. One part that means boilerplate is enough if it always does, or if the others say only
+    where the box stands, as in `share-buttons` or `site-footer`; `share-prices` says something else.
+    """
+    if name in _PRIOR or not name.startswith("."):
+        return _PRIOR.get(name, 0.0)
+    parts = [p for p in _PART.findall(name) if p]
+    weights = [_PRIOR.get("." + p, 0.0) for p in parts]
+    if min(weights, default=0.0) < 0:
+        return min(weights) if ALWAYS & set(parts) or all(w or p in LAYOUT for w, p in zip(weights, parts)) else 0.0
+    return max(weights, default=0.0)
+
+
+# Names that an article may use for parts of its own: labelled pages can overturn what is assumed of them.
+DOUBTFUL = frozenset(".legal .alert .search .discussion .banner .feedback .complementary".split())
+_PRIOR = {n: -2.0 for n in OUTSIDE} | {n: 1.0 for n in INSIDE}
+
+
 @dataclass
 class Node:
     """A tag, or a text with the names of its containers, outermost first."""
@@ -145,9 +176,12 @@ class Weights:
     """Of tags (all negative) and of container names (negative outside content)."""
 
     tags: dict[str, float] = field(default_factory=dict)
-    names: dict[str, float] = field(
-        default_factory=lambda: {n: -2.0 for n in OUTSIDE} | {n: 1.0 for n in INSIDE}
-    )
+    # What the labelled pages say; other names have their prior.
+    names: dict[str, float] = field(default_factory=dict)
+
+    def name(self, name: str) -> float:
+        weight = self.names.get(name)
+        return prior(name) if weight is None else weight
 
     def word(self, inside: tuple[tuple[str, ...], ...]) -> float:
         """Of a word: the worst of its containers if one is boilerplate, else the best, else a little."""
@@ -156,9 +190,9 @@ class Weights:
             if "article" in names:
                 in_article = True
             for name in names:
-                if in_article and name == "header":
+                if in_article and name.endswith("header") and self.names.get(name, -1.0) < 0:
                     continue  # an article's own heading
-                weight = self.names.get(name, 0.0)
+                weight = self.name(name)
                 best, worst = max(best, weight), min(worst, weight)
         return worst if worst < 0 else min(best, 1.0)
 
@@ -167,7 +201,7 @@ class Weights:
         weight = self.word(inside)
         if weight > 0:
             return weight, weight
-        held = any(self.names.get(name, 0.0) > 0 for names in inside for name in names)
+        held = any(self.name(name) > 0 for names in inside for name in names)
         return weight, 0.01 * weight if held else 0.25 * weight
 
     def tag(self, name: str) -> float:
@@ -179,7 +213,7 @@ def count_names(page: str) -> Counter:
     found: Counter = Counter()
     if not re.search(r"(?i)<(?:article|main)[\s>]", page):
         return found
-    prior, content = Weights(), False
+    content = False
     for node in nodes_of(page):
         if node.tag:
             if node.tag in CONTENT:
@@ -188,10 +222,16 @@ def count_names(page: str) -> Counter:
         else:
             words = len(node.text.split())
             if words:
-                held = node.content and prior.word(node.inside) > 0
+                # Inside the content element, and in no other element or box that surely is none of the content: what
+                # else stands in a box of doubtful name is evidence for that name.
+                sure = any(
+                    _PRIOR.get(n, 0.0) < 0 and n not in DOUBTFUL and not (n.endswith("header") and node.content)
+                    for names in node.inside
+                    for n in names
+                )
                 for name in {n for names in node.inside for n in names}:
-                    found["name", name, held] += words
-                    found["pages", name, held] = 1
+                    found["name", name, node.content and not sure] += words
+                    found["pages", name, node.content and not sure] = 1
     return found
 
 
