@@ -225,7 +225,7 @@ def count_names(page: str) -> Counter:
                 # Inside the content element, and in no other element or box that surely is none of the content: what
                 # else stands in a box of doubtful name is evidence for that name.
                 sure = any(
-                    _PRIOR.get(n, 0.0) < 0 and n not in DOUBTFUL and not (n.endswith("header") and node.content)
+                    prior(n) < 0 and n not in DOUBTFUL and not (n.endswith("header") and node.content)
                     for names in node.inside
                     for n in names
                 )
