@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROW = "__row"
+# Vocabularies of the registered queries; the operators take any path.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -9,12 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm import bpe, chat, fim, hnsw, html, licenses, packing, pii, quality, rans, repair, simhash, toxicity
-from gleaner.llm.common import ROW, table
+from gleaner.llm.common import BYTE_BPE, ROW, WORD_BPE, table
 from gleaner.runtime import materialize, scratch_path
 
-WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
-BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
-
 
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
@@ -155,8 +152,5 @@ def op13_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """Every `op` function above, and the pipeline."""
-    import corpus_pipeline
-
-    found = {name: body for name, body in globals().items() if name.startswith("op") and callable(body)}
-    return found | {"pipeline": corpus_pipeline.run}
+    """Every `op` function above."""
+    return {name: body for name, body in globals().items() if name.startswith("op") and callable(body)}
