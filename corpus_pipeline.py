@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm import packing, pii, quality, simhash, toxicity
-from gleaner.llm.common import table
-from gleaner.llm.queries import WORD_BPE
+from gleaner.llm.common import WORD_BPE, table
 from gleaner.runtime import materialize
 
 
