@@ -24,6 +24,8 @@ from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -39,15 +41,13 @@ BUCKET_ROWS = 1_000
 BUCKETS = 200_000
 # Bytes of words that a task remembers; beyond it the memory is emptied, not the work.
 REMEMBERED = 64 << 20
-# Characters below U+0100 that Python takes for white space and the vocabulary does not.
-OTHER_SPACE = "\x1c\x1d\x1e\x1f"
 
 
 class WordTokenizer:
     """A `tokenizers` vocabulary; encodes each distinct word of Latin-1 texts once.
 
     The vocabulary lower-cases, drops white space, splits what stands between it by a pattern and merges within these parts,
-    so a text's ids are those of its words, here all between white space, in turn. New words are encoded many in one text: the
+    so a text's ids are those of its words, here all between ASCII white space, in turn. New words are encoded many in one text: the
     last id of a part is known by its word end. Texts with other characters, where normal forms may join across
     words, and texts that hold one of the vocabulary's special strings are encoded whole. A tokenizer lives as long as its task.
     """
@@ -80,11 +80,16 @@ class WordTokenizer:
         self.number, self.held = Pieces(), 0
         self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def learn(self) -> None:
-        """Ids of the words met since the last time."""
-        new = list(islice(self.number, len(self.starts) - 1, None))
-        if not new:
-            return
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """Numbers of some words; new ones are encoded."""
+        number = self.number
+        found = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        new = list(islice(number, len(self.starts) - 1, None))
+        if new:
+            self.learn(new)
+        return found
+
+    def learn(self, new: list[str]) -> None:
         split = list(map(self.parts, new))
         texts = [" ".join(chain.from_iterable(split[at : at + 500])).translate(self.spelled) for at in range(0, len(new), 500)]
         flats = []
@@ -101,32 +106,34 @@ class WordTokenizer:
         self.flat = np.concatenate((self.flat, ids))
         self.held += sum(map(len, new)) + 120 * len(new)
 
-    def words(self, text: str) -> np.ndarray | None:
-        """Numbers of a text's words; None for a text that is left to the library as it is."""
+    def plain(self, text: str) -> str | None:
+        """A text in lower case; None for one that is left to the library as it is."""
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
             return None
         text = text.lower()
-        if any(special in text for special in self.special) or any(sign in text for sign in OTHER_SPACE):
-            return None
-        return np.fromiter(map(self.number.__getitem__, text.split()), np.int32)
+        return None if any(special in text for special in self.special) else text
 
     def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text."""
         if self.held > REMEMBERED:
             self.forget()
-        found = [self.words(t) for t in texts]
-        self.learn()
-        for text, words in zip(texts, found, strict=True):
-            if words is None:
-                yield np.array(self.model.encode(text, add_special_tokens=False).ids, np.uint32)
+        lowered = [self.plain(t) for t in texts]
+        # Split and told apart by Arrow, so that only the distinct words of a batch become Python objects.
+        split = pc.ascii_split_whitespace(pa.array([t or "" for t in lowered], pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        numbers = self.numbers(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        starts = self.starts[numbers]
+        sizes = self.starts[numbers + 1] - starts
+        upto = np.concatenate(([0], np.cumsum(sizes)))
+        ids = self.flat[np.repeat(starts - upto[:-1], sizes) + np.arange(upto[-1])]
+        bounds = upto[np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy())))]
+        for k, text in enumerate(lowered):
+            if text is None:
+                yield np.array(self.model.encode(texts[k], add_special_tokens=False).ids, np.uint32)
             else:
-                starts = self.starts[words]
-                sizes = self.starts[words + 1] - starts
-                upto = np.cumsum(sizes)
-                shift = np.repeat(starts - upto + sizes, sizes)
-                yield self.flat[shift + np.arange(len(shift))]
+                yield ids[bounds[k] : bounds[k + 1]]
 
 
 def pieces_of(frame: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -136,7 +143,7 @@ def pieces_of(frame: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = WordTokenizer(tokenizer_path)
-        for batch in by_text_bytes(batches, "text", 16 << 20):
+        for batch in by_text_bytes(batches, "text", 8 << 20):
             rows = []
             for key, own in zip(batch["id"].tolist(), tokenizer.batch(batch["text"].tolist()), strict=True):
                 own = np.concatenate((own, end)).astype("<u4")

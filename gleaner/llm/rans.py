@@ -295,7 +295,7 @@ def token_ids(frame: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = WordTokenizer(tokenizer_path)
         narrow = "<u2" if max(tokenizer.model.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
-        for batch in by_text_bytes(batches, "text", 4 << 20):
+        for batch in by_text_bytes(batches, "text", 8 << 20):
             sizes, checks, made = [], [], []
             for ids in tokenizer.batch(batch["text"].tolist()):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
