@@ -50,3 +50,17 @@ def by_text_bytes(batches: Iterator[pd.DataFrame], column: str, most: int = 8 <<
         else:
             for _, part in batch.groupby(sizes, sort=True):
                 yield part.reset_index(drop=True)
+
+
+def in_bulk(batches: Iterator[pd.DataFrame], column: str, most: int = 16 << 20) -> Iterator[pd.DataFrame]:
+    """Batches cut and joined so that each holds nearly `most` characters of text, or one row beyond it."""
+    waiting, held = [], 0
+    for batch in by_text_bytes(batches, column, most):
+        size = int(batch[column].str.len().sum())
+        if waiting and held + size > most:
+            yield pd.concat(waiting, ignore_index=True)
+            waiting, held = [], 0
+        waiting.append(batch)
+        held += size
+    if waiting:
+        yield pd.concat(waiting, ignore_index=True)

@@ -20,7 +20,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gleaner.llm.bpe import LETTER_1, NUMBER_1, SPACE_1, Pieces
-from gleaner.llm.common import by_text_bytes, id_and_text, map_texts
+from gleaner.llm.bpe import LETTER_1, NUMBER_1, SPACE_1
+from gleaner.llm.common import id_and_text, in_bulk, map_texts
 from gleaner.runtime import materialize
 
 SEQUENCE = 4096
@@ -39,17 +39,15 @@ END_ID = 2
 # A length with more pieces than this, or than the total over `BUCKETS`, is cut into buckets that are ranked apart.
 BUCKET_ROWS = 1_000
 BUCKETS = 200_000
-# Bytes of words that a task remembers; beyond it the memory is emptied, not the work.
-REMEMBERED = 64 << 20
 
 
 class WordTokenizer:
-    """A `tokenizers` vocabulary; encodes each distinct word of Latin-1 texts once.
+    """A `tokenizers` vocabulary; encodes each distinct word of a batch of Latin-1 texts once.
 
     The vocabulary lower-cases, drops white space, splits what stands between it by a pattern and merges within these parts,
     so a text's ids are those of its words, here all between ASCII white space, in turn. New words are encoded many in one text: the
     last id of a part is known by its word end. Texts with other characters, where normal forms may join across
-    words, and texts that hold one of the vocabulary's special strings are encoded whole. A tokenizer lives as long as its task.
+    words, and texts that hold one of the vocabulary's special strings are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -73,38 +71,21 @@ class WordTokenizer:
         self.merges = Tokenizer.from_str(json.dumps(settings))
         letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.spelled = {c: letters.pre_tokenize_str(chr(c))[0][0] for c in range(256) if chr(c) != " "}
-        self.forget()
-
-    def forget(self) -> None:
-        """Words in order of first sight; the ids of word w are flat[starts[w]:starts[w + 1]]."""
-        self.number, self.held = Pieces(), 0
-        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def numbers(self, words: list[str]) -> np.ndarray:
-        """Numbers of some words; new ones are encoded."""
-        number = self.number
-        found = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-        new = list(islice(number, len(self.starts) - 1, None))
-        if new:
-            self.learn(new)
-        return found
-
-    def learn(self, new: list[str]) -> None:
-        split = list(map(self.parts, new))
-        texts = [" ".join(chain.from_iterable(split[at : at + 500])).translate(self.spelled) for at in range(0, len(new), 500)]
-        flats = []
+
+    def learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, starts): the ids of word w are ids[starts[w]:starts[w + 1]]."""
+        split = [(w,) if w.isalpha() else self.parts(w) for w in words]
+        texts = [" ".join(chain.from_iterable(split[at : at + 500])).translate(self.spelled) for at in range(0, len(words), 500)]
+        flats = [np.zeros(0, np.uint32)]
         for at in range(0, len(texts), 20):
             made = self.merges.encode_batch_fast(texts[at : at + 20], add_special_tokens=False)
             flats += [np.array(m.ids, np.uint32) for m in made]
         ids = np.concatenate(flats)
-        last = np.flatnonzero(self.closes[ids]) + 1
+        last = np.concatenate(([0], np.flatnonzero(self.closes[ids]) + 1))
         upto = np.cumsum([0, *map(len, split)])
-        if upto[-1] != len(last):
+        if upto[-1] != len(last) - 1:
             raise ValueError("the vocabulary does not split as expected")
-        ends = np.concatenate(([0], last))[upto[1:]]
-        self.starts = np.concatenate((self.starts, self.starts[-1] + ends))
-        self.flat = np.concatenate((self.flat, ids))
-        self.held += sum(map(len, new)) + 120 * len(new)
+        return ids, last[upto]
 
     def plain(self, text: str) -> str | None:
         """A text in lower case; None for one that is left to the library as it is."""
@@ -116,18 +97,18 @@ class WordTokenizer:
         return None if any(special in text for special in self.special) else text
 
     def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Ids of each text."""
-        if self.held > REMEMBERED:
-            self.forget()
+        """Ids of each text; a batch of many texts encodes each of its words once."""
         lowered = [self.plain(t) for t in texts]
         # Split and told apart by Arrow, so that only the distinct words of a batch become Python objects.
         split = pc.ascii_split_whitespace(pa.array([t or "" for t in lowered], pa.large_string()))
         words = split.flatten().dictionary_encode()
-        numbers = self.numbers(words.dictionary.to_pylist())[words.indices.to_numpy()]
-        starts = self.starts[numbers]
-        sizes = self.starts[numbers + 1] - starts
+        known, starts = self.learn(words.dictionary.to_pylist())
+        numbers = words.indices.to_numpy()
+        low, sizes = starts[numbers], np.diff(starts)[numbers]
         upto = np.concatenate(([0], np.cumsum(sizes)))
-        ids = self.flat[np.repeat(starts - upto[:-1], sizes) + np.arange(upto[-1])]
+        place = np.repeat(low - upto[:-1], sizes)
+        place += np.arange(len(place))
+        ids = known[place]
         bounds = upto[np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy())))]
         for k, text in enumerate(lowered):
             if text is None:
@@ -143,7 +124,7 @@ def pieces_of(frame: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = WordTokenizer(tokenizer_path)
-        for batch in by_text_bytes(batches, "text", 8 << 20):
+        for batch in in_bulk(batches, "text"):
             rows = []
             for key, own in zip(batch["id"].tolist(), tokenizer.batch(batch["text"].tolist()), strict=True):
                 own = np.concatenate((own, end)).astype("<u4")

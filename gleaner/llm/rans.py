@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleaner.llm.common import by_text_bytes, id_and_text
+from gleaner.llm.common import id_and_text, in_bulk
 from gleaner.llm.packing import WordTokenizer
 from gleaner.runtime import materialize
 
@@ -284,9 +284,10 @@ def blocks_in(data: bytes, table: Table) -> Iterator[Block]:
 
 def token_ids(frame: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
               end_id: int = END_ID) -> DataFrame:
-    """(id bigint, n, crc, ids) of every row: the text's ids and the end id, as unsigned 16 or 32-bit numbers.
+    """(id bigint, n, crc, ids, counts) of every row: the text's ids and the end id, as unsigned 16 or 32-bit numbers.
 
-    Two bytes an id where the vocabulary allows; `crc` is of 32-bit numbers either way.
+    Two bytes an id where the vocabulary allows; `crc` is of 32-bit numbers either way. A task's last row has no ids (`n` is null)
+    but `counts`: how often it met each id, as unsigned 64-bit numbers.
     """
     kind = frame.schema[id_col].dataType
     if not isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
@@ -294,18 +295,22 @@ def token_ids(frame: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = WordTokenizer(tokenizer_path)
-        narrow = "<u2" if max(tokenizer.model.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
-        for batch in by_text_bytes(batches, "text", 8 << 20):
+        size = max(tokenizer.model.get_vocab_size(), end_id + 1)
+        narrow, counts = "<u2" if size <= 1 << 16 else "<u4", np.zeros(size, "<u8")
+        for batch in in_bulk(batches, "text"):
             sizes, checks, made = [], [], []
             for ids in tokenizer.batch(batch["text"].tolist()):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 sizes.append(len(ids))
                 checks.append(zlib.crc32(ids))
                 made.append(ids.astype(narrow).tobytes())
-            yield pd.DataFrame({"id": batch["id"], "n": sizes, "crc": checks, "ids": made})
+            counts += np.bincount(np.frombuffer(b"".join(made), narrow), minlength=size).astype("<u8")
+            yield pd.DataFrame({"id": batch["id"], "n": sizes, "crc": checks, "ids": made, "counts": None})
+        if counts.any():
+            yield pd.DataFrame({"id": [None], "n": pd.array([None], "Int64"), "crc": pd.array([None], "Int64"), "ids": [None], "counts": [counts.tobytes()]})
 
     texts = id_and_text(frame, id_col, text_col).withColumn("id", F.col("id").cast("string"))
-    found = texts.mapInPandas(work, "id string, n bigint, crc bigint, ids binary")
+    found = texts.mapInPandas(work, "id string, n bigint, crc bigint, ids binary, counts binary")
     return found.withColumn("id", F.col("id").cast("bigint"))
 
 
@@ -314,19 +319,18 @@ def _numbers(data: bytes, n: int) -> np.ndarray:
 
 
 def count_ids(tokens: DataFrame) -> DataFrame:
-    """(token, n) over all documents, added up in each task before they are shuffled."""
+    """(token, n) over all documents, from the counts that each task left behind its rows."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(0, np.int64)
+        total = np.zeros(0, np.int64)
         for batch in batches:
-            for data, n in zip(batch["ids"], batch["n"]):
-                own = np.bincount(_numbers(data, n), minlength=len(counts))
-                own[: len(counts)] += counts
-                counts = own
-        seen = np.flatnonzero(counts)
-        yield pd.DataFrame({"token": seen, "n": counts[seen]})
-
-    parts = tokens.select("ids", "n").mapInPandas(work, "token bigint, n bigint")
+            for data in batch["counts"]:
+                own = np.frombuffer(data, "<u8").astype(np.int64)
+                total = own + total if len(total) else own
+        seen = np.flatnonzero(total)
+        yield pd.DataFrame({"token": seen, "n": total[seen]})
+
+    parts = tokens.where("counts is not null").select("counts").mapInPandas(work, "token bigint, n bigint")
     return parts.groupBy("token").agg(F.sum("n").alias("n"))
 
 
@@ -346,7 +350,7 @@ def _binary(rows: DataFrame, column: str, path: str, rows_a_file: int) -> None:
 
 def write_ids(tokens: DataFrame, path: str, table: Table | None = None, block_ids: int = BLOCK_IDS,
               blocks_a_file: int = BLOCKS_A_FILE) -> Table:
-    """Write (id, n, crc, ids) as files below `path`, in ascending order of id; `tokens` should be a written table."""
+    """Write what `token_ids` gave as files below `path`, in ascending order of id; `tokens` should be a written table."""
     spark = tokens.sparkSession
     table = table or table_of(tokens)
     coded = table.to_bytes()
@@ -373,7 +377,7 @@ def write_ids(tokens: DataFrame, path: str, table: Table | None = None, block_id
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_IDS))
     order = ["id", "n", "crc"]
     # Rows of one id are dealt by size and checksum as well, so an id that repeats is not one task's.
-    dealt = tokens.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    dealt = tokens.where("n is not null").drop("counts").repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     sent = dealt.select(F.col("id").cast("string").alias("id"), "n", "ids")
     _binary(sent.mapInPandas(work, "block binary"), "block", f"{path}/ids", blocks_a_file)
     return table
