@@ -39,6 +39,8 @@ END_ID = 2
 # A length with more pieces than this, or than the total over `BUCKETS`, is cut into buckets that are ranked apart.
 BUCKET_ROWS = 1_000
 BUCKETS = 200_000
+# Characters of texts whose words are encoded together, and words that are looked up at once.
+BULK, AT_ONCE = 32 << 20, 1 << 18
 
 
 class WordTokenizer:
@@ -103,18 +105,21 @@ class WordTokenizer:
         split = pc.ascii_split_whitespace(pa.array([t or "" for t in lowered], pa.large_string()))
         words = split.flatten().dictionary_encode()
         known, starts = self.learn(words.dictionary.to_pylist())
-        numbers = words.indices.to_numpy()
-        low, sizes = starts[numbers], np.diff(starts)[numbers]
-        upto = np.concatenate(([0], np.cumsum(sizes)))
-        place = np.repeat(low - upto[:-1], sizes)
-        place += np.arange(len(place))
-        ids = known[place]
-        bounds = upto[np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy())))]
-        for k, text in enumerate(lowered):
-            if text is None:
-                yield np.array(self.model.encode(texts[k], add_special_tokens=False).ids, np.uint32)
-            else:
-                yield ids[bounds[k] : bounds[k + 1]]
+        numbers, sizes = words.indices.to_numpy(), np.diff(starts)
+        bounds = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy())))
+        # Texts up to so many words are looked up together.
+        cuts = [0, *np.flatnonzero(np.diff(bounds // AT_ONCE)).tolist(), len(texts)]
+        for first, last in zip(cuts, cuts[1:]):
+            own = numbers[bounds[first] : bounds[last]]
+            upto = np.concatenate(([0], np.cumsum(sizes[own])))
+            place = np.repeat(starts[own] - upto[:-1], sizes[own])
+            place += np.arange(len(place))
+            ids, ends = known[place], upto[bounds[first : last + 1] - bounds[first]]
+            for k in range(first, last):
+                if lowered[k] is None:
+                    yield np.array(self.model.encode(texts[k], add_special_tokens=False).ids, np.uint32)
+                else:
+                    yield ids[ends[k - first] : ends[k - first + 1]]
 
 
 def pieces_of(frame: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -124,7 +129,7 @@ def pieces_of(frame: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = WordTokenizer(tokenizer_path)
-        for batch in in_bulk(batches, "text"):
+        for batch in in_bulk(batches, "text", BULK):
             rows = []
             for key, own in zip(batch["id"].tolist(), tokenizer.batch(batch["text"].tolist()), strict=True):
                 own = np.concatenate((own, end)).astype("<u4")

@@ -37,12 +37,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner.llm.common import id_and_text, in_bulk
-from gleaner.llm.packing import WordTokenizer
+from gleaner.llm.packing import BULK, WordTokenizer
 from gleaner.runtime import materialize
 
 END_ID = 1
 BITS = 20
-LANES, STEPS = 16, 512
+LANES, STEPS = 32, 256
 BLOCK_IDS, BLOCKS_A_FILE = 1 << 20, 32
 # Ids of one write task, and segments that are coded side by side.
 TASK_IDS, SIDE_BY_SIDE = 32 << 20, 128
@@ -297,7 +297,7 @@ def token_ids(frame: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
         tokenizer = WordTokenizer(tokenizer_path)
         size = max(tokenizer.model.get_vocab_size(), end_id + 1)
         narrow, counts = "<u2" if size <= 1 << 16 else "<u4", np.zeros(size, "<u8")
-        for batch in in_bulk(batches, "text"):
+        for batch in in_bulk(batches, "text", BULK):
             sizes, checks, made = [], [], []
             for ids in tokenizer.batch(batch["text"].tolist()):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
