@@ -39,8 +39,8 @@ END_ID = 2
 # A length with more pieces than this, or than the total over `BUCKETS`, is cut into buckets that are ranked apart.
 BUCKET_ROWS = 1_000
 BUCKETS = 200_000
-# Characters of texts whose words are encoded together, and words that are looked up at once.
-BULK, AT_ONCE = 32 << 20, 1 << 18
+# Characters of texts whose words are encoded together, and of texts that are split and looked up at once.
+BULK, SLICE = 16 << 20, 2 << 20
 
 
 class WordTokenizer:
@@ -98,28 +98,39 @@ class WordTokenizer:
         text = text.lower()
         return None if any(special in text for special in self.special) else text
 
+    def split(self, texts: list[str]) -> tuple[list[str], list[np.ndarray], np.ndarray]:
+        """(distinct words, numbers of each slice's words, words of each text; none where a text is left to the library).
+
+        Split and told apart by Arrow, a slice at a time, so that only distinct words become Python objects.
+        """
+        parts, lengths, sizes = [], [], np.fromiter(map(len, texts), np.int64, len(texts))
+        cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE)) + 1).tolist(), len(texts)]
+        for first, last in zip(cuts, cuts[1:]):
+            words = pc.ascii_split_whitespace(pa.array([self.plain(t) for t in texts[first:last]], pa.large_string()))
+            lengths.append(pc.fill_null(pc.list_value_length(words), -1).to_numpy(zero_copy_only=False))
+            parts.append(words.flatten().dictionary_encode())
+        shared = pa.chunked_array(parts).unify_dictionaries()
+        return shared.chunk(0).dictionary.to_pylist(), [c.indices.to_numpy() for c in shared.chunks], np.concatenate(lengths)
+
     def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text; a batch of many texts encodes each of its words once."""
-        lowered = [self.plain(t) for t in texts]
-        # Split and told apart by Arrow, so that only the distinct words of a batch become Python objects.
-        split = pc.ascii_split_whitespace(pa.array([t or "" for t in lowered], pa.large_string()))
-        words = split.flatten().dictionary_encode()
-        known, starts = self.learn(words.dictionary.to_pylist())
-        numbers, sizes = words.indices.to_numpy(), np.diff(starts)
-        bounds = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy())))
-        # Texts up to so many words are looked up together.
-        cuts = [0, *np.flatnonzero(np.diff(bounds // AT_ONCE)).tolist(), len(texts)]
-        for first, last in zip(cuts, cuts[1:]):
-            own = numbers[bounds[first] : bounds[last]]
+        if not texts:
+            return
+        words, numbers, lengths = self.split(texts)
+        known, starts = self.learn(words)
+        sizes, k = np.diff(starts), 0
+        for own in numbers:
             upto = np.concatenate(([0], np.cumsum(sizes[own])))
             place = np.repeat(starts[own] - upto[:-1], sizes[own])
             place += np.arange(len(place))
-            ids, ends = known[place], upto[bounds[first : last + 1] - bounds[first]]
-            for k in range(first, last):
-                if lowered[k] is None:
+            ids, at = known[place], 0
+            while k < len(texts) and at + max(0, lengths[k]) <= len(own):
+                if lengths[k] < 0:
                     yield np.array(self.model.encode(texts[k], add_special_tokens=False).ids, np.uint32)
                 else:
-                    yield ids[ends[k - first] : ends[k - first + 1]]
+                    yield ids[upto[at] : upto[at + lengths[k]]]
+                    at += lengths[k]
+                k += 1
 
 
 def pieces_of(frame: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
