@@ -28,6 +28,15 @@ def term_bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int").alias("bucket")
 
 
+def in_folders_of(table: DataFrame, words: DataFrame, buckets: int | None) -> DataFrame:
+    """A table stored by term folder, without the folders that hold none of the words; others as they are."""
+    if not buckets or "bucket" not in table.columns:
+        return table
+    # At most as many numbers as folders; literal ones prune the scan.
+    folders = [row[0] for row in words.select(term_bucket(buckets)).distinct().collect()]
+    return table.where(F.col("bucket").isin(folders))
+
+
 def build_postings(chunks: DataFrame) -> DataFrame:
     """(term, chunk_id, doc_ord, chunk_index, tf, dl), one row per distinct term of a chunk.
 
@@ -96,8 +105,14 @@ class SparseIndex:
         n_chunks: int,
         total_length: int,
         buckets: int | None = None,
+        df_counts: DataFrame | None = None,
     ) -> "SparseIndex":
-        average = merge_term_frequencies(term_parts).agg(F.avg(raw_idf(n_chunks, F.col("df")))).first()[0]
+        """With `df_counts` (df, n), how many words have each frequency, the vocabulary itself is not read."""
+        if df_counts is None:
+            average = merge_term_frequencies(term_parts).agg(F.avg(raw_idf(n_chunks, F.col("df")))).first()[0]
+        else:
+            rows = df_counts.groupBy("df").agg(F.sum("n").alias("n")).where("n > 0 and df > 0")
+            average = rows.agg(F.try_divide(F.sum(F.col("n") * raw_idf(n_chunks, F.col("df"))), F.sum("n").cast("double"))).first()[0]
         return cls(postings, members, term_parts, n_chunks, total_length, average, buckets)
 
     @property
@@ -116,7 +131,7 @@ class SparseIndex:
 
     def weights_of(self, words: DataFrame) -> DataFrame:
         """(term, df, idf) of some words; partial counts are summed after the other words are gone."""
-        parts = merge_term_frequencies(self.term_parts.join(words, "term", "left_semi"))
+        parts = merge_term_frequencies(in_folders_of(self.term_parts, words, self.buckets).join(words, "term", "left_semi"))
         return term_weights(parts, self.n_chunks, self.average_idf)
 
     def stats(self) -> DataFrame:
@@ -162,11 +177,7 @@ def question_words(queries: DataFrame, index: SparseIndex) -> tuple[DataFrame, b
 
 def postings_of(weighted: DataFrame, index: SparseIndex, small: bool) -> DataFrame:
     """The postings, without folders that hold none of the words."""
-    postings = index.postings
-    if index.buckets and small:
-        # At most as many numbers as folders; literal ones prune the scan of the posting table.
-        folders = [row[0] for row in weighted.select(term_bucket(index.buckets)).distinct().collect()]
-        postings = postings.where(F.col("bucket").isin(folders))
+    postings = in_folders_of(index.postings, weighted, index.buckets) if small else index.postings
     return postings.select("term", "chunk_id", *INSERTION_ORDER, "tf", "dl")
 
 
@@ -315,3 +326,8 @@ def merge_term_frequencies(*parts: DataFrame) -> DataFrame:
     for part in parts[1:]:
         merged = merged.unionByName(part.select("term", "df"))
     return merged.groupBy("term").agg(F.sum("df").alias("df")).where("df > 0")
+
+
+def merge_signed(parts: DataFrame) -> DataFrame:
+    """(term, df) of partial counts, some of them negative; words whose counts cancel are gone."""
+    return parts.groupBy("term").agg(F.sum("df").alias("df")).where("df <> 0")

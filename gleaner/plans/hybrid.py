@@ -28,11 +28,14 @@ from gleaner.operators.sparse import (
     SparseIndex,
     bm25_search,
     build_postings,
+    in_folders_of,
+    merge_signed,
     term_bucket,
     term_frequencies,
 )
 from gleaner.runtime import fits_broadcast, materialize, read_table, scratch_path
-from gleaner.sources.store import IndexStore, Manifest
+from gleaner.sources.registry import filter_of, may_hold
+from gleaner.sources.store import IndexStore, Manifest, grown
 
 
 # Columns of a chunk that callers of `add_chunks` may leave out.
@@ -169,17 +172,24 @@ class HybridIndex:
         now = now.with_(
             n_chunks=old.n_chunks + count, total_length=old.total_length + length, next_ord=last + 1
         )
-        now = self._replace_old(new, old, now, batch, on_conflict)
+        # Indexes that an earlier version began have no filters; their ids are read.
+        filtered = bool(old.tiers) or not old.batches
+        replace = self._replace_old if filtered else self._replace_unfiltered
+        now = replace(new, old, now, batch, on_conflict)
 
         postings = build_postings(new).select("*", term_bucket(self.config.term_buckets))
         self.store.write(postings, "postings", batch, "bucket")
-        added = self.spark.read.parquet(f"{self.store.path}/postings/batch={batch}")
+        # With a schema: texts without a word leave no file.
+        added = self.spark.read.schema(postings.schema).parquet(f"{self.store.path}/postings/batch={batch}")
         frequencies = term_frequencies(added)
         if batch in now.replaced:
             gone = self.spark.read.parquet(f"{self.store.path}/dropped/batch={batch}")
             lost = term_frequencies(self.store.read("postings", old).join(gone, "chunk_id", "left_semi"))
-            frequencies = frequencies.unionByName(lost.withColumn("df", -F.col("df")))
-        self.store.write(frequencies, "terms", batch)
+            frequencies = merge_signed(frequencies.unionByName(lost.withColumn("df", -F.col("df"))))
+        if filtered:
+            now = self._write_tiers(new, frequencies, old, now, batch)
+        else:
+            self.store.write(frequencies, "terms", batch)
 
         self._write_vectors(new, vectors, batch, cache)
         if self.config.vectors.wants_cells(now.n_chunks, None if self.cells is None else self.cells.nlist):
@@ -194,17 +204,78 @@ class HybridIndex:
         else:
             store.write(chunks, "chunks", batch)
 
-    def _replace_old(self, new: DataFrame, old: Manifest, now: Manifest, batch: int, on_conflict: str) -> Manifest:
-        """Chunk ids are unique: a repeated document is an error, or takes the place of the old one."""
-        known = self.store.read("chunks", old) if old.batches else None
+    def _write_tiers(self, new: DataFrame, frequencies: DataFrame, old: Manifest, now: Manifest, batch: int) -> Manifest:
+        """Term counts, changes of the number of words per frequency, and id filters of a batch; then merges that are due."""
+        own, buckets = [0, batch, batch], self.config.term_buckets
+        self.store.write_tier(frequencies.select("term", F.col("df").cast("bigint").alias("df"), term_bucket(buckets)), "terms", own, "bucket")
+        added = self.store.read_tiers("terms", [own])
+        known = self.store.read_tiers("terms", old.tiers)
         if known is None:
+            changes = added.groupBy("df").agg(F.count("*").alias("n"))
+        else:
+            # The frequencies before, of this batch's words only, from the folders that they lie in.
+            before = in_folders_of(known, added, buckets).join(added.select("term"), "term", "left_semi")
+            before = before.groupBy("term").agg(F.sum("df").alias("was"))
+            both = added.join(before, "term", "left").withColumn("was", F.coalesce("was", F.lit(0)))
+            change = F.array(F.struct(F.col("was").alias("df"), F.lit(-1).alias("n")), F.struct((F.col("was") + F.col("df")).alias("df"), F.lit(1).alias("n")))
+            changes = both.select(F.inline(change)).where("df > 0").groupBy("df").agg(F.sum("n").alias("n")).where("n <> 0")
+        self.store.write_tier(changes.select(F.col("df").cast("bigint").alias("df"), F.col("n").cast("bigint").alias("n")).coalesce(1), "df_counts", own)
+        docs = new.select(F.col("doc_id").alias("id")).distinct()
+        chunks = new.select(F.col("chunk_id").alias("id"))
+        self.store.write_tier(filter_of(docs, "doc").unionByName(filter_of(chunks, "chunk")), "filters", own)
+        self.store.write_tier(new.select("doc_id", "chunk_id", "dl", chunk_bucket(F.col("doc_id"), self._id_folders).alias("folder")), "ids", own, "folder")
+        tiers, merges = grown(old.tiers, batch)
+        for group in merges:
+            into = [group[0][0] + 1, group[0][1], group[-1][2]]
+            terms = merge_signed(self.store.read_tiers("terms", group))
+            self.store.write_tier(terms.select("term", "df", term_bucket(buckets)), "terms", into, "bucket")
+            counts = self.store.read_tiers("df_counts", group).groupBy("df").agg(F.sum("n").alias("n")).where("n <> 0")
+            self.store.write_tier(counts.coalesce(1), "df_counts", into)
+            rows = self.store.read_tiers("ids", group)
+            self.store.write_tier(rows.select("doc_id", "chunk_id", "dl", "folder"), "ids", into, "folder")
+            merged = self.store.read_tiers("ids", [into])
+            both = filter_of(merged.select(F.col("doc_id").alias("id")).distinct(), "doc").unionByName(
+                filter_of(merged.select(F.col("chunk_id").alias("id")).distinct(), "chunk")
+            )
+            self.store.write_tier(both, "filters", into)
+        return now.with_(tiers=tiers)
+
+    @property
+    def _id_folders(self) -> int:
+        return self.config.chunk_buckets or 64
+
+    def _may_hold(self, ids: DataFrame, kind: str, manifest: Manifest) -> DataFrame:
+        """The ids (id) that an earlier batch may have brought, a few new ones among them."""
+        filters = self.store.read_tiers("filters", manifest.tiers)
+        filters = filters.where(F.col("kind") == kind)
+        shapes = [(r["tier"], r["slices"]) for r in filters.select("tier", "slices").distinct().collect()]
+        return materialize(may_hold(ids, filters, shapes), "known-ids")
+
+    def _replace_old(self, new: DataFrame, old: Manifest, now: Manifest, batch: int, on_conflict: str) -> Manifest:
+        """Chunk ids are unique: a repeated document is an error, or takes the place of the old one.
+
+        Filters tell which ids may be known; only these are looked up, in the folders they would lie in.
+        """
+        if not old.tiers:
             return now
         if on_conflict == "error":
-            if not known.join(new.select("chunk_id"), "chunk_id", "left_semi").isEmpty():
+            maybe = self._may_hold(new.select(F.col("chunk_id").alias("id")), "chunk", old).withColumnRenamed("id", "chunk_id")
+            if not maybe.isEmpty() and not self._chunks_of(maybe, old).join(maybe, "chunk_id", "left_semi").isEmpty():
                 raise ValueError("chunk ids exist already; use on_conflict='replace'")
             return now
-        gone = known.join(new.select("doc_id").distinct(), "doc_id", "left_semi")
-        self.store.write(gone.select("chunk_id", "dl"), "dropped", batch)
+        maybe = self._may_hold(new.select(F.col("doc_id").alias("id")).distinct(), "doc", old).withColumnRenamed("id", "doc_id")
+        if maybe.isEmpty():
+            return now
+        # At most as many numbers as folders.
+        folders = [r[0] for r in maybe.select(chunk_bucket(F.col("doc_id"), self._id_folders)).distinct().collect()]
+        known = self.store.read_tiers("ids", old.tiers).where(F.col("folder").isin(folders)).join(maybe, "doc_id", "left_semi")
+        # What was replaced before is in the registry still; the chunks themselves tell what is there.
+        known = materialize(known.select("chunk_id").distinct(), "known-chunks")
+        live = self._chunks_of(known, old).join(maybe, "doc_id", "left_semi")
+        return self._dropped(live.select("chunk_id", "dl"), now, batch)
+
+    def _dropped(self, gone: DataFrame, now: Manifest, batch: int) -> Manifest:
+        self.store.write(gone, "dropped", batch)
         written = self.spark.read.parquet(f"{self.store.path}/dropped/batch={batch}")
         count, length = written.agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0))).first()
         return now.with_(
@@ -213,6 +284,17 @@ class HybridIndex:
             replaced=[*now.replaced, batch],
         )
 
+    def _replace_unfiltered(self, new: DataFrame, old: Manifest, now: Manifest, batch: int, on_conflict: str) -> Manifest:
+        known = self.store.read("chunks", old) if old.batches else None
+        if known is None:
+            return now
+        if on_conflict == "error":
+            if not known.join(new.select("chunk_id"), "chunk_id", "left_semi").isEmpty():
+                raise ValueError("chunk ids exist already; use on_conflict='replace'")
+            return now
+        gone = known.join(new.select("doc_id").distinct(), "doc_id", "left_semi")
+        return self._dropped(gone.select("chunk_id", "dl"), now, batch)
+
     def _write_vectors(
         self, new: DataFrame, vectors: DataFrame | None, batch: int, cache: EmbeddingCache | None
     ) -> None:
@@ -260,11 +342,13 @@ class HybridIndex:
         if copy.latest() is not None:
             raise ValueError(f"an index exists at {path}")
         m = self.manifest
-        done = m.with_(batches=1, replaced=[], cells=None if m.cells is None else 0)
+        done = m.with_(batches=1, replaced=[], cells=None if m.cells is None else 0, tiers=[])
         if m.n_chunks:
             self._write_chunks(copy, self.chunks, 0)
             copy.write(self.store.read("postings", m).drop("batch"), "postings", 0, "bucket")
-            copy.write(self.sparse.terms, "terms", 0)
+            written = self.spark.read.parquet(f"{copy.path}/chunks/batch=0")
+            twin = HybridIndex(self.spark, path, self.config, self.encoder, done)
+            done = twin._write_tiers(written, self.sparse.terms, done, done, 0)
             if m.cells is None:
                 copy.write(self.vectors, "vectors", 0)
             else:
@@ -288,9 +372,9 @@ class HybridIndex:
         """Every indexed chunk."""
         return self.store.read("chunks", self.manifest).drop("batch", CHUNK_FOLDER)
 
-    def _chunks_of(self, hits: DataFrame) -> DataFrame:
+    def _chunks_of(self, hits: DataFrame, manifest: Manifest | None = None) -> DataFrame:
         """The chunks in the folders that some hits lie in: literal folders, so that the others are not read."""
-        rows, buckets = self.store.read("chunks", self.manifest), self.config.chunk_buckets
+        rows, buckets = self.store.read("chunks", manifest or self.manifest), self.config.chunk_buckets
         if buckets:
             # At most as many numbers as folders.
             found = hits.select(chunk_bucket(F.col("chunk_id"), buckets).alias("b")).distinct().collect()
@@ -318,8 +402,10 @@ class HybridIndex:
     def sparse(self) -> SparseIndex:
         m = self.manifest
         members = self.chunks.select("chunk_id", *INSERTION_ORDER, "dl")
-        postings, terms = self.store.read("postings", m), self.store.read("terms", m)
-        return SparseIndex.of(postings, members, terms, m.n_chunks, m.total_length, self.config.term_buckets)
+        postings = self.store.read("postings", m)
+        terms = self.store.read_tiers("terms", m.tiers) if m.tiers else self.store.read("terms", m)
+        counts = self.store.read_tiers("df_counts", m.tiers)
+        return SparseIndex.of(postings, members, terms, m.n_chunks, m.total_length, self.config.term_buckets, counts)
 
     # Retrieval --------------------------------------------------------------
 

@@ -31,6 +31,8 @@ class Manifest:
     cells: int | None = None
     # Cells that a question looks into, where that number was measured.
     nprobe: int | None = None
+    # Runs of batches whose term counts and id filters lie together: [level, first, last].
+    tiers: list[list[int]] = field(default_factory=list)
     # Batches that replaced earlier chunks.
     replaced: list[int] = field(default_factory=list)
     format: int = FORMAT
@@ -39,6 +41,34 @@ class Manifest:
         return replace(self, **changes)
 
 
+# Tables that lie by run of batches; a run may hold no row of them.
+TIERED = {
+    "terms": "term string, df bigint, bucket int, tier string",
+    "df_counts": "df bigint, n bigint, tier string",
+    "filters": "kind string, slice int, slices int, bits binary, tier string",
+    "ids": "doc_id string, chunk_id string, dl int, folder int, tier string",
+}
+# Runs of one level that are merged into one of the next.
+MERGED = 4
+
+
+def grown(tiers: list[list[int]], batch: int) -> tuple[list[list[int]], list[list[list[int]]]]:
+    """The runs after a batch was added, and the groups of runs to be merged for it, one after the other.
+
+    A batch's rows are merged once per level, so all merges together read and write each row a logarithmic number of times.
+    """
+    now, merges = [*tiers, [0, batch, batch]], []
+    while len(now) >= MERGED and len({t[0] for t in now[-MERGED:]}) == 1:
+        group = now[-MERGED:]
+        merges.append(group)
+        now = [*now[:-MERGED], [group[0][0] + 1, group[0][1], group[-1][2]]]
+    return now, merges
+
+
+def tier_name(tier: list[int]) -> str:
+    return f"b{tier[1]}_{tier[2]}"
+
+
 class IndexStore:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
@@ -71,6 +101,20 @@ class IndexStore:
             writer = df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by)
         writer.parquet(f"{self.path}/{table}/batch={batch}")
 
+    def write_tier(self, df: DataFrame, table: str, tier: list[int], partition_by: str | None = None) -> None:
+        rows = df.hint("rebalance", partition_by) if partition_by else df
+        writer = rows.write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(partition_by)
+        writer.parquet(f"{self.path}/{table}/tier={tier_name(tier)}")
+
+    def read_tiers(self, table: str, tiers: list[list[int]]) -> DataFrame | None:
+        """Rows of some runs, with their `tier`."""
+        paths = [f"{self.path}/{table}/tier={tier_name(t)}" for t in tiers]
+        if not paths:
+            return None
+        return self.spark.read.schema(TIERED[table]).option("basePath", f"{self.path}/{table}").parquet(*paths)
+
     def read(self, table: str, manifest: Manifest, since: int = 0) -> DataFrame | None:
         """Committed rows of a table; rows of replaced chunks are left out."""
         rows = read_table(self.spark, f"{self.path}/{table}")

@@ -1,10 +1,12 @@
 import pytest
-from conftest import SF
+from conftest import SF, plan_of
 from pyspark.sql import functions as F
 
 from gleaner.config import ChunkingConfig, IndexConfig, RetrievalConfig, VectorIndexConfig
 from gleaner.operators.embed import EmbeddingCache, HashingEncoder, ModelEncoder, embed
 from gleaner.plans.hybrid import HybridIndex
+from gleaner.sources import registry
+from gleaner.sources.store import grown
 from gleaner.sources.tables import from_table, from_texts
 from gleaner.streaming.ingest import ingest_stream
 
@@ -251,8 +253,8 @@ def test_cache_reads_the_folders_it_needs(spark, tmp_path):
     one = frame.where("id = 7").select(F.sha2("text", 256).alias("key"))
     found = cache.lookup(one, encoder.name)
     assert found.count() == 1
-    read = [f for f in found.inputFiles() if "encoder=hashing-8/" in f]
-    assert len(read) == len(found.inputFiles()) and len({f.rsplit("/", 2)[1] for f in read}) == 1
+    scan = next(line for line in plan_of(found).splitlines() if "FileScan parquet" in line)
+    assert "PartitionFilters: [" in scan and "folder" in scan.split("PartitionFilters")[1] and "encoder" in scan.split("PartitionFilters")[1]
     small = cache.compacted(str(tmp_path / "compact"), folders=2)
     assert small.read(encoder.name).count() == 300 and small.read(other.name).count() == 20
     files = lambda c: len(read_files_of(spark, c.path))
@@ -262,3 +264,98 @@ def test_cache_reads_the_folders_it_needs(spark, tmp_path):
 
 def read_files_of(spark, path):
     return spark.read.parquet(path).inputFiles()
+
+
+def many_appends(spark, parts, rows=40, **config):
+    docs = documents(spark, rows)
+    index = HybridIndex.create(spark, config=IndexConfig(chunking=ChunkingConfig(200, 20, 10), vectors=VectorIndexConfig(search="exact"), **config))
+    for part in range(parts):
+        index.append(docs.where(F.col("doc_ord") % parts == part))
+    return docs, index
+
+
+def test_runs_of_batches_are_merged_by_size(spark):
+    tiers, sizes = [], []
+    for batch in range(40):
+        tiers, merges = grown(tiers, batch)
+        sizes.append(len(tiers))
+        assert [t[1] for t in tiers] == [0, *[t[2] + 1 for t in tiers[:-1]]] and tiers[-1][2] == batch
+        assert all(len({t[0] for t in g}) == 1 and len(g) == 4 for g in merges)
+    assert max(sizes) <= 3 * 3 + 1 and grown([], 5) == ([[0, 5, 5]], [])
+
+
+def test_many_appends_equal_one_build(spark):
+    docs, index = many_appends(spark, 9, term_buckets=8, chunk_buckets=8)
+    assert [t[0] for t in index.manifest.tiers] == [1, 1, 0]
+    whole = HybridIndex.build(docs, config=index.config)
+    loaded = HybridIndex.load(spark, index.store.path)
+    assert same(loaded.sparse.terms, whole.sparse.terms)
+    # The average comes from how many words have each frequency, kept up to date by changed words.
+    assert loaded.sparse.average_idf == pytest.approx(whole.sparse.average_idf, rel=1e-9)
+    vocabulary = loaded.sparse.terms.groupBy("df").count()
+    counts = loaded.store.read_tiers("df_counts", loaded.manifest.tiers).groupBy("df").agg(F.sum("n").alias("count")).where("count <> 0")
+    assert same(counts.selectExpr("df", "count"), vocabulary.selectExpr("df", "count"))
+    for text_rows in (docs.where("doc_ord = 3"), docs.where("doc_ord = 26")):
+        with pytest.raises(ValueError):
+            loaded.append(text_rows)
+    assert loaded.append(docs.where("doc_ord in (3, 26, 30)"), on_conflict="replace") > 0
+    assert same(loaded.sparse.terms, whole.sparse.terms) and ids(loaded.chunks) == ids(whole.chunks)
+    assert loaded.sparse.average_idf == pytest.approx(whole.sparse.average_idf, rel=1e-9)
+    copy = loaded.save(f"{loaded.store.path}-copy")
+    assert copy.sparse.average_idf == pytest.approx(whole.sparse.average_idf, rel=1e-9)
+    with pytest.raises(ValueError):
+        copy.append(docs.where("doc_ord = 3"))
+
+
+def test_chunks_that_were_replaced_may_come_back(spark):
+    """An id that a filter knows but that was replaced is no conflict."""
+    config = IndexConfig(chunking=ChunkingConfig(200, 20, 10), vectors=VectorIndexConfig(search="exact"))
+    long = " ".join(SENTENCES)
+    index = HybridIndex.build(from_texts(spark, [long], ["d"]), config=config)
+    assert index.n_chunks > 2
+    index.append(from_texts(spark, [SENTENCES[0]], ["d"]), on_conflict="replace")
+    assert ids(index.chunks) == ["d_0"]
+    back = index.chunks.drop("dl").withColumn("chunk_id", F.lit("d_2")).withColumn("doc_ord", F.lit(9).cast("bigint"))
+    vectors = index.vectors.select(F.lit("d_2").alias("chunk_id"), "embedding")
+    assert index.add_chunks(back, vectors) == 1 and ids(index.chunks) == ["d_0", "d_2"]
+    with pytest.raises(ValueError):
+        index.add_chunks(back, vectors)
+
+
+def test_filters_know_their_ids_and_few_others(spark, monkeypatch):
+    monkeypatch.setattr(registry, "SLICE_IDS", 500)
+    monkeypatch.setattr(registry, "TASK_IDS", 100)
+    frame = lambda a, b: spark.range(a, b).select(F.concat(F.lit("doc "), F.col("id").cast("string")).alias("id"))
+    rows = [registry.filter_of(frame(a, b), "doc").withColumn("tier", F.lit(f"t{a}")) for a, b in ((0, 3_000), (5_000, 5_040))]
+    filters = rows[0].unionByName(rows[1])
+    shapes = [(r["tier"], r["slices"]) for r in filters.select("tier", "slices").distinct().collect()]
+    assert sorted(shapes) == [("t0", 6), ("t5000", 1)]
+    found = {r["id"] for r in registry.may_hold(frame(2_000, 12_000), filters, shapes).collect()}
+    held = {f"doc {i}" for i in [*range(2_000, 3_000), *range(5_000, 5_040)]}
+    assert held <= found and len(found - held) < 0.02 * 9_000
+    assert registry.may_hold(frame(0, 0), filters, shapes).count() == 0 == registry.may_hold(frame(0, 5), filters, []).count()
+    empty = registry.filter_of(frame(0, 0), "doc")
+    assert empty.count() == 0
+
+
+def test_append_does_not_read_the_chunks_before_it(spark, monkeypatch):
+    """Without repeated ids only filters are read; a repeated one is looked up in its folder."""
+    docs, index = many_appends(spark, 2, term_buckets=8, chunk_buckets=16)
+    read, asked = index.store.read, []
+    monkeypatch.setattr(index.store, "read", lambda table, *a: asked.append(table) or read(table, *a))
+    index.append(from_texts(spark, SENTENCES, [f"new {i}" for i in range(8)]))
+    assert "chunks" not in asked
+    with pytest.raises(ValueError):
+        index.append(docs.where("doc_ord = 1").limit(1))
+    assert "chunks" in asked
+
+
+def test_appends_that_change_no_word(spark):
+    """A document replaced by itself, and texts without a word."""
+    config = IndexConfig(chunking=ChunkingConfig(200, 20, 10), vectors=VectorIndexConfig(search="exact"))
+    index = HybridIndex.build(from_texts(spark, SENTENCES), config=config)
+    terms, average = index.sparse.terms.collect(), index.sparse.average_idf
+    assert index.append(from_texts(spark, SENTENCES[:1], ["text_0"]), on_conflict="replace") == 1
+    assert sorted(index.sparse.terms.collect()) == sorted(terms) and index.sparse.average_idf == pytest.approx(average)
+    assert index.append(from_texts(spark, ["... !!! ??? ... !!! ??? ..."], ["signs"])) == 1
+    assert index.n_chunks == 9 and sorted(index.sparse.terms.collect()) == sorted(terms)
