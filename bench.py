@@ -33,7 +33,6 @@ HEADLINE = (
     "dense_topk",
     "dense_topk_blocks",
     "ivf_topk",
-    "ivf_exact",
     "dense_chunks",
     "hybrid_rrf",
     "dedup_hits",

@@ -34,7 +34,7 @@ from gleaner.operators.sparse import (
     term_frequencies,
 )
 from gleaner.runtime import fits_broadcast, materialize, read_table, scratch_path
-from gleaner.sources.registry import filter_of, may_hold
+from gleaner.sources.registry import filters_of, may_hold
 from gleaner.sources.store import IndexStore, Manifest, grown
 
 
@@ -220,9 +220,7 @@ class HybridIndex:
             change = F.array(F.struct(F.col("was").alias("df"), F.lit(-1).alias("n")), F.struct((F.col("was") + F.col("df")).alias("df"), F.lit(1).alias("n")))
             changes = both.select(F.inline(change)).where("df > 0").groupBy("df").agg(F.sum("n").alias("n")).where("n <> 0")
         self.store.write_tier(changes.select(F.col("df").cast("bigint").alias("df"), F.col("n").cast("bigint").alias("n")).coalesce(1), "df_counts", own)
-        docs = new.select(F.col("doc_id").alias("id")).distinct()
-        chunks = new.select(F.col("chunk_id").alias("id"))
-        self.store.write_tier(filter_of(docs, "doc").unionByName(filter_of(chunks, "chunk")), "filters", own)
+        self._write_filters(new, own)
         self.store.write_tier(new.select("doc_id", "chunk_id", "dl", chunk_bucket(F.col("doc_id"), self._id_folders).alias("folder")), "ids", own, "folder")
         tiers, merges = grown(old.tiers, batch)
         for group in merges:
@@ -233,13 +231,17 @@ class HybridIndex:
             self.store.write_tier(counts.coalesce(1), "df_counts", into)
             rows = self.store.read_tiers("ids", group)
             self.store.write_tier(rows.select("doc_id", "chunk_id", "dl", "folder"), "ids", into, "folder")
-            merged = self.store.read_tiers("ids", [into])
-            both = filter_of(merged.select(F.col("doc_id").alias("id")).distinct(), "doc").unionByName(
-                filter_of(merged.select(F.col("chunk_id").alias("id")).distinct(), "chunk")
-            )
-            self.store.write_tier(both, "filters", into)
+            self._write_filters(self.store.read_tiers("ids", [into]), into)
         return now.with_(tiers=tiers)
 
+    def _write_filters(self, rows: DataFrame, tier: list[int]) -> None:
+        """Filters of the document and chunk ids of written rows."""
+        # Repeated ids fall into one place; a few that replaced others are counted twice, and the filter is a little larger.
+        docs, chunks = rows.agg(F.count_distinct("doc_id"), F.count("*")).first()
+        kinds = F.array(F.struct(F.lit("chunk").alias("kind"), F.col("chunk_id").alias("id")), F.struct(F.lit("doc").alias("kind"), F.col("doc_id").alias("id")))
+        ids = rows.select(F.inline(kinds)).distinct()
+        self.store.write_tier(filters_of(ids, {"doc": docs, "chunk": chunks}), "filters", tier)
+
     @property
     def _id_folders(self) -> int:
         return self.config.chunk_buckets or 64

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Ids of a slice, bits an id, and bits set for each: about 3 of 1,000 new ids pass a filter.
@@ -23,9 +23,9 @@ TASK_IDS = 1_000_000
 FILTER = "kind string, slice int, slices int, bits binary"
 
 
-def hashed(ids: DataFrame) -> DataFrame:
-    """(id, h, g): two hashes of every id."""
-    return ids.select("id", F.xxhash64("id").alias("h"), F.xxhash64("id", F.lit(1)).alias("g"))
+def hashes() -> tuple[Column, Column]:
+    """Two hashes of an `id`: h and g."""
+    return F.xxhash64("id").alias("h"), F.xxhash64("id", F.lit(1)).alias("g")
 
 
 def _places(h: np.ndarray, g: np.ndarray, bits: int) -> np.ndarray:
@@ -36,20 +36,22 @@ def _places(h: np.ndarray, g: np.ndarray, bits: int) -> np.ndarray:
     return ((mixed >> np.uint64(20)) % np.uint64(bits)).astype(np.int64)
 
 
-def filter_of(ids: DataFrame, kind: str) -> DataFrame:
-    """(kind, slice, slices, bits) of the distinct ids of a written table (id)."""
-    n = ids.count()
-    slices = max(1, math.ceil(n / SLICE_IDS))
-    bits = 64 * math.ceil(BITS_AN_ID * max(1, n) / slices / 64)
+def filters_of(ids: DataFrame, counts: dict[str, int]) -> DataFrame:
+    """(kind, slice, slices, bits) of the distinct ids of (kind, id); `counts` has their number by kind."""
+    slices = {kind: max(1, math.ceil(n / SLICE_IDS)) for kind, n in counts.items()}
+    bits = {kind: 64 * math.ceil(BITS_AN_ID * max(1, n) / slices[kind] / 64) for kind, n in counts.items()}
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
-        marks = np.zeros(bits, bool)
-        marks[_places(group["h"].to_numpy(), group["g"].to_numpy(), bits).ravel()] = True
-        return pd.DataFrame({"kind": [kind], "slice": [group["slice"].iloc[0]], "slices": [slices], "bits": [np.packbits(marks).tobytes()]})
+        kind = group["kind"].iloc[0]
+        marks = np.zeros(bits[kind], bool)
+        marks[_places(group["h"].to_numpy(), group["g"].to_numpy(), bits[kind]).ravel()] = True
+        row = {"kind": [kind], "slice": [group["slice"].iloc[0]], "slices": [slices[kind]], "bits": [np.packbits(marks).tobytes()]}
+        return pd.DataFrame(row)
 
     # Slices hold equal shares of distinct ids, whatever the ids.
-    keyed = hashed(ids).withColumn("slice", F.pmod("h", F.lit(slices)).cast("int"))
-    return keyed.groupBy("slice").applyInPandas(build, FILTER)
+    many = F.create_map(*[x for kind, n in slices.items() for x in (F.lit(kind), F.lit(n))])
+    keyed = ids.select("kind", *hashes()).withColumn("slice", F.pmod("h", many[F.col("kind")]).cast("int"))
+    return keyed.groupBy("kind", "slice").applyInPandas(build, FILTER)
 
 
 def may_hold(ids: DataFrame, filters: DataFrame, shapes: list[tuple[str, int]]) -> DataFrame:
@@ -69,7 +71,7 @@ def may_hold(ids: DataFrame, filters: DataFrame, shapes: list[tuple[str, int]])
         )
         for tier, slices in shapes
     ]
-    asked = hashed(ids).select("id", "h", "g", F.explode(F.array(*looks)).alias("at")).select("at.*", "id", "h", "g")
+    asked = ids.select("id", *hashes()).select("id", "h", "g", F.explode(F.array(*looks)).alias("at")).select("at.*", "id", "h", "g")
     many = F.create_map(*[x for tier, c in copies.items() for x in (F.lit(tier), F.lit(c))])
     held = filters.select("tier", "slice", F.explode(F.sequence(F.lit(0), many[F.col("tier")] - 1)).alias("copy"), "bits")
     none = lambda kind: F.lit(None).cast(kind)
