@@ -42,6 +42,7 @@ from gleaner.sources.files import (
     SUFFIXES,
     FileDocuments,
     assemble_parts,
+    escaped,
     file_name,
     read_directory,
     read_files,
@@ -614,11 +615,8 @@ def q_stream_ingest(c: Corpus) -> DataFrame:
     """The documents as a stream of files, appended batch by batch."""
     index = HybridIndex.create(c.spark, config=_exact_config())
     source = c.table("documents")
-    stream = (
-        c.spark.readStream.schema(source.schema)
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(c.folder)
-    )
+    # A pattern that only this name matches: the table may be one file or a folder of files.
+    stream = c.spark.readStream.schema(source.schema).parquet(f"{escaped(c.folder)}/documents.parque[t]")
     query = ingest_stream(from_table(stream), index, scratch_path(c.spark, "stream"))
     query.awaitTermination()
     return HybridIndex.load(c.spark, IndexStore(c.spark, index.store.path).path).chunks.select(*_CHUNK_COLUMNS)
