@@ -1,7 +1,14 @@
 """Faults found in the third review."""
 
+import hashlib
+import re
+
+import numpy as np
 import pytest
+from conftest import plan_of
+from pyspark.sql import functions as F
 
+from gleaner.functions.hashing import hashed_vector
 from workload.queries import corpus, q_stream_ingest
 
 
@@ -12,3 +19,21 @@ def test_stream_of_a_table_of_many_files(spark, tmp_path, files):
     rows.repartition(files).write.parquet(str(tmp_path / "documents.parquet"))
     found = {r["chunk_id"] for r in q_stream_ingest(corpus(spark, str(tmp_path))).collect()}
     assert found == {f"{i}_0" for i in range(7)}
+
+
+def test_hashed_vectors_are_summed_by_batch_not_by_expressions(spark):
+    texts = [None, "", " .. ", "a a b", "ß É 北京 x_1", "one two three " * 50]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    for dim, normalize in ((64, True), (7, False)):
+        made = frame.select("i", hashed_vector(F.col("text"), dim, normalize).alias("v"))
+        assert "ArrowEvalPython" in plan_of(made)
+        found = {r["i"]: r["v"] for r in made.collect()}
+        assert found[0] == [None] * dim
+        for i, text in list(enumerate(texts))[1:]:
+            sums = np.zeros(dim)
+            for word in re.findall(r"\w+", text.lower()):
+                h = hashlib.md5(word.encode()).hexdigest()
+                sums[int(h[:7], 16) % dim] += 1.0 if h[7] < "8" else -1.0
+            n = np.sqrt((sums * sums).sum())
+            wanted = sums / n if normalize and n > 0 else sums
+            assert np.array_equal(np.array(found[i], np.float32), wanted.astype(np.float32))
