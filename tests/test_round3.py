@@ -9,7 +9,8 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from gleaner.functions.hashing import hashed_vector
-from workload.queries import corpus, q_stream_ingest
+from gleaner.operators.sparse import SparseIndex
+from workload.queries import corpus, passage_judgements, q_stream_ingest
 
 
 @pytest.mark.parametrize("files", [1, 3])
@@ -37,3 +38,19 @@ def test_hashed_vectors_are_summed_by_batch_not_by_expressions(spark):
             n = np.sqrt((sums * sums).sum())
             wanted = sums / n if normalize and n > 0 else sums
             assert np.array_equal(np.array(found[i], np.float32), wanted.astype(np.float32))
+
+
+def test_judgements_leave_postings_and_texts_where_they_are(spark):
+    texts = ["a quick fox jumps", "quickly", "the fox", "a quick fox sleeps"]
+    rows = [(f"c{i}", f"c{i}", 0, t, i) for i, t in enumerate(texts)]
+    chunks = spark.createDataFrame(rows, "chunk_id string, doc_id string, chunk_index int, text string, doc_ord long")
+    asked = spark.createDataFrame([(1, "a quick fox"), (2, "the fox"), (3, "a missing fox")], "query_id long, question string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as for tables beyond it
+    try:
+        found = passage_judgements(asked, chunks, SparseIndex.build(chunks))
+        assert {tuple(r) for r in found.collect()} == {(1, "c0"), (1, "c3"), (2, "c2")}
+        plan = plan_of(found)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan

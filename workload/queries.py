@@ -480,6 +480,12 @@ def q_bm25_answer(c: Corpus) -> DataFrame:
 # Evaluation ----------------------------------------------------------------------
 
 
+def _sent(rows: DataFrame, label: str, *text_columns: str) -> DataFrame:
+    """A written table, sent to the rows it is joined with where it fits."""
+    rows = materialize(rows, label)
+    return F.broadcast(rows) if fits_broadcast(rows, *text_columns) else rows
+
+
 def passage_judgements(questions: DataFrame, chunks: DataFrame, index: SparseIndex) -> DataFrame:
     """(query_id, chunk_id) of the chunks that contain a question's text word for word.
 
@@ -495,15 +501,19 @@ def passage_judgements(questions: DataFrame, chunks: DataFrame, index: SparseInd
     inner = worded.where(F.size("words") > 2).select(
         "query_id", "question", F.explode(F.slice("words", F.lit(2), F.size("words") - 2)).alias("term")
     )
+    # What belongs to the questions goes to the tables of the corpus, where it may be broadcast.
+    inner = _sent(inner, "inner-words", "term", "question")
+    known = _sent(index.weights_of(inner.select("term")).select("term", "df"), "inner-terms", "term")
     rarest = (
-        inner.join(index.terms, "term")
+        inner.join(known, "term")
         .groupBy("query_id")
         .agg(F.min(F.struct("df", "term"))["term"].alias("term"), F.any_value("question").alias("question"))
     )
     # No inner word may be missing from the corpus.
-    unknown = inner.join(index.terms, "term", "left_anti").select("query_id").distinct()
-    rarest = rarest.join(unknown, "query_id", "left_anti")
+    unknown = inner.join(known, "term", "left_anti").select("query_id").distinct()
+    rarest = _sent(rarest.join(unknown, "query_id", "left_anti"), "rarest-words", "term", "question")
     near = index.postings.join(rarest, "term").select("query_id", "chunk_id", "question")
+    near = _sent(near, "near", "chunk_id", "question")
     return (
         chunks.select("chunk_id", "text")
         .join(near, "chunk_id")
