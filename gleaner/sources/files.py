@@ -7,6 +7,7 @@ import re
 import zipfile
 from collections.abc import Callable
 from dataclasses import dataclass
+from posixpath import commonprefix
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -16,12 +17,16 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.text import strip
 from gleaner.operators.ranking import positions
+from gleaner.runtime import fits_broadcast
 
 # The file types that are read.
 PLAIN = (".txt", ".md")
 PARSED = (".pdf", ".docx")
 SUFFIXES = (*PLAIN, *PARSED)
 
+# Names of a folder up to which a pattern lists them one by one.
+PATTERN_NAMES = 1_000
+
 _FILES = "path string, content binary"
 # An extractor turns the bytes of one file into its parts: pages or paragraphs.
 Extractor = Callable[[bytes], list[str]]
@@ -190,7 +195,8 @@ def _hidden_files(spark: SparkSession, directory: str, recursive: bool) -> list[
             if status.isFile() and path.lower().endswith(SUFFIXES):
                 found.append(path)
         level += "/[!_.]*"
-        if not recursive or not any(s.isDirectory() for s in system.globStatus(jvm.org.apache.hadoop.fs.Path(level)) or ()):
+        # Only folders have something below them; files are not asked one by one.
+        if not recursive or not len(system.globStatus(jvm.org.apache.hadoop.fs.Path(level + "/*")) or ()):
             return found
 
 
@@ -205,7 +211,8 @@ def read_files(
     """The listed files in list order; missing and unsupported ones become rejects.
 
     Each folder is listed once, whatever the number of its files, and all files are read by one scan; a table of wanted
-    paths gives them their places and tells what is missing.
+    paths gives them their places and tells what is missing. Of a folder of which many files are wanted, all that begin
+    alike are read: a pattern of all names would be compared with every file name there.
     """
     names: dict[str, list[str]] = {}
     for path in paths:
@@ -217,8 +224,11 @@ def read_files(
         root = jvm.org.apache.hadoop.fs.Path(folder)
         system = root.getFileSystem(settings)
         full[folder] = system.makeQualified(root).toString().rstrip("/")
-        choice = ",".join(sorted({escaped(n).replace(",", "\\,") for n in own}))
-        pattern = f"{escaped(full[folder])}/{{{choice}}}"
+        if len(own) > PATTERN_NAMES:
+            pattern = f"{escaped(full[folder])}/{escaped(commonprefix(own))}*"
+        else:
+            choice = ",".join(sorted({escaped(n).replace(",", "\\,") for n in own}))
+            pattern = f"{escaped(full[folder])}/{{{choice}}}"
         if system.globStatus(jvm.org.apache.hadoop.fs.Path(pattern)):
             patterns.append(pattern)
     wanted = []
@@ -227,11 +237,12 @@ def read_files(
         wanted.append((f"{full[folder or ('/' if path.startswith('/') else '.')]}/{name}", path, position))
     table = spark.createDataFrame(wanted, "path string, given string, doc_ord bigint")
     if patterns:
-        files = spark.read.format("binaryFile").load(patterns).select("path", "content")
+        # Folders that a pattern meets are no tables by partition.
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(patterns).select("path", "content")
     else:
         files = spark.createDataFrame([], _FILES)
-    # The list came from the driver, so it is small enough for every task.
-    found = files.join(F.broadcast(table.select("path", "doc_ord")), "path")
+    places = table.select("path", "doc_ord")
+    found = files.join(F.broadcast(places) if fits_broadcast(places, "path") else places, "path")
     hidden = file_name(F.col("path")).rlike("^[_.]")
     reason = F.when(hidden, "hidden file names are not read; rename the file").otherwise(F.concat(F.lit("FileNotFoundError: "), F.col("given")))
     missing = table.join(files.select("path").distinct(), "path", "left_anti").select(F.col("given").alias("path"), reason.alias("error"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.hashing import hashed_vector
 from gleaner.operators.sparse import SparseIndex
+from gleaner.sources import files
 from workload.queries import corpus, passage_judgements, q_stream_ingest
 
 
@@ -54,3 +55,23 @@ def test_judgements_leave_postings_and_texts_where_they_are(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_many_files_of_a_folder_are_no_list_of_names(spark, tmp_path, monkeypatch):
+    """Other files, folders and patterns in names stay out; hidden files are found without asking every file."""
+    monkeypatch.setattr(files, "PATTERN_NAMES", 3)
+    for i in range(8):
+        (tmp_path / f"part-{i}[x].txt").write_text(f"text {i}")
+    (tmp_path / "part-a=1").mkdir()
+    (tmp_path / "part-a=1" / "part-0[x].txt").write_text("below")
+    (tmp_path / "part-a=1" / "_deep.txt").write_text("hidden")
+    asked = [str(tmp_path / f"part-{i}[x].txt") for i in (5, 1, 6, 2, 99)]
+    patterns = []
+    escape = files.escaped
+    monkeypatch.setattr(files, "escaped", lambda p: patterns.append(p) or escape(p))
+    read = files.read_files(spark, asked)
+    assert len(patterns) == 2  # the folder and what the names have in common
+    assert [r["text"] for r in read.documents.orderBy("doc_ord").collect()] == ["text 5", "text 1", "text 6", "text 2"]
+    assert [r["path"] for r in read.rejects.collect()] == asked[-1:]
+    whole = files.read_directory(spark, str(tmp_path))
+    assert whole.documents.count() == 9 and whole.rejects.first()["path"].endswith("part-a=1/_deep.txt")

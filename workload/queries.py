@@ -590,7 +590,9 @@ def _as_files(c: Corpus) -> str:
     """One text file per document, its id on the first line."""
     path = scratch_path(c.spark, "files")
     lines = c.table("documents").select(F.concat_ws("\n", F.col("doc_id").cast("string"), "text").alias("value"))
-    lines.write.option("maxRecordsPerFile", 1).text(path)
+    # Tasks put their files in place themselves: the driver would move so many one by one.
+    writer = lines.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", 2)
+    writer.text(path)
     return path
 
 
