@@ -219,16 +219,18 @@ def read_files(
         folder, _, name = path.rpartition("/")
         names.setdefault(folder or ("/" if path.startswith("/") else "."), []).append(name)
     jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
-    full, patterns = {}, []
+    full, patterns, crowded, common = {}, [], [], None
     for folder, own in names.items():
         root = jvm.org.apache.hadoop.fs.Path(folder)
         system = root.getFileSystem(settings)
         full[folder] = system.makeQualified(root).toString().rstrip("/")
         if len(own) > PATTERN_NAMES:
-            pattern = f"{escaped(full[folder])}/{escaped(commonprefix(own))}*"
-        else:
-            choice = ",".join(sorted({escaped(n).replace(",", "\\,") for n in own}))
-            pattern = f"{escaped(full[folder])}/{{{choice}}}"
+            common = commonprefix(own if common is None else [common, *own])
+            if system.exists(root):
+                crowded.append(full[folder])
+            continue
+        choice = ",".join(sorted({escaped(n).replace(",", "\\,") for n in own}))
+        pattern = f"{escaped(full[folder])}/{{{choice}}}"
         if system.globStatus(jvm.org.apache.hadoop.fs.Path(pattern)):
             patterns.append(pattern)
     wanted = []
@@ -236,11 +238,17 @@ def read_files(
         folder, _, name = path.rpartition("/")
         wanted.append((f"{full[folder or ('/' if path.startswith('/') else '.')]}/{name}", path, position))
     table = spark.createDataFrame(wanted, "path string, given string, doc_ord bigint")
+    files = spark.createDataFrame([], _FILES)
+    # Folders that a pattern meets are no tables by partition.
+    reader = lambda: spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if patterns:
-        # Folders that a pattern meets are no tables by partition.
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(patterns).select("path", "content")
-    else:
-        files = spark.createDataFrame([], _FILES)
+        files = reader().load(patterns).select("path", "content")
+    if crowded:
+        # The folder is listed, not its files one by one.
+        many = reader().option("pathGlobFilter", escaped(common) + "*").load([escaped(c) for c in crowded]).select("path", "content")
+        # A folder may lie below another one; a file is read for its own.
+        own = F.regexp_replace("path", r"(?s)/[^/]*\z", "").isin(crowded)
+        files = files.where(~own).unionByName(many.where(own)) if patterns else many
     places = table.select("path", "doc_ord")
     found = files.join(F.broadcast(places) if fits_broadcast(places, "path") else places, "path")
     hidden = file_name(F.col("path")).rlike("^[_.]")

@@ -70,8 +70,13 @@ def test_many_files_of_a_folder_are_no_list_of_names(spark, tmp_path, monkeypatc
     escape = files.escaped
     monkeypatch.setattr(files, "escaped", lambda p: patterns.append(p) or escape(p))
     read = files.read_files(spark, asked)
-    assert len(patterns) == 2  # the folder and what the names have in common
+    assert sorted(patterns) == sorted([f"file:{tmp_path}", "part-"])  # the folder and what the names have in common
     assert [r["text"] for r in read.documents.orderBy("doc_ord").collect()] == ["text 5", "text 1", "text 6", "text 2"]
     assert [r["path"] for r in read.rejects.collect()] == asked[-1:]
+    both = files.read_files(spark, [*asked, str(tmp_path / "part-a=1" / "part-0[x].txt"), str(tmp_path / "none" / "x.txt")])
+    assert [r["text"] for r in both.documents.orderBy("doc_ord").collect()][-1] == "below"
+    assert both.documents.count() == 5 and both.rejects.count() == 2
+    absent = files.read_files(spark, [str(tmp_path / "none" / f"{i}.txt") for i in range(5)])
+    assert absent.documents.count() == 0 and absent.rejects.count() == 5
     whole = files.read_directory(spark, str(tmp_path))
     assert whole.documents.count() == 9 and whole.rejects.first()["path"].endswith("part-a=1/_deep.txt")
