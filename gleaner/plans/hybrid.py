@@ -346,8 +346,13 @@ class HybridIndex:
         m = self.manifest
         done = m.with_(batches=1, replaced=[], cells=None if m.cells is None else 0, tiers=[])
         if m.n_chunks:
-            self._write_chunks(copy, self.chunks, 0)
-            copy.write(self.store.read("postings", m).drop("batch"), "postings", 0, "bucket")
+            # The tables of one batch lie in their folders already; those of several are gathered.
+            single = m.batches == 1
+            if single and self.config.chunk_buckets:
+                copy.write(self.store.read("chunks", m).drop("batch"), "chunks", 0, CHUNK_FOLDER, gathered=True)
+            else:
+                self._write_chunks(copy, self.chunks, 0)
+            copy.write(self.store.read("postings", m).drop("batch"), "postings", 0, "bucket", gathered=single)
             written = self.spark.read.parquet(f"{copy.path}/chunks/batch=0")
             twin = HybridIndex(self.spark, path, self.config, self.encoder, done)
             done = twin._write_tiers(written, self.sparse.terms, done, done, 0)

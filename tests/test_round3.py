@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.hashing import hashed_vector
 from gleaner.operators.sparse import SparseIndex
+from gleaner.plans.hybrid import HybridIndex
 from gleaner.sources import files
 from workload.queries import corpus, passage_judgements, q_stream_ingest
 
@@ -80,3 +81,22 @@ def test_many_files_of_a_folder_are_no_list_of_names(spark, tmp_path, monkeypatc
     assert absent.documents.count() == 0 and absent.rejects.count() == 5
     whole = files.read_directory(spark, str(tmp_path))
     assert whole.documents.count() == 9 and whole.rejects.first()["path"].endswith("part-a=1/_deep.txt")
+
+
+def test_a_saved_index_of_one_batch_is_not_gathered_again(spark, tmp_path, monkeypatch):
+    rows = [(f"d{i}", f"document {i} of the dark forest and its many old trees by the river", {}, i) for i in range(20)]
+    documents = spark.createDataFrame(rows, "doc_id string, text string, metadata map<string,string>, doc_ord bigint")
+    hints = []
+    hint = type(documents).hint
+    once = HybridIndex.build(documents)
+    twice = HybridIndex.build(documents.where("doc_ord < 10"))
+    twice.append(documents.where("doc_ord >= 10"))
+    monkeypatch.setattr(type(documents), "hint", lambda self, name, *a: hints.append(a) or hint(self, name, *a))
+    for index, gathered in ((once, False), (twice, True)):
+        hints.clear()
+        copy = index.save(str(tmp_path / str(gathered)))
+        assert (("chunk_folder",) in hints) == gathered
+        for table in ("chunks", "postings"):
+            read = [i.store.read(table, i.manifest) for i in (index, copy)]
+            a, b = (r.select(*sorted(set(r.columns) - {"batch", "metadata"})) for r in read)
+            assert a.count() == b.count() and a.exceptAll(b).isEmpty()
