@@ -9,6 +9,7 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from gleaner.functions.hashing import hashed_vector
+from gleaner.operators.shards import Shard
 from gleaner.operators.sparse import SparseIndex
 from gleaner.plans.hybrid import HybridIndex
 from gleaner.sources import files
@@ -100,3 +101,21 @@ def test_a_saved_index_of_one_batch_is_not_gathered_again(spark, tmp_path, monke
             read = [i.store.read(table, i.manifest) for i in (index, copy)]
             a, b = (r.select(*sorted(set(r.columns) - {"batch", "metadata"})) for r in read)
             assert a.count() == b.count() and a.exceptAll(b).isEmpty()
+
+
+def test_a_question_does_not_pass_over_all_chunks_of_a_shard(monkeypatch):
+    """The first round picks among the chunks that hold its rarest words; the second looks up many words at once."""
+    n, sizes = 20_000, [60] + [300] * 39 + [20_000]
+    rng = np.random.default_rng(1)
+    chunk = np.concatenate([np.sort(rng.choice(n, s, replace=False)) for s in sizes]).astype(np.int32)
+    word = np.repeat(np.arange(41, dtype=np.int32), sizes)
+    shard = Shard(word, chunk, np.where(word == 0, 9.0, 0.01), 41, n)
+    picked, searched = [], []
+    partition, search = np.argpartition, np.searchsorted
+    monkeypatch.setattr(np, "argpartition", lambda a, *more, **kw: picked.append(len(a)) or partition(a, *more, **kw))
+    monkeypatch.setattr(np, "searchsorted", lambda a, *more, **kw: searched.append(len(a)) or search(a, *more, **kw))
+    asked = np.arange(41), np.ones(41)
+    assert len(shard.sample(*asked, 5)) == 5 and max(picked) <= 41 * 300
+    searched.clear()
+    found, _ = shard.top(*asked, 9.0)
+    assert sorted(found.tolist()) == sorted(chunk[:60].tolist()) and len(searched) <= 5
