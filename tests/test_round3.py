@@ -9,6 +9,7 @@ from conftest import plan_of
 from pyspark.sql import functions as F
 
 from gleaner.functions.hashing import hashed_vector
+from gleaner.operators import dense
 from gleaner.operators.shards import Shard
 from gleaner.operators.sparse import SparseIndex
 from gleaner.plans.hybrid import HybridIndex
@@ -119,3 +120,28 @@ def test_a_question_does_not_pass_over_all_chunks_of_a_shard(monkeypatch):
     searched.clear()
     found, _ = shard.top(*asked, 9.0)
     assert sorted(found.tolist()) == sorted(chunk[:60].tolist()) and len(searched) <= 5
+
+
+@pytest.mark.parametrize("block", [7, 1_000])
+def test_rounds_of_queries_do_not_grow_with_the_cells_they_look_into(spark, monkeypatch, block):
+    rng = np.random.default_rng(3)
+    values = rng.integers(-3, 4, (120, 4)).astype(float)  # many ties
+    cell = rng.integers(0, 10, 120)
+    stored = spark.createDataFrame([(i, v.tolist(), int(c)) for i, (v, c) in enumerate(zip(values, cell))], "vec_id long, embedding array<float>, cell int")
+    queries = stored.where("vec_id < 40").select(F.col("vec_id").alias("query_id"), "embedding")
+    cells = dense.Cells(rng.normal(size=(10, 4)))
+    rounds, scan = [], dense._scan_search
+    monkeypatch.setattr(dense, "_scan_search", lambda *a: rounds.append(1) or scan(*a))
+    monkeypatch.setattr(dense, "BROADCAST_BYTES", 3_300)  # 40 vectors and 400 numbers of cells are 6,400 bytes
+    monkeypatch.setattr(dense, "BLOCK_VECTORS", block)
+    monkeypatch.setattr(dense, "_PRODUCT_CELLS", 5 * block)
+    monkeypatch.setattr(dense, "_WAITING_HITS", 50, raising=False)
+    found = dense.ivf_search(queries, stored, cells, 5, 10, dim=4, id_col="vec_id", order=("vec_id",))
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    scores = values[:40] @ values.T
+    for q in range(40):
+        want = np.lexsort((np.arange(120), -scores[q]))[:5]
+        assert got[q] == [(int(i), scores[q, i]) for i in want]
+    assert len(rounds) == 2
