@@ -1,11 +1,15 @@
 """Faults found in the third review."""
 
 import hashlib
+import os
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pytest
 from conftest import plan_of
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from gleaner.functions.hashing import hashed_vector
@@ -14,6 +18,7 @@ from gleaner.operators.shards import Shard
 from gleaner.operators.sparse import SparseIndex
 from gleaner.plans.hybrid import HybridIndex
 from gleaner.sources import files
+from workload import queries
 from workload.queries import corpus, passage_judgements, q_stream_ingest
 
 
@@ -145,3 +150,12 @@ def test_rounds_of_queries_do_not_grow_with_the_cells_they_look_into(spark, monk
         want = np.lexsort((np.arange(120), -scores[q]))[:5]
         assert got[q] == [(int(i), scores[q, i]) for i in want]
     assert len(rounds) == 2
+
+
+def test_models_of_the_queries_need_no_module_on_executors(tmp_path):
+    for load in (queries._echo, queries._letter_counter):
+        (tmp_path / "load.pickle").write_bytes(cloudpickle.dumps(load))
+        code = "import pickle; print(len(pickle.load(open('load.pickle', 'rb'))()(['a prompt'])))"
+        environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+        made = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=environment, capture_output=True, text=True)
+        assert made.stdout.strip() == "1", made.stderr
