@@ -159,3 +159,15 @@ def test_models_of_the_queries_need_no_module_on_executors(tmp_path):
         environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
         made = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=environment, capture_output=True, text=True)
         assert made.stdout.strip() == "1", made.stderr
+
+
+def test_a_word_listed_twice_for_a_chunk_counts_once():
+    word, chunk = np.repeat([0, 1], 40).astype(np.int32), np.tile(np.repeat(np.arange(20), 2), 2).astype(np.int32)
+    shard = Shard(word, chunk, np.full(80, 1.5), 2, 20)
+    for reach in (-1.0, 2.0):
+        found, score = shard.top(np.array([0, 1]), np.ones(2), reach)
+        assert found.tolist() == list(range(20)) and np.allclose(score, 3.0)
+    assert np.allclose(shard.sample(np.array([0, 1]), np.ones(2), 3), 3.0)
+    assert np.allclose(shard._looked_up(np.array([1]), np.ones(1), np.array([40]), np.arange(20)), 1.5)
+    shard.row[:] = -1  # looked up by search
+    assert np.allclose(shard._looked_up(np.array([1]), np.ones(1), np.array([40]), np.arange(20)), 1.5)
