@@ -15,8 +15,8 @@ WHITESPACE_CHARS = (
 )
 # ... and as a regex class.
 WHITESPACE = r"[\s\x0b\p{Z}\x{1c}-\x{1f}\x{85}]"
-# Fixed value: letters, digits and underscore of every script.
-WORD = r"[\p{L}\p{N}_]+"
+# Fixed value: letters, digits and underscore of every script; the plain ones are named first, as they are found faster.
+WORD = r"[a-z0-9_\p{L}\p{N}]+"
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate `value` once and use it several times inside a higher-order function."""
@@ -103,6 +103,12 @@ def tokenize(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
+def word_count(text: Column) -> Column:
+    """Number of tokens. Lower case changes it only where a letter becomes a letter and a mark, which none but U+0130 does."""
+    as_written = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    return F.size(F.when(F.contains(text, F.lit("\u0130")), tokenize(text)).otherwise(as_written))
+
+
 def word_set(text: Column) -> Column:
     words = F.split(F.lower(text), WHITESPACE + "+")
     return F.array_distinct(F.filter(words, lambda w: w != ""))

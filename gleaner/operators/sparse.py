@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.functions.text import let, term_counts, tokenize
+from gleaner.functions.text import let, term_counts, tokenize, word_count
 from gleaner.operators.ranking import RANK_SCALE, positions, top_k
 from gleaner.operators.shards import shard_search
 from gleaner.runtime import busy_partitions, fits_broadcast, materialize, salted_join, slice_rows
@@ -22,6 +26,11 @@ SHARD_PAIRS = 2_000_000
 
 INSERTION_ORDER = ("doc_ord", "chunk_index")
 
+# Words that are brought together at once, and postings of one list and of one Arrow batch at most.
+LIST_WORDS, LIST_POSTINGS, SENT_POSTINGS = 4_000_000, 8_192, 200_000
+# Columns of a posting, and the arrays of a list that hold them.
+LISTS = {"chunk_id": "chunk_ids", "doc_ord": "doc_ords", "chunk_index": "chunk_indexes", "tf": "tfs", "dl": "dls"}
+
 
 def term_bucket(buckets: int) -> Column:
     """Storage folder of a posting's term."""
@@ -37,27 +46,72 @@ def in_folders_of(table: DataFrame, words: DataFrame, buckets: int | None) -> Da
     return table.where(F.col("bucket").isin(folders))
 
 
-def build_postings(chunks: DataFrame) -> DataFrame:
-    """(term, chunk_id, doc_ord, chunk_index, tf, dl), one row per distinct term of a chunk.
-
-    Counting happens inside each chunk's row, so building postings is a map.
+def _lists_of(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The lists of some chunks: pairs of a word and a row are sorted, and runs of a pair are counted."""
+    words = rows["tokens"].combine_chunks()
+    size = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+    known, n = words.flatten().dictionary_encode(), len(words)
+    pairs = known.indices.to_numpy(zero_copy_only=False).astype(np.int64) * n + np.repeat(np.arange(n), size)
+    pairs.sort()
+    first = np.flatnonzero(np.diff(pairs, prepend=-1))
+    tf = np.diff(first, append=len(pairs)).astype(np.int32)
+    word, row = np.divmod(pairs[first], n)
+    # A list ends with its word, or when it is full.
+    within = np.arange(len(word)) - np.searchsorted(word, np.arange(len(known.dictionary)))[word]
+    starts = np.flatnonzero(within % LIST_POSTINGS == 0)
+    ends = np.append(starts[1:], len(word))
+    low = 0
+    while low < len(starts):
+        high = max(low + 1, int(np.searchsorted(ends, starts[low] + SENT_POSTINGS, "right")))
+        own = slice(starts[low], ends[high - 1])
+        offsets = pa.array(np.append(starts[low:high], ends[high - 1]) - starts[low], pa.int32())
+        held = pa.array(row[own])
+        # One chunk per column: `rows` was combined.
+        fields = [rows[name].chunk(0).take(held) for name in ("chunk_id", *INSERTION_ORDER)]
+        fields += [pa.array(tf[own]), pa.array(size[row[own]].astype(np.int32))]
+        lists = [pa.ListArray.from_arrays(offsets, f) for f in fields]
+        yield pa.RecordBatch.from_arrays([known.dictionary.take(pa.array(word[starts[low:high]])), *lists], ["term", *LISTS.values()])
+        low = high
+
+
+def posting_lists(chunks: DataFrame) -> DataFrame:
+    """(term, chunk_ids, doc_ords, chunk_indexes, tfs, dls): postings of a word, several to a row.
+
+    A map: each task brings the words of some chunks together, so a word has one or more lists per task. They are moved and
+    written in a fraction of the time that a row per posting takes.
     """
-    tokens = tokenize(F.col("text"))
-    return (
-        chunks.select("chunk_id", *INSERTION_ORDER, tokens.alias("_tokens"))
-        .select(
-            "chunk_id",
-            *INSERTION_ORDER,
-            F.size("_tokens").alias("dl"),
-            F.explode(term_counts(F.col("_tokens"))).alias("_t"),
-        )
-        .select("_t.term", "chunk_id", *INSERTION_ORDER, "_t.tf", "dl")
-    )
+    columns = ("chunk_id", *INSERTION_ORDER)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, held = [], 0
+        for batch in batches:
+            waiting.append(batch)
+            held += batch.num_rows + len(batch["tokens"].flatten())
+            if held >= LIST_WORDS:
+                yield from _lists_of(pa.Table.from_batches(waiting).combine_chunks())
+                waiting, held = [], 0
+        if held:
+            yield from _lists_of(pa.Table.from_batches(waiting).combine_chunks())
+
+    kinds = [chunks.schema[c].dataType.simpleString() for c in columns] + ["int", "int"]
+    schema = ", ".join(["term string", *(f"{name} array<{kind}>" for name, kind in zip(LISTS.values(), kinds))])
+    return chunks.select(*columns, tokenize(F.col("text")).alias("tokens")).mapInArrow(work, schema)
+
+
+def unlisted(lists: DataFrame, *more: str) -> DataFrame:
+    """(term, chunk_id, doc_ord, chunk_index, tf, dl, more), one row per posting."""
+    rows = lists.select("term", F.posexplode("chunk_ids").alias("_at", "chunk_id"), *list(LISTS.values())[1:], *more)
+    return rows.select("term", "chunk_id", *(F.get(array, "_at").alias(c) for c, array in list(LISTS.items())[1:]), *more)
+
+
+def build_postings(chunks: DataFrame) -> DataFrame:
+    """(term, chunk_id, doc_ord, chunk_index, tf, dl), one row per distinct term of a chunk; a map, without a shuffle."""
+    return unlisted(posting_lists(chunks))
 
 
 def chunk_lengths(chunks: DataFrame) -> DataFrame:
     """(chunk_id, doc_ord, chunk_index, dl), including chunks without a single token."""
-    return chunks.select("chunk_id", *INSERTION_ORDER, F.size(tokenize(F.col("text"))).alias("dl"))
+    return chunks.select("chunk_id", *INSERTION_ORDER, word_count(F.col("text")).alias("dl"))
 
 
 def term_frequencies(postings: DataFrame) -> DataFrame:
@@ -65,6 +119,11 @@ def term_frequencies(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count("*").alias("df"))
 
 
+def list_frequencies(lists: DataFrame) -> DataFrame:
+    """The same, from lists."""
+    return lists.groupBy("term").agg(F.sum(F.size("tfs")).alias("df"))
+
+
 def raw_idf(n_chunks: int, df: Column) -> Column:
     return F.log(F.lit(float(n_chunks)) - df + 0.5) - F.log(df + 0.5)
 
@@ -91,10 +150,10 @@ class SparseIndex:
     @classmethod
     def build(cls, chunks: DataFrame) -> "SparseIndex":
         """Tokenise once, keep the tables on shared storage."""
-        postings = materialize(build_postings(chunks), "postings")
+        lists = materialize(posting_lists(chunks), "postings")
         members = materialize(chunk_lengths(chunks), "members")
         n_chunks, total = members.agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0))).first()
-        return cls.of(postings, members, materialize(term_frequencies(postings), "terms"), n_chunks, total)
+        return cls.of(unlisted(lists), members, materialize(list_frequencies(lists), "terms"), n_chunks, total)
 
     @classmethod
     def of(

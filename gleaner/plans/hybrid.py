@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.config import IndexConfig
-from gleaner.functions.text import tokenize
+from gleaner.functions.text import word_count
 from gleaner.functions.vectors import require_dimension
 from gleaner.operators.chunk import chunk_documents
 from gleaner.operators.dense import Cells, exact_search, ivf_search, tuned_nprobe
@@ -27,9 +27,10 @@ from gleaner.operators.sparse import (
     INSERTION_ORDER,
     SparseIndex,
     bm25_search,
-    build_postings,
     in_folders_of,
+    list_frequencies,
     merge_signed,
+    posting_lists,
     term_bucket,
     term_frequencies,
 )
@@ -158,7 +159,7 @@ class HybridIndex:
         for name, kind in OPTIONAL_COLUMNS.items():
             if name not in placed.columns:
                 placed = placed.withColumn(name, F.lit(None).cast(kind))
-        self._write_chunks(self.store, placed.withColumn("dl", F.size(tokenize(F.col("text")))), batch)
+        self._write_chunks(self.store, placed.withColumn("dl", word_count(F.col("text"))), batch)
         new = read_table(self.spark, f"{self.store.path}/chunks/batch={batch}")
         if new is None:  # folders without rows leave no file
             return 0
@@ -177,11 +178,7 @@ class HybridIndex:
         replace = self._replace_old if filtered else self._replace_unfiltered
         now = replace(new, old, now, batch, on_conflict)
 
-        postings = build_postings(new).select("*", term_bucket(self.config.term_buckets))
-        self.store.write(postings, "postings", batch, "bucket")
-        # With a schema: texts without a word leave no file.
-        added = self.spark.read.schema(postings.schema).parquet(f"{self.store.path}/postings/batch={batch}")
-        frequencies = term_frequencies(added)
+        frequencies = list_frequencies(self._write_postings(self.store, new, batch))
         if batch in now.replaced:
             gone = self.spark.read.parquet(f"{self.store.path}/dropped/batch={batch}")
             lost = term_frequencies(self.store.read("postings", old).join(gone, "chunk_id", "left_semi"))
@@ -204,6 +201,13 @@ class HybridIndex:
         else:
             store.write(chunks, "chunks", batch)
 
+    def _write_postings(self, store: IndexStore, chunks: DataFrame, batch: int) -> DataFrame:
+        """The lists of some chunks, in folders by word, as written."""
+        lists = posting_lists(chunks).select("*", term_bucket(self.config.term_buckets))
+        store.write(lists, "posting_lists", batch, "bucket")
+        # With a schema: texts without a word leave no file.
+        return self.spark.read.schema(lists.schema).parquet(f"{store.path}/posting_lists/batch={batch}")
+
     def _write_tiers(self, new: DataFrame, frequencies: DataFrame, old: Manifest, now: Manifest, batch: int) -> Manifest:
         """Term counts, changes of the number of words per frequency, and id filters of a batch; then merges that are due."""
         own, buckets = [0, batch, batch], self.config.term_buckets
@@ -352,8 +356,12 @@ class HybridIndex:
                 copy.write(self.store.read("chunks", m).drop("batch"), "chunks", 0, CHUNK_FOLDER, gathered=True)
             else:
                 self._write_chunks(copy, self.chunks, 0)
-            copy.write(self.store.read("postings", m).drop("batch"), "postings", 0, "bucket", gathered=single)
             written = self.spark.read.parquet(f"{copy.path}/chunks/batch=0")
+            lists = None if m.replaced or self.store.table("postings", m) is not None else self.store.table("posting_lists", m)
+            if lists is None:  # some postings are gone, or lie row by row
+                self._write_postings(copy, written, 0)
+            else:
+                copy.write(lists.drop("batch"), "posting_lists", 0, "bucket", gathered=single)
             twin = HybridIndex(self.spark, path, self.config, self.encoder, done)
             done = twin._write_tiers(written, self.sparse.terms, done, done, 0)
             if m.cells is None:

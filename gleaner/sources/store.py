@@ -14,6 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleaner.operators.sparse import unlisted
 from gleaner.runtime import read_table
 
 FORMAT = 1
@@ -117,12 +118,28 @@ class IndexStore:
             return None
         return self.spark.read.schema(TIERED[table]).option("basePath", f"{self.path}/{table}").parquet(*paths)
 
-    def read(self, table: str, manifest: Manifest, since: int = 0) -> DataFrame | None:
-        """Committed rows of a table; rows of replaced chunks are left out."""
+    def table(self, table: str, manifest: Manifest, since: int = 0) -> DataFrame | None:
+        """Committed rows of a table as they were written."""
         rows = read_table(self.spark, f"{self.path}/{table}")
+        return None if rows is None else rows.where((F.col("batch") < manifest.batches) & (F.col("batch") >= since))
+
+    def _postings(self, manifest: Manifest, since: int) -> DataFrame | None:
+        """A row per posting, of lists and of batches that an earlier version wrote row by row."""
+        lists, rows = (self.table(name, manifest, since) for name in ("posting_lists", "postings"))
+        if lists is None:
+            return rows
+        listed = unlisted(lists, "bucket", "batch")
+        if rows is None:
+            return listed
+        # An attempt that failed before its batch was written as lists may have left rows.
+        rows = rows.join(F.broadcast(lists.select("batch").distinct()), "batch", "left_anti")
+        return listed.unionByName(rows)
+
+    def read(self, table: str, manifest: Manifest, since: int = 0) -> DataFrame | None:
+        """Committed rows of a table, row by row; rows of replaced chunks are left out."""
+        rows = self._postings(manifest, since) if table == "postings" else self.table(table, manifest, since)
         if rows is None:
             return None
-        rows = rows.where((F.col("batch") < manifest.batches) & (F.col("batch") >= since))
         if manifest.replaced and "chunk_id" in rows.columns:
             gone = self.dropped(manifest)
             rows = rows.join(
