@@ -20,6 +20,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -41,6 +42,8 @@ BUCKET_ROWS = 1_000
 BUCKETS = 200_000
 # Characters of texts whose words are encoded together, and of texts that are split and looked up at once.
 BULK, SLICE = 16 << 20, 2 << 20
+# Words and their bytes that a worker remembers from batch to batch and from task to task.
+KNOWN_WORDS, KNOWN_BYTES = 1_000_000, 16 << 20
 
 
 class WordTokenizer:
@@ -49,7 +52,8 @@ class WordTokenizer:
     The vocabulary lower-cases, drops white space, splits what stands between it by a pattern and merges within these parts,
     so a text's ids are those of its words, here all between ASCII white space, in turn. New words are encoded many in one text: the
     last id of a part is known by its word end. Texts with other characters, where normal forms may join across
-    words, and texts that hold one of the vocabulary's special strings are encoded whole.
+    words, and texts that hold one of the vocabulary's special strings are encoded whole. What was learned is remembered, up to
+    `KNOWN_WORDS`.
     """
 
     def __init__(self, path: str):
@@ -73,6 +77,26 @@ class WordTokenizer:
         self.merges = Tokenizer.from_str(json.dumps(settings))
         letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.spelled = {c: letters.pre_tokenize_str(chr(c))[0][0] for c in range(256) if chr(c) != " "}
+        # Remembered words, and their ids as `learn` gives them.
+        self.words, self.ids, self.starts = pa.array([], pa.large_string()), np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def known(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first, size): the ids of distinct word w are ids[first[w]:first[w] + size[w]]; only new words are encoded."""
+        place = pc.index_in(words, value_set=self.words)
+        new = words.filter(place.is_null())
+        made, starts = self.learn(new.to_pylist())
+        place = place.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[place < 0] = len(self.words) + np.arange(len(new))
+        ids, starts = np.concatenate((self.ids, made)), np.concatenate((self.starts, starts[1:] + self.starts[-1]))
+        room = min(KNOWN_WORDS - len(self.words), len(new))
+        # The first new words, while they are short enough together.
+        chars = np.cumsum(pc.binary_length(new).to_numpy(zero_copy_only=False)) + self.words.nbytes
+        room = max(0, min(room, int(np.searchsorted(chars, KNOWN_BYTES, "right"))))
+        if room:
+            n = len(self.words) + room
+            self.words = pa.concat_arrays([self.words, new.slice(0, room)])
+            self.ids, self.starts = ids[: starts[n]].copy(), starts[: n + 1].copy()
+        return ids, starts[place], np.diff(starts)[place]
 
     def learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, starts): the ids of word w are ids[starts[w]:starts[w + 1]]."""
@@ -98,10 +122,10 @@ class WordTokenizer:
         text = text.lower()
         return None if any(special in text for special in self.special) else text
 
-    def split(self, texts: list[str]) -> tuple[list[str], list[np.ndarray], np.ndarray]:
+    def split(self, texts: list[str]) -> tuple[pa.Array, list[np.ndarray], np.ndarray]:
         """(distinct words, numbers of each slice's words, words of each text; none where a text is left to the library).
 
-        Split and told apart by Arrow, a slice at a time, so that only distinct words become Python objects.
+        Split and told apart by Arrow, a slice at a time; no word becomes a Python object here.
         """
         parts, lengths, sizes = [], [], np.fromiter(map(len, texts), np.int64, len(texts))
         cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE)) + 1).tolist(), len(texts)]
@@ -110,15 +134,15 @@ class WordTokenizer:
             lengths.append(pc.fill_null(pc.list_value_length(words), -1).to_numpy(zero_copy_only=False))
             parts.append(words.flatten().dictionary_encode())
         shared = pa.chunked_array(parts).unify_dictionaries()
-        return shared.chunk(0).dictionary.to_pylist(), [c.indices.to_numpy() for c in shared.chunks], np.concatenate(lengths)
+        return shared.chunk(0).dictionary, [c.indices.to_numpy() for c in shared.chunks], np.concatenate(lengths)
 
     def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text; a batch of many texts encodes each of its words once."""
         if not texts:
             return
         words, numbers, lengths = self.split(texts)
-        known, starts = self.learn(words)
-        sizes, k = np.diff(starts), 0
+        known, starts, sizes = self.known(words)
+        k = 0
         for own in numbers:
             upto = np.concatenate(([0], np.cumsum(sizes[own])))
             place = np.repeat(starts[own] - upto[:-1], sizes[own])
@@ -133,13 +157,27 @@ class WordTokenizer:
                 k += 1
 
 
+@lru_cache(maxsize=2)
+def _kept(path: str) -> WordTokenizer:
+    return WordTokenizer(path)
+
+
+def tokenizer_of(path: str) -> WordTokenizer:
+    """One per worker process, so that later tasks know the words of earlier ones; one per task where workers lack this module."""
+    try:
+        from gleaner.llm import packing
+    except ImportError:
+        return WordTokenizer(path)
+    return packing._kept(path)
+
+
 def pieces_of(frame: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
               sequence: int = SEQUENCE, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """(id, start, length, ids_crc32, doc_tokens, ids): texts cut every `sequence` ids; ids are null unless asked for."""
     end = np.array([end_id], np.uint32)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = tokenizer_of(tokenizer_path)
         for batch in in_bulk(batches, "text", BULK):
             rows = []
             for key, own in zip(batch["id"].tolist(), tokenizer.batch(batch["text"].tolist()), strict=True):

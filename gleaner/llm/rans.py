@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner.llm.common import id_and_text, in_bulk
-from gleaner.llm.packing import BULK, WordTokenizer
+from gleaner.llm.packing import BULK, tokenizer_of
 from gleaner.runtime import materialize
 
 END_ID = 1
@@ -294,7 +294,7 @@ def token_ids(frame: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
         raise ValueError(f"ids are whole numbers, not {kind.simpleString()}")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = tokenizer_of(tokenizer_path)
         size = max(tokenizer.model.get_vocab_size(), end_id + 1)
         narrow, counts = "<u2" if size <= 1 << 16 else "<u4", np.zeros(size, "<u8")
         for batch in in_bulk(batches, "text", BULK):
