@@ -28,6 +28,8 @@ INSERTION_ORDER = ("doc_ord", "chunk_index")
 
 # Words that are brought together at once, and postings of one list and of one Arrow batch at most.
 LIST_WORDS, LIST_POSTINGS, SENT_POSTINGS = 4_000_000, 8_192, 200_000
+# Chunks are too many for a dictionary of their values, which is given up only after it was filled.
+LIST_OPTIONS = {f"parquet.enable.dictionary#{array}.list.element": "false" for array in ("chunk_ids", "doc_ords")}
 # Columns of a posting, and the arrays of a list that hold them.
 LISTS = {"chunk_id": "chunk_ids", "doc_ord": "doc_ords", "chunk_index": "chunk_indexes", "tf": "tfs", "dl": "dls"}
 
@@ -150,7 +152,7 @@ class SparseIndex:
     @classmethod
     def build(cls, chunks: DataFrame) -> "SparseIndex":
         """Tokenise once, keep the tables on shared storage."""
-        lists = materialize(posting_lists(chunks), "postings")
+        lists = materialize(posting_lists(chunks), "postings", options=LIST_OPTIONS)
         members = materialize(chunk_lengths(chunks), "members")
         n_chunks, total = members.agg(F.count("*"), F.coalesce(F.sum("dl"), F.lit(0))).first()
         return cls.of(unlisted(lists), members, materialize(list_frequencies(lists), "terms"), n_chunks, total)

@@ -25,6 +25,7 @@ from gleaner.operators.post import (
 )
 from gleaner.operators.sparse import (
     INSERTION_ORDER,
+    LIST_OPTIONS,
     SparseIndex,
     bm25_search,
     in_folders_of,
@@ -204,7 +205,7 @@ class HybridIndex:
     def _write_postings(self, store: IndexStore, chunks: DataFrame, batch: int) -> DataFrame:
         """The lists of some chunks, in folders by word, as written."""
         lists = posting_lists(chunks).select("*", term_bucket(self.config.term_buckets))
-        store.write(lists, "posting_lists", batch, "bucket")
+        store.write(lists, "posting_lists", batch, "bucket", options=LIST_OPTIONS)
         # With a schema: texts without a word leave no file.
         return self.spark.read.schema(lists.schema).parquet(f"{store.path}/posting_lists/batch={batch}")
 
@@ -361,7 +362,7 @@ class HybridIndex:
             if lists is None:  # some postings are gone, or lie row by row
                 self._write_postings(copy, written, 0)
             else:
-                copy.write(lists.drop("batch"), "posting_lists", 0, "bucket", gathered=single)
+                copy.write(lists.drop("batch"), "posting_lists", 0, "bucket", gathered=single, options=LIST_OPTIONS)
             twin = HybridIndex(self.spark, path, self.config, self.encoder, done)
             done = twin._write_tiers(written, self.sparse.terms, done, done, 0)
             if m.cells is None:

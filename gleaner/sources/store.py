@@ -96,13 +96,16 @@ class IndexStore:
         row.coalesce(1).write.mode("error").parquet(f"{self.path}/manifest/v={self.version + 1}")
         self.version += 1
 
-    def write(self, df: DataFrame, table: str, batch: int, partition_by: str | None = None, gathered: bool = False) -> None:
+    def write(
+        self, df: DataFrame, table: str, batch: int, partition_by: str | None = None, gathered: bool = False,
+        options: dict[str, str] | None = None,
+    ) -> None:
         """`gathered` rows are read from such folders already and are not shuffled again."""
         writer = df.write.mode("overwrite")
         if partition_by:
             rows = df if gathered else df.hint("rebalance", partition_by)
             writer = rows.write.mode("overwrite").partitionBy(partition_by)
-        writer.parquet(f"{self.path}/{table}/batch={batch}")
+        writer.options(**(options or {})).parquet(f"{self.path}/{table}/batch={batch}")
 
     def write_tier(self, df: DataFrame, table: str, tier: list[int], partition_by: str | None = None) -> None:
         rows = df.hint("rebalance", partition_by) if partition_by else df
