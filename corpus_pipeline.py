@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences, in five stages.
 
 Each stage takes (spark, docs, folder) and returns a DataFrame; what it returns is written and read again
-before the next one. All but the last return the columns of `documents`.
+before the next one. All but the last return the columns of `documents`. Stages that run Python leave the session with small
+Arrow batches (`small_arrow_batches`), as their workers stay from stage to stage.
 """
 
 from __future__ import annotations
@@ -13,11 +14,12 @@ from pyspark.sql import functions as F
 
 from gleaner.llm import packing, pii, quality, simhash, toxicity
 from gleaner.llm.common import WORD_BPE, table
-from gleaner.runtime import materialize
+from gleaner.runtime import materialize, small_arrow_batches
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents scored as toxic by a model of this very input go."""
+    small_arrow_batches(spark)
     model = toxicity.ToxicityModel.train(docs, table(spark, folder, "labels"))
     return model.filter_documents(docs)
 
@@ -29,16 +31,19 @@ def apply_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of each group of fingerprints linked within the operator's bit distance the document with the smallest id stays."""
+    small_arrow_batches(spark)
     return simhash.keep_one(docs)
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Personal data gives way to the name of its kind; n_chars follows the new text."""
+    small_arrow_batches(spark)
     return pii.redact(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pieces of at most 4096 tokens with their sequence and offset."""
+    small_arrow_batches(spark)
     return packing.pack(docs, WORD_BPE).select(
         F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "padded_to"
     )

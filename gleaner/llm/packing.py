@@ -42,8 +42,12 @@ BUCKET_ROWS = 1_000
 BUCKETS = 200_000
 # Characters of texts whose words are encoded together, and of texts that are split and looked up at once.
 BULK, SLICE = 16 << 20, 2 << 20
+# Characters of texts that are cut into pieces together; fewer, as the stages of a pipeline share the worker's memory.
+PIECES = 8 << 20
 # Words and their bytes that a worker remembers from batch to batch and from task to task.
-KNOWN_WORDS, KNOWN_BYTES = 1_000_000, 16 << 20
+KNOWN_WORDS, KNOWN_BYTES = 1_000_000, 8 << 20
+# New words that are Python objects at a time.
+NEW_WORDS = 50_000
 
 
 class WordTokenizer:
@@ -84,7 +88,7 @@ class WordTokenizer:
         """(ids, first, size): the ids of distinct word w are ids[first[w]:first[w] + size[w]]; only new words are encoded."""
         place = pc.index_in(words, value_set=self.words)
         new = words.filter(place.is_null())
-        made, starts = self.learn(new.to_pylist())
+        made, starts = self.learn_all(new)
         place = place.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
         place[place < 0] = len(self.words) + np.arange(len(new))
         ids, starts = np.concatenate((self.ids, made)), np.concatenate((self.starts, starts[1:] + self.starts[-1]))
@@ -98,6 +102,15 @@ class WordTokenizer:
             self.ids, self.starts = ids[: starts[n]].copy(), starts[: n + 1].copy()
         return ids, starts[place], np.diff(starts)[place]
 
+    def learn_all(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """What `learn` gives, `NEW_WORDS` at a time."""
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+        for at in range(0, len(words), NEW_WORDS):
+            made, starts = self.learn(words.slice(at, NEW_WORDS).to_pylist())
+            ids.append(made)
+            sizes.append(np.diff(starts))
+        return np.concatenate(ids), np.cumsum(np.concatenate(sizes))
+
     def learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, starts): the ids of word w are ids[starts[w]:starts[w + 1]]."""
         split = [(w,) if w.isalpha() else self.parts(w) for w in words]
@@ -178,7 +191,7 @@ def pieces_of(frame: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = tokenizer_of(tokenizer_path)
-        for batch in in_bulk(batches, "text", BULK):
+        for batch in in_bulk(batches, "text", PIECES):
             rows = []
             for key, own in zip(batch["id"].tolist(), tokenizer.batch(batch["text"].tolist()), strict=True):
                 own = np.concatenate((own, end)).astype("<u4")

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import ROW, by_text_bytes, id_and_text, map_texts, packed
+from gleaner.llm.common import ROW, by_text_bytes, id_and_text, map_texts, packed, released
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "ssn", "secret")
@@ -216,9 +216,13 @@ def redacted(text: str, kinds: tuple[str, ...] = KINDS) -> str:
 def redact(frame: DataFrame, text_col: str = "text", kinds: tuple[str, ...] = KINDS) -> DataFrame:
     """The frame with personal data in its text column replaced; null texts stay null."""
 
+    def work(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(lambda t: None if t is None else redacted(t, kinds))
+
     @F.pandas_udf("string")
-    def clean(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else redacted(t, kinds))
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return released(work)(batches)
 
     rows = packed(frame).withColumn("__clean", clean(F.col(ROW)[text_col].cast("string")))
     return rows.select(

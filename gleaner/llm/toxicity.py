@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import ROW, by_text_bytes, id_and_text, map_texts, packed
+from gleaner.llm.common import ROW, by_text_bytes, id_and_text, in_bulk, map_texts, packed, released
 from gleaner.runtime import materialize
 
 MAX_LABELLED = 20_000
@@ -38,6 +38,8 @@ MIN_KINDS = 4  # different words that must share a beginning before it counts
 PREFIXES = (3, 4, 5, 6)
 DEVIATIONS = 2.5
 TOP = 3
+# Characters of labelled texts whose words are counted together.
+COUNTED = 8 << 20
 
 # Letters below U+0100 in lower case, and the signs that imitate letters.
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
@@ -102,7 +104,7 @@ def character_counts(frame: DataFrame, id_col: str = "doc_id", text_col: str = "
         seen = np.flatnonzero(total)
         yield pd.DataFrame({"code": seen, "n": total[seen]})
 
-    counts = id_and_text(frame, id_col, text_col).mapInPandas(work, "code bigint, n bigint")
+    counts = id_and_text(frame, id_col, text_col).mapInPandas(released(work), "code bigint, n bigint")
     return counts.groupBy("code").agg(F.sum("n").alias("n"))
 
 
@@ -341,7 +343,7 @@ def word_counts(labelled: DataFrame, model: CharacterModel) -> DataFrame:
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         restorer = Restorer(model)
-        for batch in by_text_bytes(batches, "text"):
+        for batch in in_bulk(batches, "text", COUNTED):  # the more texts, the fewer rows
             counts: dict[str, list[int]] = {}
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
                 for word in restorer.words(text)[1]:
@@ -350,7 +352,7 @@ def word_counts(labelled: DataFrame, model: CharacterModel) -> DataFrame:
                 {"word": list(counts), "toxic": [x[0] for x in counts.values()], "clean": [x[1] for x in counts.values()]}
             )
 
-    made = labelled.mapInPandas(work, "word string, toxic bigint, clean bigint")
+    made = labelled.mapInPandas(released(work), "word string, toxic bigint, clean bigint")
     return made.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -496,11 +498,14 @@ class ToxicityModel:
         """The rows scored below the threshold, with the columns they came with."""
         model, weights = self.characters, self.weights
 
-        @F.pandas_udf("double")
-        def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def work(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             scorer = Scorer(model, weights)
             for texts in batches:
                 yield pd.Series([scorer.score(scorer.evidence(t or "")[1]) for t in texts], dtype="float64")
 
+        @F.pandas_udf("double")
+        def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            return released(work)(batches)
+
         rows = packed(frame).withColumn("__score", scores(F.col(ROW)[text_col].cast("string")))
         return rows.where(F.col("__score") < threshold).select(f"{ROW}.*")
