@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import os
 import re
 import zipfile
 from collections.abc import Callable
@@ -11,13 +12,14 @@ from posixpath import commonprefix
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import strip
 from gleaner.operators.ranking import positions
-from gleaner.runtime import fits_broadcast
+from gleaner.runtime import fits_broadcast, materialize
 
 # The file types that are read.
 PLAIN = (".txt", ".md")
@@ -26,6 +28,8 @@ SUFFIXES = (*PLAIN, *PARSED)
 
 # Names of a folder up to which a pattern lists them one by one.
 PATTERN_NAMES = 1_000
+# Spark plans a small file as 4 MB, a task for 32 of them; so many such tasks are made one.
+TASKS_TOGETHER = 16
 
 _FILES = "path string, content binary"
 # An extractor turns the bytes of one file into its parts: pages or paragraphs.
@@ -132,6 +136,8 @@ def _extract(files: DataFrame, extractors: dict[str, Extractor]) -> DataFrame:
             errors.append(error)
         return pd.DataFrame({"parts": parts, "error": errors})
 
+    # A condition on what it returns must not be asked below the scan's tasks again: each file is parsed once.
+    parse = parse.asNondeterministic()
     kind = suffix(F.col("path"))
     content = F.col("content")
     rows = files.select(
@@ -148,6 +154,20 @@ def _extract(files: DataFrame, extractors: dict[str, Extractor]) -> DataFrame:
     )
 
 
+def fewer_tasks(files: DataFrame) -> DataFrame:
+    """A scan of many small files without a task for every few of them."""
+    planned = files.rdd.getNumPartitions()
+    wanted = max(4 * files.sparkSession.sparkContext.defaultParallelism, planned // TASKS_TOGETHER)
+    return files.coalesce(wanted) if wanted < planned else files
+
+
+def local_folder(spark: SparkSession, path: str) -> str | None:
+    """The folder as the operating system names it, where the path lies on a disk; None for other storage."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return root.toUri().getPath() if system.getUri().getScheme() == "file" else None
+
+
 def read_directory(
     spark: SparkSession,
     directory: str,
@@ -173,9 +193,9 @@ def read_directory(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         files = spark.createDataFrame([], _FILES)
-    # Only paths are sorted; contents stay where they are read.
-    order = positions(files.select("path"), "path", into="doc_ord")
-    numbered = files.select("path", "content").join(order, "path")
+    # Only paths are sorted, from a table of their own: each pass over the files asks for the status of every one.
+    order = positions(materialize(fewer_tasks(files.select("path")), "paths"), "path", into="doc_ord")
+    numbered = fewer_tasks(files.select("path", "content")).join(F.broadcast(order) if fits_broadcast(order, "path") else order, "path")
     root = spark._jvm.org.apache.hadoop.fs.Path(directory)
     full = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString().rstrip("/")
     name = None if ids == "stem" else F.substr(local_path(F.col("path")), F.length(local_path(F.lit(full))) + 2)
@@ -186,6 +206,9 @@ def read_directory(
 
 def _hidden_files(spark: SparkSession, directory: str, recursive: bool) -> list[str]:
     """Supported files that Spark's listing leaves out; asked level by level, only hidden names are returned."""
+    folder = local_folder(spark, directory)
+    if folder is not None:
+        return _hidden_on_disk(folder, recursive)
     jvm = spark._jvm
     system = jvm.org.apache.hadoop.fs.Path(directory).getFileSystem(spark._jsc.hadoopConfiguration())
     found, level = [], escaped(directory.rstrip("/"))
@@ -200,6 +223,16 @@ def _hidden_files(spark: SparkSession, directory: str, recursive: bool) -> list[
             return found
 
 
+def _hidden_on_disk(folder: str, recursive: bool) -> list[str]:
+    """The same from the names alone: Hadoop would ask for the status of each file, once per level."""
+    found = []
+    for at, below, names in os.walk(folder, followlinks=True):
+        hidden = [os.path.join(at, n) for n in names if n.startswith(("_", ".")) and n.lower().endswith(SUFFIXES)]
+        found += [f"file:{p}" for p in hidden if os.path.isfile(p)]
+        below[:] = [b for b in below if not b.startswith(("_", "."))] if recursive else []
+    return found
+
+
 def escaped(path: str) -> str:
     """A path as a pattern that matches only itself."""
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
@@ -234,10 +267,11 @@ def read_files(
         if system.globStatus(jvm.org.apache.hadoop.fs.Path(pattern)):
             patterns.append(pattern)
     wanted = []
-    for position, path in enumerate(paths):
+    for path in paths:
         folder, _, name = path.rpartition("/")
-        wanted.append((f"{full[folder or ('/' if path.startswith('/') else '.')]}/{name}", path, position))
-    table = spark.createDataFrame(wanted, "path string, given string, doc_ord bigint")
+        wanted.append(f"{full[folder or ('/' if path.startswith('/') else '.')]}/{name}")
+    columns = {"path": pa.array(wanted, pa.string()), "given": pa.array(paths, pa.string()), "doc_ord": pa.array(range(len(paths)), pa.int64())}
+    table = spark.createDataFrame(pa.table(columns))
     files = spark.createDataFrame([], _FILES)
     # Folders that a pattern meets are no tables by partition.
     reader = lambda: spark.read.format("binaryFile").option("recursiveFileLookup", True)
@@ -250,7 +284,7 @@ def read_files(
         own = F.regexp_replace("path", r"(?s)/[^/]*\z", "").isin(crowded)
         files = files.where(~own).unionByName(many.where(own)) if patterns else many
     places = table.select("path", "doc_ord")
-    found = files.join(F.broadcast(places) if fits_broadcast(places, "path") else places, "path")
+    found = fewer_tasks(files).join(F.broadcast(places) if fits_broadcast(places, "path") else places, "path")
     hidden = file_name(F.col("path")).rlike("^[_.]")
     reason = F.when(hidden, "hidden file names are not read; rename the file").otherwise(F.concat(F.lit("FileNotFoundError: "), F.col("given")))
     missing = table.join(files.select("path").distinct(), "path", "left_anti").select(F.col("given").alias("path"), reason.alias("error"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import os
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,7 +46,9 @@ from gleaner.sources.files import (
     FileDocuments,
     assemble_parts,
     escaped,
+    fewer_tasks,
     file_name,
+    local_folder,
     read_directory,
     read_files,
     stem,
@@ -590,9 +595,28 @@ def _as_files(c: Corpus) -> str:
     """One text file per document, its id on the first line."""
     path = scratch_path(c.spark, "files")
     lines = c.table("documents").select(F.concat_ws("\n", F.col("doc_id").cast("string"), "text").alias("value"))
-    # Tasks put their files in place themselves: the driver would move so many one by one.
-    writer = lines.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", 2)
-    writer.text(path)
+    folder = local_folder(c.spark, path)
+    if folder is None:
+        # Tasks put their files in place themselves: the driver would move so many one by one.
+        writer = lines.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", 2)
+        writer.text(path)
+        return path
+    os.makedirs(folder)
+
+    # On a disk that all tasks share, Hadoop starts processes for the permissions of each file; plain files need none.
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, number = TaskContext.get(), 0
+        started = os.path.join(folder, f".{task.taskAttemptId()}")
+        for batch in batches:
+            for value in batch["value"]:
+                # Named by its place, so that a task that is run again writes the same files.
+                with open(started, "wb") as file:
+                    file.write(value.as_py() + b"\n")
+                os.replace(started, os.path.join(folder, f"part-{task.partitionId():05d}-{number:07d}.txt"))
+                number += 1
+        yield pa.RecordBatch.from_pydict({"n": pa.array([number], pa.int64())})
+
+    lines.select(F.col("value").cast("binary").alias("value")).mapInArrow(write, "n bigint").agg(F.sum("n")).collect()
     return path
 
 
@@ -614,7 +638,7 @@ def q_files_list(c: Corpus) -> DataFrame:
     """The same files by a list of their paths."""
     path = _as_files(c)
     files = c.spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path")
-    return _file_rows(read_files(c.spark, [r["path"] for r in files.collect()]))
+    return _file_rows(read_files(c.spark, fewer_tasks(files).toArrow()["path"].to_pylist()))
 
 
 def q_inline_texts(c: Corpus) -> DataFrame:
