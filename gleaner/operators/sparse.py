@@ -28,8 +28,10 @@ INSERTION_ORDER = ("doc_ord", "chunk_index")
 
 # Words that are brought together at once, and postings of one list and of one Arrow batch at most.
 LIST_WORDS, LIST_POSTINGS, SENT_POSTINGS = 4_000_000, 8_192, 200_000
-# Chunks are too many for a dictionary of their values, which is given up only after it was filled.
+# Chunks are too many for a dictionary of their values, which is given up only after it was filled. Lists are in insertion order:
+# as differences to the one before, chunk ids and orders take a fraction of their room.
 LIST_OPTIONS = {f"parquet.enable.dictionary#{array}.list.element": "false" for array in ("chunk_ids", "doc_ords")}
+LIST_OPTIONS |= {"parquet.writer.version": "v2", "compression": "zstd"}
 # Columns of a posting, and the arrays of a list that hold them.
 LISTS = {"chunk_id": "chunk_ids", "doc_ord": "doc_ords", "chunk_index": "chunk_indexes", "tf": "tfs", "dl": "dls"}
 
@@ -49,15 +51,19 @@ def in_folders_of(table: DataFrame, words: DataFrame, buckets: int | None) -> Da
 
 
 def _lists_of(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    """The lists of some chunks: pairs of a word and a row are sorted, and runs of a pair are counted."""
+    """The lists of some chunks: pairs of a word and a row, in insertion order, are sorted, and runs of a pair are counted."""
     words = rows["tokens"].combine_chunks()
     size = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
     known, n = words.flatten().dictionary_encode(), len(words)
-    pairs = known.indices.to_numpy(zero_copy_only=False).astype(np.int64) * n + np.repeat(np.arange(n), size)
+    order = np.lexsort([pc.fill_null(rows[name].chunk(0), 0).to_numpy(zero_copy_only=False) for name in reversed(INSERTION_ORDER)])
+    place = np.empty(n, np.int64)
+    place[order] = np.arange(n)
+    pairs = known.indices.to_numpy(zero_copy_only=False).astype(np.int64) * n + np.repeat(place, size)
     pairs.sort()
     first = np.flatnonzero(np.diff(pairs, prepend=-1))
     tf = np.diff(first, append=len(pairs)).astype(np.int32)
     word, row = np.divmod(pairs[first], n)
+    row = order[row]
     # A list ends with its word, or when it is full.
     within = np.arange(len(word)) - np.searchsorted(word, np.arange(len(known.dictionary)))[word]
     starts = np.flatnonzero(within % LIST_POSTINGS == 0)

@@ -37,7 +37,7 @@ from gleaner.operators.sparse import (
 )
 from gleaner.runtime import fits_broadcast, materialize, read_table, scratch_path
 from gleaner.sources.registry import filters_of, may_hold
-from gleaner.sources.store import IndexStore, Manifest, grown
+from gleaner.sources.store import IndexStore, Manifest, gathers, grown
 
 
 # Columns of a chunk that callers of `add_chunks` may leave out.
@@ -45,6 +45,9 @@ OPTIONAL_COLUMNS = {"metadata": "map<string,string>", "start_char": "int", "end_
 
 
 CHUNK_FOLDER = "chunk_folder"
+TEXT_OPTIONS = {"compression": "zstd"}
+# Bytes of a word, with the blank after it or as a posting: to tell how much a task writes.
+WORD_BYTES = 6
 # Questions on which recall is measured when cells are trained.
 RECALL_SAMPLE = 1_000
 
@@ -151,7 +154,7 @@ class HybridIndex:
         batch = old.batches
         now = old.with_(batches=batch + 1, labels=[*old.labels, label] if label else old.labels)
 
-        first = ordered.agg(F.min("doc_ord")).first()[0]
+        first, size = ordered.agg(F.min("doc_ord"), F.sum(F.octet_length("text"))).first()
         if first is None:
             return 0
         # Insertion order goes on where the last batch ended.
@@ -160,7 +163,7 @@ class HybridIndex:
         for name, kind in OPTIONAL_COLUMNS.items():
             if name not in placed.columns:
                 placed = placed.withColumn(name, F.lit(None).cast(kind))
-        self._write_chunks(self.store, placed.withColumn("dl", word_count(F.col("text"))), batch)
+        self._write_chunks(self.store, placed.withColumn("dl", word_count(F.col("text"))), batch, size or 0)
         new = read_table(self.spark, f"{self.store.path}/chunks/batch={batch}")
         if new is None:  # folders without rows leave no file
             return 0
@@ -179,7 +182,7 @@ class HybridIndex:
         replace = self._replace_old if filtered else self._replace_unfiltered
         now = replace(new, old, now, batch, on_conflict)
 
-        frequencies = list_frequencies(self._write_postings(self.store, new, batch))
+        frequencies = list_frequencies(self._write_postings(self.store, new, batch, length))
         if batch in now.replaced:
             gone = self.spark.read.parquet(f"{self.store.path}/dropped/batch={batch}")
             lost = term_frequencies(self.store.read("postings", old).join(gone, "chunk_id", "left_semi"))
@@ -195,17 +198,20 @@ class HybridIndex:
         self._publish(now)
         return count
 
-    def _write_chunks(self, store: IndexStore, chunks: DataFrame, batch: int) -> None:
+    def _write_chunks(self, store: IndexStore, chunks: DataFrame, batch: int, size: int) -> None:
+        """Chunks of about `size` bytes of text, in folders by id."""
         buckets = self.config.chunk_buckets
         if buckets:
-            store.write(chunks.withColumn(CHUNK_FOLDER, chunk_bucket(F.col("chunk_id"), buckets)), "chunks", batch, CHUNK_FOLDER)
+            placed = chunks.withColumn(CHUNK_FOLDER, chunk_bucket(F.col("chunk_id"), buckets))
+            store.write(placed, "chunks", batch, CHUNK_FOLDER, gathers(chunks, buckets, size), TEXT_OPTIONS)
         else:
-            store.write(chunks, "chunks", batch)
+            store.write(chunks, "chunks", batch, options=TEXT_OPTIONS)
 
-    def _write_postings(self, store: IndexStore, chunks: DataFrame, batch: int) -> DataFrame:
-        """The lists of some chunks, in folders by word, as written."""
-        lists = posting_lists(chunks).select("*", term_bucket(self.config.term_buckets))
-        store.write(lists, "posting_lists", batch, "bucket", options=LIST_OPTIONS)
+    def _write_postings(self, store: IndexStore, chunks: DataFrame, batch: int, words: int) -> DataFrame:
+        """The lists of some chunks with so many words, in folders by word, as written."""
+        buckets = self.config.term_buckets
+        lists = posting_lists(chunks).select("*", term_bucket(buckets))
+        store.write(lists, "posting_lists", batch, "bucket", gathers(lists, buckets, words * WORD_BYTES), LIST_OPTIONS)
         # With a schema: texts without a word leave no file.
         return self.spark.read.schema(lists.schema).parquet(f"{store.path}/posting_lists/batch={batch}")
 
@@ -354,13 +360,13 @@ class HybridIndex:
             # The tables of one batch lie in their folders already; those of several are gathered.
             single = m.batches == 1
             if single and self.config.chunk_buckets:
-                copy.write(self.store.read("chunks", m).drop("batch"), "chunks", 0, CHUNK_FOLDER, gathered=True)
+                copy.write(self.store.read("chunks", m).drop("batch"), "chunks", 0, CHUNK_FOLDER, gathered=True, options=TEXT_OPTIONS)
             else:
-                self._write_chunks(copy, self.chunks, 0)
+                self._write_chunks(copy, self.chunks, 0, m.total_length * WORD_BYTES)
             written = self.spark.read.parquet(f"{copy.path}/chunks/batch=0")
             lists = None if m.replaced or self.store.table("postings", m) is not None else self.store.table("posting_lists", m)
             if lists is None:  # some postings are gone, or lie row by row
-                self._write_postings(copy, written, 0)
+                self._write_postings(copy, written, 0, m.total_length)
             else:
                 copy.write(lists.drop("batch"), "posting_lists", 0, "bucket", gathered=single, options=LIST_OPTIONS)
             twin = HybridIndex(self.spark, path, self.config, self.encoder, done)

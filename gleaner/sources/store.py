@@ -70,6 +70,15 @@ def tier_name(tier: list[int]) -> str:
     return f"b{tier[1]}_{tier[2]}"
 
 
+# Bytes from which a task writes its rows of a folder as a file of its own, without a shuffle that gathers folders.
+FILE_BYTES = 64 << 10
+
+
+def gathers(rows: DataFrame, folders: int, size: int) -> bool:
+    """Whether the tasks of `rows`, of about `size` bytes, may write to all folders without many small files."""
+    return size >= FILE_BYTES * folders * rows.rdd.getNumPartitions()
+
+
 class IndexStore:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
@@ -100,7 +109,7 @@ class IndexStore:
         self, df: DataFrame, table: str, batch: int, partition_by: str | None = None, gathered: bool = False,
         options: dict[str, str] | None = None,
     ) -> None:
-        """`gathered` rows are read from such folders already and are not shuffled again."""
+        """`gathered` rows are read from such folders already, or are many to each task and folder, and are not shuffled."""
         writer = df.write.mode("overwrite")
         if partition_by:
             rows = df if gathered else df.hint("rebalance", partition_by)

@@ -2,6 +2,12 @@
 
 import os
 
+from pyspark.sql import functions as F
+
+from gleaner.operators.chunk import chunk_documents
+from gleaner.operators.sparse import posting_lists
+from gleaner.plans.hybrid import HybridIndex
+from gleaner.sources import store
 from gleaner.sources.files import fewer_tasks, read_directory, read_files
 from workload import queries
 
@@ -49,3 +55,38 @@ def test_hidden_names_are_found_on_disk(spark, tmp_path):
     hidden = lambda **more: {r["path"] for r in read_directory(spark, f"file://{tmp_path}", **more).rejects.collect()}
     assert hidden() == {f"file:{tmp_path}/{n}" for n in ("_b.txt", ".c.MD", "sub/_e.pdf", "sub/deep/.f.txt")}
     assert hidden(recursive=False) == {f"file:{tmp_path}/{n}" for n in ("_b.txt", ".c.MD")}
+
+
+KIND = "doc_id string, text string, metadata map<string,string>, doc_ord bigint"
+
+
+def _documents(spark, n):
+    rows = [(f"d{i}", f"document {i} of the dark dark forest and its many old trees by the river", {}, i) for i in range(n)]
+    return spark.createDataFrame(rows, KIND)
+
+
+def test_lists_are_in_insertion_order_whatever_the_order_of_chunks(spark):
+    chunks = chunk_documents(_documents(spark, 300)).coalesce(1).sortWithinPartitions(F.xxhash64("chunk_id"))
+    for row in posting_lists(chunks).collect():
+        places = list(zip(row["doc_ords"], row["chunk_indexes"], row["chunk_ids"]))
+        assert places == sorted(places) and [p[2] for p in places] == [f"d{p[0]}_{p[1]}" for p in places]
+
+
+def test_large_tasks_write_to_folders_without_a_shuffle(spark, monkeypatch):
+    columns = ("chunk_id", "text", "doc_ord", "chunk_index")
+    kind = type(spark.range(1))
+    hints, hint = [], kind.hint
+    monkeypatch.setattr(kind, "hint", lambda self, name, *by: hints.append(by) or hint(self, name, *by))
+    indexes = []
+    for least, shuffled in ((1 << 20, True), (1, False)):
+        monkeypatch.setattr(store, "FILE_BYTES", least)
+        hints.clear()
+        indexes.append(HybridIndex.build(_documents(spark, 500).coalesce(2)))
+        assert (("chunk_folder",) in hints) == shuffled and ("bucket",) in hints  # word counts are gathered in any case
+        assert hints.count(("bucket",)) == 1 + shuffled
+    one, other = (sorted(map(tuple, i.chunks.select(*columns).collect())) for i in indexes)
+    assert one == other and len(one) == 500
+    one, other = (sorted(map(tuple, i.sparse.postings.select("term", "chunk_id", "tf", "dl").collect())) for i in indexes)
+    assert one == other
+    folder = indexes[1].store.path.removeprefix("file:")
+    assert all(name.endswith((".zstd.parquet", "_SUCCESS", ".crc")) for t in ("chunks", "posting_lists") for _, _, names in os.walk(f"{folder}/{t}") for name in names)
