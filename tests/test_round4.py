@@ -2,8 +2,11 @@
 
 import os
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from gleaner.operators import dense
 from gleaner.operators.chunk import chunk_documents
 from gleaner.operators.sparse import posting_lists
 from gleaner.plans.hybrid import HybridIndex
@@ -90,3 +93,25 @@ def test_large_tasks_write_to_folders_without_a_shuffle(spark, monkeypatch):
     assert one == other
     folder = indexes[1].store.path.removeprefix("file:")
     assert all(name.endswith((".zstd.parquet", "_SUCCESS", ".crc")) for t in ("chunks", "posting_lists") for _, _, names in os.walk(f"{folder}/{t}") for name in names)
+
+
+def test_queries_pass_through_the_driver_as_arrays(spark, monkeypatch):
+    values = np.random.default_rng(5).normal(size=(300, 8)).astype(np.float32)
+    table = spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(values)], "vec_id long, embedding array<float>, cell int").repartition(3)
+    sent, scan = [], dense._scan_search
+    monkeypatch.setattr(dense, "_scan_search", lambda names, vectors, probes, *more: sent.append((names, vectors, *probes.values())) or scan(names, vectors, probes, *more))
+    monkeypatch.setattr(type(table), "toPandas", lambda self: pytest.fail("rows of Python objects"))
+    queries = table.select(F.col("vec_id").alias("query_id"), "embedding")
+    monkeypatch.setattr(dense, "BROADCAST_BYTES", 4_000)
+    found = dense.exact_search(queries, table, 3, dim=8, id_col="vec_id", order=("vec_id",))
+    scores = values.astype(float) @ values.T.astype(float)
+    want = {(q, r + 1, int(i)) for q in range(300) for r, i in enumerate(np.lexsort((np.arange(300), -np.rint(scores[q] * 1e9)))[:3])}
+    assert {(r["query_id"], r["rank"], r["vec_id"]) for r in found.collect()} == want
+    assert len(sent) > 5 and all(v.dtype == np.float32 and sum(a.nbytes for a in (n, v, *p)) <= 2 * 4_000 for n, v, *p in sent)
+
+
+def test_a_query_without_a_vector_is_an_error(spark):
+    table = spark.createDataFrame([(1, [1.0, 2.0]), (2, None)], "vec_id long, embedding array<float>")
+    queries = table.select(F.col("vec_id").alias("query_id"), "embedding")
+    with pytest.raises(ValueError):
+        dense.exact_search(queries, table.where("vec_id = 1"), 1, dim=2, id_col="vec_id", order=("vec_id",)).collect()
